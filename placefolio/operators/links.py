@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -28,10 +30,11 @@ def same_site(resolved: DataFrame) -> DataFrame:
 
 def looks_like_list(text: Column, hints: LinkHints) -> Column:
     """Lower-case text holds a hint word anywhere, or one of the whole words on its own."""
-    found = text.rlike("|".join(re.escape(word) for word in hints.words))
-    if hints.whole_words:
-        whole = "|".join(re.escape(word) for word in hints.whole_words)
-        found |= text.rlike(rf"(?<![\p{{L}}\p{{N}}_])(?:{whole})(?![\p{{L}}\p{{N}}_])")
+    found = reduce(or_, [F.contains(text, F.lit(word)) for word in hints.words])
+    for word in hints.whole_words:
+        # The plain search comes first: the expression is only tried on texts that hold the word at all.
+        alone = rf"{re.escape(word)}(?<![\p{{L}}\p{{N}}_]{re.escape(word)})(?![\p{{L}}\p{{N}}_])"
+        found |= F.contains(text, F.lit(word)) & text.rlike(alone)
     return found
 
 

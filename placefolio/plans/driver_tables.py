@@ -8,7 +8,8 @@ rules              crawl rules of every host in ``pages``
 responses          every ``lineitem`` as one extraction answer about its part; part k belongs to place k
 =================  ========================================================================================
 
-All rows are mapped. Odd inputs (failed pages, refused fetches, broken answers) hang on column values.
+What a crawler or a model would have recorded is stored once per application and read from there, as the jobs
+would find it. All rows are mapped. Odd inputs (failed pages, refused fetches, broken answers) hang on column values.
 """
 
 from __future__ import annotations
@@ -96,6 +97,10 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(spark, sf_dir, "search-pages", lambda: _search_pages(spark, sf_dir))
+
+
+def _search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of up to 20 places, five per query, one recorded row per listed place."""
     def listing(shift: int, first_pos: int) -> DataFrame:
         at = F.col("discovery_rank") + shift
@@ -172,27 +177,28 @@ def _fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(spark, sf_dir, "rules", lambda: _rules(spark, sf_dir))
+
+
+def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = (table(spark, sf_dir, "pages")
              .select(F.regexp_extract("url", "^(https?://[^/?#]+)", 1).alias("root")).distinct()
              .select(F.concat("root", F.lit("/robots.txt")).alias("robots_url"),
                      F.regexp_extract("root", "://(.*)$", 1).alias("host")))
 
-    def rule(hosts: str, group_ord: int, agent: str, rule_ord: int, path_prefix: str, allow: bool) -> DataFrame:
-        return sites.where(F.col("host").like(hosts)).select(
-            "robots_url", F.lit(group_ord).alias("group_ord"), F.lit(agent).alias("agent"),
-            F.lit(rule_ord).alias("rule_ord"), F.lit(path_prefix).alias("path_prefix"), F.lit(allow).alias("allow"))
+    def rule(hosts: str, group_ord: int, agent: str, rule_ord: int, path_prefix: str, allow: bool) -> Column:
+        return F.when(F.col("host").like(hosts), F.struct(
+            F.lit(group_ord).alias("group_ord"), F.lit(agent).alias("agent"), F.lit(rule_ord).alias("rule_ord"),
+            F.lit(path_prefix).alias("path_prefix"), F.lit(allow).alias("allow")))
 
-    wanted = [
-        ("%", 0, "otherbot", 1, "/", False),
-        ("m.%", 1, "*", 1, "/en/2", True), ("m.%", 1, "*", 2, "/en/", False),
-        ("th%", 1, "*", 1, "/fr", False), ("th%", 1, "*", 2, "/fr/", True), ("th%", 1, "*", 3, "/The", False),
-        ("blog.%", 1, "*", 1, "/", False), ("blog.%", 2, "Placefolio", 1, "/de/", False),
-        ("blog.%", 2, "Placefolio", 2, "/es/", True),
-    ]
-    result = rule(*wanted[0])
-    for values in wanted[1:]:
-        result = result.unionByName(rule(*values))
-    return result
+    every_site = F.array(
+        rule("%", 0, "otherbot", 1, "/", False),
+        rule("m.%", 1, "*", 1, "/en/2", True), rule("m.%", 1, "*", 2, "/en/", False),
+        rule("th%", 1, "*", 1, "/fr", False), rule("th%", 1, "*", 2, "/fr/", True), rule("th%", 1, "*", 3, "/The", False),
+        rule("blog.%", 1, "*", 1, "/", False), rule("blog.%", 2, "Placefolio", 1, "/de/", False),
+        rule("blog.%", 2, "Placefolio", 2, "/es/", True))
+    return (sites.select("robots_url", F.explode(F.filter(every_site, lambda r: r.isNotNull())).alias("rule"))
+            .select("robots_url", "rule.*"))
 
 
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,6 +219,10 @@ def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(spark, sf_dir, "responses", lambda: _responses(spark, sf_dir))
+
+
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One answer per line item: most with two items, some broken, missing, empty or with the price as text."""
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
