@@ -61,4 +61,6 @@ def _parts(pages: pd.Series) -> pd.DataFrame:
 
 def html_parts(page: Column) -> Column:
     """``struct<text, links array<struct<href, text>>>`` of a page given as string or as UTF-8 bytes."""
-    return pandas_udf(_parts, "text string, links array<struct<href: string, text: string>>")(page)
+    parts = pandas_udf(_parts, "text string, links array<struct<href: string, text: string>>")
+    # Keeps the optimizer from parsing once more for a filter it moves below.
+    return parts.asNondeterministic()(page)

@@ -52,7 +52,7 @@ def bytes_to_text(content: Column) -> Column:
     """
     text = content.cast("string")
     valid = F.is_valid_utf8(text)
-    by_python = pandas_udf(_decode_dropping_bad_bytes, "string")
+    by_python = pandas_udf(_decode_dropping_bad_bytes, "string").asNondeterministic()
     return F.when(valid, text).otherwise(by_python(F.when(~valid, content)))
 
 

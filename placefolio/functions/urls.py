@@ -57,7 +57,7 @@ _PLAIN_RELATIVE = r"^[A-Za-z0-9_~-][^\x00-\x20?#;:]*" + _TAIL
 _PLAIN_QUERY = r"^\?[^\x00-\x20#]+(?:#[^\x00-\x20]+)?$"
 _PLAIN_FRAGMENT = r"^#[^\x00-\x20]+$"
 _DOT_SEGMENT = r"^[^?#]*(?:^|/)\.{1,2}(?:[/?#]|$)"
-_EMPTY_SEGMENT = r"^(?:https?://)?[^?#]*//"
+_EMPTY_SEGMENT = r"^[^?#]*//"
 
 
 def _join_by_library(base: pd.Series, href: pd.Series) -> pd.DataFrame:
@@ -74,24 +74,22 @@ def _join_by_library(base: pd.Series, href: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([join(site, link) for site, link in zip(base, href)], columns=["url", "error"])
 
 
-def resolve_link(base: Column, href: Column) -> Column:
-    """Link resolved against its page -> ``struct<url, error>``.
+def join_by_library(base: Column, href: Column) -> Column:
+    """``struct<url, error>`` of a link of any shape; a null link gives nulls."""
+    return pandas_udf(_join_by_library, "url string, error string").asNondeterministic()(base, href)
 
-    Plain shapes are joined in the JVM; only the others reach Python, all else is null there.
-    """
+
+def join_plain(base: Column, href: Column) -> Column:
+    """Absolute URL of a link of plain shape, null for all others."""
     root = F.regexp_extract(base, "^(https?://[^/?#]+)", 1)
     before_query = F.regexp_extract(base, "^([^?#]*)", 1)
     before_fragment = F.regexp_extract(base, "^([^#]*)", 1)
-    folder = F.regexp_extract(before_query, "^https?://[^/]+(.*/)", 1)
-    no_dots = ~href.rlike(_DOT_SEGMENT)
-    joined = F.when(base.rlike(_PLAIN_ABSOLUTE), (
+    path = F.regexp_extract(base, "^https?://[^/?#]+([^?#]*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, "^(.*/)", 1), F.lit("")), F.lit("/"))
+    return F.when(base.rlike(_PLAIN_ABSOLUTE), (
         F.when(href.rlike(_PLAIN_ABSOLUTE), href)
-        .when(href.rlike(_PLAIN_ROOTED) & no_dots, F.concat(root, href))
+        .when(href.rlike(_PLAIN_ROOTED) & ~href.rlike(_DOT_SEGMENT), F.concat(root, href))
         .when(href.rlike(_PLAIN_FRAGMENT), F.concat(before_fragment, href))
         .when(href.rlike(_PLAIN_QUERY), F.concat(before_query, href))
-        .when(href.rlike(_PLAIN_RELATIVE) & no_dots & ~href.rlike(_EMPTY_SEGMENT)
-              & ~base.rlike(_DOT_SEGMENT) & ~F.substring(before_query, 9, 2_000_000_000).rlike("//"),
-              F.concat(root, F.coalesce(F.nullif(folder, F.lit("")), F.lit("/")), href))))
-    join_by_library = pandas_udf(_join_by_library, "url string, error string")
-    by_library = join_by_library(base, F.when(joined.isNull(), href))
-    return F.struct(F.coalesce(joined, by_library["url"]).alias("url"), by_library["error"].alias("error"))
+        .when(href.rlike(_PLAIN_RELATIVE) & ~F.concat(path, F.lit("/"), href).rlike(_DOT_SEGMENT)
+              & ~F.contains(path, F.lit("//")) & ~href.rlike(_EMPTY_SEGMENT), F.concat(root, folder, href))))

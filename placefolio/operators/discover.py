@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from placefolio import schemas
 from placefolio.operators.hot_keys import join_on_unique
@@ -25,6 +25,11 @@ def read_search_pages(pages: DataFrame) -> DataFrame:
         F.coalesce(F.col("_page.places"), F.array().cast("array<string>")).alias("places"))
 
 
+def _each_place(places: str | Column) -> list[Column]:
+    # The outer form: for the other one the optimizer would parse the page once more to filter empty lists.
+    return [F.posexplode_outer(places).alias("_at", "raw_json")]
+
+
 def replay_search(pages: DataFrame, max_pages: int = MAX_PAGES_PER_QUERY) -> DataFrame:
     """Listings ``(query_ord, page_no, pos, raw_json)`` a paging client would have seen.
 
@@ -40,7 +45,8 @@ def replay_search(pages: DataFrame, max_pages: int = MAX_PAGES_PER_QUERY) -> Dat
                 F.coalesce(F.min(F.when(~F.col("has_next"), F.col("page_no"))), F.lit(max_pages)).alias("_last_page")))
     return (join_on_unique(read, ends, "query_ord")
             .where((F.col("page_no") < F.col("_failed_page")) & (F.col("page_no") <= F.col("_last_page")))
-            .select("query_ord", "page_no", "first_pos", F.posexplode("places").alias("_at", "raw_json"))
+            .select("query_ord", "page_no", "first_pos", *_each_place("places"))
+            .where(F.col("raw_json").isNotNull())
             .select("query_ord", "page_no", (F.col("first_pos") + F.col("_at")).alias("pos"), "raw_json"))
 
 
@@ -96,11 +102,14 @@ def flatten_places(bronze: DataFrame) -> DataFrame:
 
 def page_sample(pages: DataFrame, size: int = 5) -> DataFrame:
     """First ``size`` places of every page in five fields, with the page's place count and next-page flag."""
-    read = read_search_pages(pages).where(~F.col("failed"))
+    read = read_search_pages(pages)
+    answered = F.when(~F.col("failed"), F.col("places"))
     totals = read.groupBy("query_ord", "page_no").agg(
-        F.sum(F.size("places")).cast("bigint").alias("returned"),
-        F.max("has_next").alias("has_next_page_token"))
-    sample = (read.select("query_ord", "page_no", "first_pos", F.posexplode("places").alias("_at", "raw_json"))
+        F.sum(F.coalesce(F.size(answered), F.lit(0))).cast("bigint").alias("returned"),
+        F.max(F.col("has_next") & ~F.col("failed")).alias("has_next_page_token"))
+    sample = (read.where(F.col("first_pos") < size)
+              .select("query_ord", "page_no", "first_pos", *_each_place(F.slice(answered, 1, size)))
+              .where(F.col("raw_json").isNotNull())
               .withColumn("pos", F.col("first_pos") + F.col("_at")).where(F.col("pos") < size)
               .withColumn("_p", F.from_json("raw_json", schemas.PLACE_JSON)))
     return sample.join(totals, ["query_ord", "page_no"]).select(

@@ -89,9 +89,10 @@ def site_visits(sites: DataFrame, parsed: DataFrame, params: RunParams = RunPara
 
 
 def visit_log(visits: DataFrame, parsed: DataFrame, rules: DataFrame, user_agent: str) -> DataFrame:
-    """Visits with crawl permission and the recorded response."""
+    """Visits with crawl permission and the recorded response, both looked up once per distinct URL."""
+    allowed = with_permission(visits.select("url").where(F.col("url").isNotNull()).distinct(), rules, user_agent)
     recorded = parsed.select("url", "http_status", "error", "content_type", "text", F.lit(True).alias("recorded"))
-    return join_on_unique(with_permission(visits, rules, user_agent), recorded, "url", "left")
+    return join_on_unique(visits, allowed.drop("robots_url").join(recorded, "url", "left"), "url", "left")
 
 
 def site_outcomes(visits: DataFrame, min_chars: int = MIN_TEXT_CHARS) -> DataFrame:

@@ -8,7 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from placefolio.functions.urls import is_pdf_url, is_same_site, resolve_link
+from placefolio.functions.urls import is_pdf_url, is_same_site, join_by_library, join_plain
 from placefolio.params import LINKS_PER_SITE, LinkHints
 
 
@@ -19,9 +19,15 @@ def explode_links(pages: DataFrame, site: str = "site_url") -> DataFrame:
 
 
 def resolve_links(links: DataFrame) -> DataFrame:
-    """Add the absolute ``url``, or the ``link_error`` of an address that cannot be read."""
-    return (links.withColumn("_to", resolve_link(F.col("site_url"), F.col("href")))
-            .select(*links.columns, F.col("_to.url").alias("url"), F.col("_to.error").alias("link_error")))
+    """Add the absolute ``url``, or the ``link_error`` of an address that cannot be read.
+
+    Plain shapes are joined in the JVM; only the others reach Python, all else is null there.
+    """
+    site, href = F.col("site_url"), F.col("href")
+    return (links.withColumn("_plain", join_plain(site, href))
+            .withColumn("_other", join_by_library(site, F.when(F.col("_plain").isNull(), href)))
+            .select(*links.columns, F.coalesce("_plain", "_other.url").alias("url"),
+                    F.col("_other.error").alias("link_error")))
 
 
 def same_site(resolved: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ rules in a site's file; ``group_ord`` and ``rule_ord`` give the order in that fi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from placefolio.functions.urls import percent_decoded, robots_address, robots_target, without_empty_parts
-from placefolio.operators.hot_keys import join_on_unique, join_spread
+from placefolio.operators.hot_keys import join_spread
 
 
 def rules_from_answers(answers: DataFrame) -> DataFrame:
@@ -23,6 +23,10 @@ def rules_from_answers(answers: DataFrame) -> DataFrame:
         F.lit("/").alias("path_prefix"), F.lit(False).alias("allow"))
 
 
+def rule_prefix() -> Column:
+    return without_empty_parts(percent_decoded(F.col("path_prefix")))
+
+
 def rules_in_force(rules: DataFrame, user_agent: str) -> DataFrame:
     """The one rule that counts per site and prefix for this agent.
 
@@ -36,11 +40,10 @@ def rules_in_force(rules: DataFrame, user_agent: str) -> DataFrame:
               .where(F.col("fallback") | F.col("named"))
               .groupBy("robots_url").agg(F.min(F.struct("fallback", "group_ord")).alias("_group"))
               .select("robots_url", F.col("_group.group_ord").alias("_chosen")))
-    prefix = without_empty_parts(percent_decoded(F.col("path_prefix")))
     # "Disallow:" with nothing behind it allows everything.
     allow = F.col("allow") | (F.col("path_prefix") == "")
-    return (join_on_unique(rules, chosen, "robots_url").where(F.col("group_ord") == F.col("_chosen"))
-            .groupBy("robots_url", prefix.alias("prefix"))
+    return (join_spread(rules, chosen, ["robots_url"]).where(F.col("group_ord") == F.col("_chosen"))
+            .groupBy("robots_url", rule_prefix().alias("prefix"))
             .agg(F.min(F.struct("rule_ord", allow.alias("allow"))).alias("rule")))
 
 
@@ -51,8 +54,8 @@ def with_permission(visits: DataFrame, rules: DataFrame, user_agent: str) -> Dat
     A URL is cut to the prefix lengths its site has rules for and meets them in an equi-join, so a site with
     many URLs and many rules never compares each with each.
     """
-    in_force = rules_in_force(rules, user_agent)
-    lengths = in_force.groupBy("robots_url").agg(F.collect_set(F.length("prefix")).alias("_lengths"))
+    # Distinct lengths only, so at most as many as the longest rule has characters.
+    lengths = rules.groupBy("robots_url").agg(F.collect_set(F.length(rule_prefix())).alias("_lengths"))
     asked = (visits.withColumn("robots_url", robots_address(F.col("url")))
              .withColumn("_target", robots_target(F.col("url"))))
     fitting = F.filter("_lengths", lambda n: n <= F.length("_target"))
@@ -60,6 +63,6 @@ def with_permission(visits: DataFrame, rules: DataFrame, user_agent: str) -> Dat
            .withColumn("prefix", F.explode_outer(
                F.transform(fitting, lambda n: F.substring(F.col("_target"), F.lit(1), n))))
            .select(*visits.columns, "robots_url", "prefix"))
-    return (join_spread(cut, in_force, ["robots_url", "prefix"], "left")
+    return (join_spread(cut, rules_in_force(rules, user_agent), ["robots_url", "prefix"], "left")
             .groupBy(*visits.columns, "robots_url")
             .agg(F.coalesce(F.min("rule").getField("allow"), F.lit(True)).alias("robots_allowed")))

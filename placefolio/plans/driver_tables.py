@@ -102,13 +102,12 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of up to 20 places, five per query, one recorded row per listed place."""
-    def listing(shift: int, first_pos: int) -> DataFrame:
+    def listing(shift: int, first_pos: int) -> Column:
         at = F.col("discovery_rank") + shift
-        return places(spark, sf_dir).select(
-            F.floor(at / 50).alias("query_ord"), F.floor(at % 50 / 10).alias("page_no"),
-            (at % 10 + first_pos).alias("first_pos"), "*")
+        return F.struct(F.floor(at / 50).alias("query_ord"), F.floor(at % 50 / 10).alias("page_no"),
+                        (at % 10 + first_pos).alias("first_pos"))
 
-    listed = listing(0, 0).unionByName(listing(35, 10))
+    listed = places(spark, sf_dir).select("*", F.inline(F.array(listing(0, 0), listing(35, 10))))
     place_id = (F.when(F.col("rating").between(-950, -900), F.lit(None)).when(F.col("rating").between(-900, -850), "")
                 .otherwise(F.col("place_id")))
     last_page = (F.col("page_no") == 4) | (F.col("page_no") == 1) & (F.col("query_ord") % 11 == 3)
