@@ -12,6 +12,13 @@ from placefolio.params import DEFAULT_TARGET, MAX_PAGES_PER_QUERY
 DISCOVERY_ORDER = ["query_ord", "page_no", "pos"]
 
 
+def number_queries(pages: DataFrame, queries: tuple[str, ...]) -> DataFrame:
+    """Pages recorded by ``search_query`` get the query's place in the parameter list as ``query_ord``."""
+    order = pages.sparkSession.createDataFrame(
+        [(query, number) for number, query in enumerate(queries)], "search_query string, query_ord bigint")
+    return pages.join(order, "search_query")
+
+
 def read_search_pages(pages: DataFrame) -> DataFrame:
     """Parse recorded pages ``(query_ord, page_no, first_pos, response, error)``.
 

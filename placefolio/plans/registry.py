@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,8 +15,6 @@ from placefolio.plans import driver_tables as d
 from placefolio.session import shared_folder
 from placefolio.sources import objects, tables
 
-import uuid
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -195,7 +194,9 @@ def join_on_path_key(spark, sf):
 
 @query
 def source_text_union(spark, sf):
-    return extraction.source_texts(d.documents(spark, sf), d.parsed_objects(spark, sf))
+    documents = d.documents(spark, sf)
+    return extraction.source_texts(extraction.html_texts(documents),
+                                   extraction.pdf_texts(documents, d.parsed_objects(spark, sf)))
 
 
 @query
