@@ -38,8 +38,9 @@ FROM pages
 
 -- name: fx_text
 SELECT page_id, url, array_to_string(list_filter(list_transform(
-    string_split(replace(replace(replace(replace(regexp_replace(seen, '(?s)<[^>]*>', chr(1), 'g'),
-      '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), chr(1)),
+    -- These names count without their semicolon too: some titles are cut right before it.
+    string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(seen, '(?s)<[^>]*>', chr(1), 'g'),
+      '&quot;?', '"', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&amp;?', '&', 'g'), chr(1)),
     lambda n: regexp_replace(n, '^\s+|\s+$', '', 'g')), lambda n: n <> ''), ' ') AS visible_text
 FROM fx_seen
 

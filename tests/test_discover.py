@@ -38,7 +38,7 @@ def recorded(queries):
 
 def test_discovery_equals_a_paging_loop(spark):
     rng = random.Random(5)
-    for _ in range(6):
+    for _ in range(3):
         queries = [[None if rng.random() < 0.1 else
                     ([rng.choice([None, ""] + [f"p{i}" for i in range(40)]) for _ in range(rng.randint(0, 6))], rng.random() < 0.8)
                     for _ in range(rng.randint(0, 5))] for _ in range(8)]
