@@ -89,7 +89,7 @@ SELECT * FROM (
   UNION ALL
   SELECT place_id, source_url, substr(CAST(to_json({'text': content}) AS VARCHAR), 1, 20000)
   FROM fx_docs JOIN fx_log ON source_url = url WHERE doc_type = 'pdf')
-WHERE length(source_text) > 200
+WHERE length(source_text) > 1000
 
 -- name: document_text_job
 SELECT 'raw/p' || doc_id AS path, substr(CAST(to_json({'text': text}) AS VARCHAR), 1, 20000) AS source_text,

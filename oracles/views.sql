@@ -110,7 +110,7 @@ SELECT site_url, rank, url, kind, http_status, content_type, text FROM (
   SELECT *, row_number() OVER (PARTITION BY site_url ORDER BY rank) AS n FROM (
     SELECT c.site_url, c.rank, c.url, l.http_status, l.content_type, substr(l.text, 1, 20000) AS text,
            CASE WHEN l.content_type LIKE '%pdf%' OR split_part(lower(c.url), '?', 1) LIKE '%.pdf' THEN 'pdf'
-                WHEN (l.content_type LIKE '%html%' OR l.content_type = '') AND length(l.text) > 200 THEN 'html' END AS kind
+                WHEN (l.content_type LIKE '%html%' OR l.content_type = '') AND length(l.text) > 1000 THEN 'html' END AS kind
     FROM fx_candidates c JOIN fx_log l ON c.url = l.url JOIN fx_allowed a ON a.url = c.url
          JOIN fx_log home ON home.url = c.site_url
     WHERE a.robots_allowed AND l.http_status < 400 AND l.error IS NULL AND home.http_status < 400 AND home.error IS NULL
@@ -122,17 +122,17 @@ SELECT place_id, coalesce(source_url, website_uri) AS source_url, doc_type, CAST
        content_type, stored_path, raw_text, robots_allowed, note FROM (
   SELECT p.place_id, p.website_uri, CASE WHEN a.robots_allowed AND h.error IS NULL THEN b.url END AS source_url,
     CASE WHEN NOT a.robots_allowed THEN 'robots_blocked' WHEN h.error IS NOT NULL THEN 'fetch_failed'
-         WHEN b.kind IS NOT NULL THEN b.kind WHEN length(h.text) > 200 THEN 'html' ELSE 'none' END AS doc_type,
+         WHEN b.kind IS NOT NULL THEN b.kind WHEN length(h.text) > 1000 THEN 'html' ELSE 'none' END AS doc_type,
     CASE WHEN a.robots_allowed THEN CASE WHEN h.error IS NULL AND b.kind IS NOT NULL THEN b.http_status ELSE h.http_status END END AS http_status,
     CASE WHEN a.robots_allowed AND h.error IS NULL THEN coalesce(b.content_type, h.content_type) END AS content_type,
     CASE WHEN NOT a.robots_allowed OR h.error IS NOT NULL THEN NULL
          WHEN b.kind IS NOT NULL THEN 'raw/' || p.place_id || '/menu_' || substr(url_encode(b.url), 1, 120) || '.' || b.kind
-         WHEN length(h.text) > 200 THEN 'raw/' || p.place_id || '/homepage.html' END AS stored_path,
+         WHEN length(h.text) > 1000 THEN 'raw/' || p.place_id || '/homepage.html' END AS stored_path,
     CASE WHEN NOT a.robots_allowed OR h.error IS NOT NULL THEN NULL WHEN b.kind = 'html' THEN b.text
-         WHEN b.kind IS NULL AND length(h.text) > 200 THEN substr(h.text, 1, 20000) END AS raw_text,
+         WHEN b.kind IS NULL AND length(h.text) > 1000 THEN substr(h.text, 1, 20000) END AS raw_text,
     a.robots_allowed,
     CASE WHEN NOT a.robots_allowed THEN 'homepage disallowed' WHEN h.error IS NOT NULL THEN h.error
-         WHEN b.kind IS NOT NULL THEN NULL WHEN length(h.text) > 200 THEN 'homepage fallback'
+         WHEN b.kind IS NOT NULL THEN NULL WHEN length(h.text) > 1000 THEN 'homepage fallback'
          ELSE 'no menu link / thin homepage (likely JS widget)' END AS note
   FROM fx_places p JOIN fx_allowed a ON a.url = p.website_uri JOIN fx_log h ON h.url = p.website_uri
        LEFT JOIN fx_best b ON b.site_url = p.website_uri

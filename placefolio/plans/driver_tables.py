@@ -21,8 +21,8 @@ from placefolio.operators import extraction, fetches, items as item_ops, links
 from placefolio.params import LinkHints, RunParams
 from placefolio.session import staged
 
-# The pages are invented prose without any of the default words.
-PARAMS = RunParams(target_count=None, max_sites=None,
+# The pages are invented prose without any of the default words and with hardly a short text.
+PARAMS = RunParams(target_count=None, max_sites=None, min_text_chars=1_000,
                    hints=LinkHints(words=("the", "tion", "en"), whole_words=("and",), strong="the"))
 RUN_TS = "2024-01-01 00:00:00"
 

@@ -146,7 +146,7 @@ def first_success(spark, sf):
     parsed = d.once(spark, sf, "parsed-log", lambda: fetches.parse_log(d.fetch_log(spark, sf)))
     visits = d.once(spark, sf, "visits", lambda: fetches.site_visits(sites, parsed, d.PARAMS))
     answered = fetches.visit_log(visits, parsed, d.rules(spark, sf), d.PARAMS.user_agent)
-    return fetches.first_success(answered).select(
+    return fetches.first_success(answered, d.PARAMS.min_text_chars).select(
         "site_url", "rank", "url", "kind", "content_type", F.length("text").cast("bigint").alias("n_chars"))
 
 
@@ -196,7 +196,7 @@ def join_on_path_key(spark, sf):
 def source_text_union(spark, sf):
     documents = d.documents(spark, sf)
     return extraction.source_texts(extraction.html_texts(documents),
-                                   extraction.pdf_texts(documents, d.parsed_objects(spark, sf)))
+                                   extraction.pdf_texts(documents, d.parsed_objects(spark, sf)), d.PARAMS.min_text_chars)
 
 
 @query
