@@ -46,4 +46,4 @@ def place_status(places: DataFrame, items: DataFrame, documents: DataFrame) -> D
 def not_attempted(places: DataFrame, documents: DataFrame) -> DataFrame:
     """Places with a website that no document row exists for."""
     return places.where(F.col("website_uri").isNotNull()).join(
-        documents.select("place_id").distinct(), "place_id", "left_anti")
+        documents.select("place_id"), "place_id", "left_anti")

@@ -11,11 +11,13 @@ from placefolio.functions.urls import is_pdf_url
 from placefolio.operators import discover, extraction, fetches, items, reports, status
 from placefolio.params import RunParams
 from placefolio.session import staged
+from placefolio.sources.objects import place_objects
 from placefolio.sources.tables import write_table
 
 # Names of the stored tables.
 BRONZE, SILVER, DOCUMENTS, ITEMS, CATALOGUE = (
     "restaurants_bronze", "restaurants_silver", "menu_documents", "menu_items", "restaurants")
+OBJECTS = "raw_objects"
 
 
 def pdf_log(fetch_log: DataFrame) -> DataFrame:
@@ -28,9 +30,14 @@ def build_catalogue(spark: SparkSession, search_pages: DataFrame, fetch_log: Dat
                     namespace: str, params: RunParams = RunParams(),
                     parse_fn: Callable[[bytes], dict] = extraction.utf8_parser,
                     extract_fn: Callable[[str], str] = extraction.rule_extractor,
-                    location: str | None = None) -> DataFrame:
+                    location: str | None = None, keep_objects: bool = False,
+                    call_partitions: int | None = None) -> DataFrame:
     """Write the tables of one run into ``namespace`` and return the one-row summary.
 
+    ``keep_objects`` also stores the fetched bytes per place. It is off because the fetch log holds them already
+    and this is the only step that moves whole bodies between executors. ``call_partitions`` is the number of
+    tasks for document parser and extraction function.
+
     Every stage reads the table the one before has written, so no costly call (document parser, extraction
     function) runs twice, and a lost executor never reaches back beyond its own stage.
     """
@@ -48,14 +55,17 @@ def build_catalogue(spark: SparkSession, search_pages: DataFrame, fetch_log: Dat
     # The order of discovery is not part of the silver table, so the queue is taken from the staged rows.
     queue = fetches.fetch_queue(places, [*discover.DISCOVERY_ORDER, "place_id"], params.max_sites)
     documents = save(fetches.fetch_outcomes(queue, fetch_log, rules, params), DOCUMENTS)
+    if keep_objects:
+        save(place_objects(queue, documents, fetch_log, params.object_root), OBJECTS)
 
-    parsed = extraction.parse_documents(pdf_log(fetch_log).select(F.col("url").alias("path"), "content"), parse_fn)
+    parsed = extraction.parse_documents(pdf_log(fetch_log).select(F.col("url").alias("path"), "content"), parse_fn,
+                                        call_partitions)
     texts = staged(extraction.source_texts(
         extraction.html_texts(documents),
         extraction.pdf_texts_by_url(documents, parsed.withColumnRenamed("path", "url")),
         params.min_text_chars), "source-texts")
     texts.createOrReplaceTempView("menu_source_text")
-    responses = staged(extraction.extract_items(texts, extract_fn), "responses")
+    responses = staged(extraction.extract_items(texts, extract_fn, call_partitions), "responses")
     item_table = save(items.items_from_responses(responses, params.currency), ITEMS)
 
     catalogue = save(status.place_status(silver, item_table, documents), CATALOGUE)

@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages reach Python in batches of bounded size, however large they are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
 }
 
 

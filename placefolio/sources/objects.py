@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from placefolio.functions.text import first_bytes, object_path
+from placefolio.operators.fetches import HOMEPAGE_FILE, is_fetched
+from placefolio.operators.hot_keys import join_on_unique
 from placefolio.params import MAX_BYTES
 
 
@@ -16,6 +18,19 @@ def raw_objects(fetched: DataFrame, root: str, filename: Column, max_bytes: int
         first_bytes(F.col("content"), max_bytes).alias("content"))
 
 
+def place_objects(queue: DataFrame, documents: DataFrame, fetch_log: DataFrame, root: str) -> DataFrame:
+    """Bytes kept per place: its fetched homepage and the document that was chosen for it."""
+    homes = (queue.select("place_id", F.col("website_uri").alias("url"))
+             .join(documents.where("robots_allowed").select("place_id"), "place_id", "left_semi")
+             .withColumn("filename", F.lit(HOMEPAGE_FILE)))
+    chosen = (documents.where(F.col("stored_path").isNotNull())
+              .select("place_id", F.col("source_url").alias("url"),
+                      F.substring_index("stored_path", "/", -1).alias("filename"))
+              .where(F.col("filename") != HOMEPAGE_FILE))
+    fetched = fetch_log.where(is_fetched(F.col("http_status"), F.col("error"))).select("url", "content")
+    return raw_objects(join_on_unique(homes.unionByName(chosen), fetched, "url"), root, F.col("filename"))
+
+
 def scan_files(spark: SparkSession, folder: str, pattern: str = "*", max_bytes: int = MAX_BYTES) -> DataFrame:
     """Files below a folder as ``(path, modificationTime, length, content)``.
 

@@ -64,7 +64,8 @@ def test_whole_run(spark, sf_dir):
     params = RunParams(target_count=60, max_sites=40, hints=d.PARAMS.hints)
     for _ in range(2):  # a second run replaces the first
         summary = build.build_catalogue(spark, d.search_pages(spark, sf_dir), d.fetch_log(spark, sf_dir), d.rules(spark, sf_dir),
-                                        namespace, params, extract_fn=extract, location=location).first()
+                                        namespace, params, extract_fn=extract, location=location, keep_objects=True,
+                                        call_partitions=6).first()
     places = spark.table(f"{namespace}.restaurants")
     assert summary["restaurants"] == places.count() == 60
     assert summary["menu_items"] == spark.table(f"{namespace}.menu_items").count() > 0
@@ -73,5 +74,24 @@ def test_whole_run(spark, sf_dir):
     for table, schema in (("restaurants_bronze", schemas.BRONZE), ("restaurants_silver", schemas.SILVER),
                           ("menu_documents", schemas.DOCUMENTS), ("menu_items", schemas.ITEMS)):
         assert [(f.name, f.dataType) for f in spark.table(f"{namespace}.{table}").schema] == [(f.name, f.dataType) for f in schema]
+    kept = {r["stored_path"]: r["n"] for r in spark.table(f"{namespace}.raw_objects")
+            .selectExpr("stored_path", "octet_length(content) AS n").collect()}
+    stored = {r["stored_path"] for r in spark.table(f"{namespace}.menu_documents").where("stored_path IS NOT NULL").collect()}
+    assert stored and stored <= set(kept) and min(kept.values()) > 0
     assert {r["menu_status"] for r in places.select("menu_status").distinct().collect()} >= {"menu_extracted", "no_website"}
     spark.sql(f"DROP SCHEMA {namespace} CASCADE")
+
+
+def test_command_line(spark, sf_dir):
+    import json
+
+    from placefolio.__main__ import main
+    root = f"{shared_folder(spark)}/cli-{uuid.uuid4().hex}"
+    inputs = {"search-pages": d.search_pages(spark, sf_dir), "fetch-log": d.fetch_log(spark, sf_dir), "rules": d.rules(spark, sf_dir)}
+    for name, df in inputs.items():
+        df.write.parquet(f"{root}/{name}")
+    namespace = f"cli_{uuid.uuid4().hex}"
+    result = main([f"--{name}={root}/{name}" for name in inputs]
+                  + [f"--namespace={namespace}", f"--location={root}/tables", "--target-count=30", "--max-sites=10"])
+    assert json.loads(result)["restaurants"] == 30
+    spark.sql(f"DROP SCHEMA {namespace} CASCADE")
