@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 
@@ -35,7 +36,9 @@ def main(argv: list[str] | None = None) -> str:
     summary = build_catalogue(
         spark, *[spark.read.parquet(path) for path in (args.search_pages, args.fetch_log, args.rules)],
         args.namespace, params, location=args.location, keep_objects=args.keep_objects)
-    result = summary.toJSON().first()
+    report = summary.first().asDict()
+    report["status_breakdown"] = json.loads(report["status_breakdown"])
+    result = json.dumps({"schema": args.namespace, **report})
     print(result)
     return result
 

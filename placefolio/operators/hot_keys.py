@@ -4,45 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# A key is spread from this many rows on, over one task per this many rows.
+HOT_KEY_ROWS = 100_000
+MAX_COPIES = 4_096
 # Only this many keys are spread, so the list of them always fits a broadcast. A key outside the list holds
 # less than 1/1000 of the rows.
 MAX_HOT_KEYS = 1_000
-HOT_KEY_ROWS = 1_000_000
-SPREAD = 64
 
 
-def join_on_unique(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
-                   hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Join ``rows`` to ``lookup`` (one row per key) with frequent keys spread over ``SPREAD`` partitions.
+def hot_keys(rows: DataFrame, key: str, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Most frequent keys as ``(key, _copies)``, from a count with map-side combine."""
+    return (rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+            .where(F.col("_n") >= hot_key_rows)
+            .orderBy(F.desc("_n"), key).limit(MAX_HOT_KEYS)
+            .select(key, F.least(F.ceil(F.col("_n") / hot_key_rows), F.lit(MAX_COPIES)).cast("int").alias("_copies")))
+
 
-    The frequent keys come from a count with map-side combine. Their rows get the number of the reading task
-    as salt, which a repeated task gets again; their lookup rows are copied per salt. All other keys join
-    unsalted, so the lookup side grows by at most ``MAX_HOT_KEYS * SPREAD`` rows.
+def spread_join(rows: DataFrame, lookup: DataFrame, on: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+    """Join ``rows`` to a ``lookup`` that is unique on ``on``, with the rows of hot keys spread.
+
+    ``hot`` comes from :func:`hot_keys` for one of the join columns. Rows of a hot key get the number of their
+    task as salt, which a repeated task gets again, and the lookup rows are copied per salt. All other keys join
+    as they are.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    hot = (rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-           .where(F.col("_n") >= hot_key_rows)
-           .orderBy(F.desc("_n"), key).limit(MAX_HOT_KEYS).select(key, F.lit(True).alias("_hot")))
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    key, copies = hot.columns[0], F.coalesce("_copies", F.lit(1))
     left = (rows.join(F.broadcast(hot), key, "left")
-            .withColumn("_salt", F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(SPREAD))).otherwise(0))
-            .drop("_hot"))
+            .withColumn("_salt", F.pmod(F.spark_partition_id(), copies)).drop("_copies"))
     right = (lookup.join(F.broadcast(hot), key, "left")
-             .withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-                                            .otherwise(F.array(F.lit(0)))))
-             .drop("_hot"))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
-
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies"))
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
 
-def join_spread(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner",
-                copies: int = 16) -> DataFrame:
-    """Join to a ``lookup`` with one row per key that is small beside ``rows``: every key is spread.
 
-    Costs ``copies`` times the lookup and needs no look at the data first.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(f"how must be inner or left, not {how!r}")
-    left = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(copies)))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+def join_on_unique(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
+                   hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Join to a ``lookup`` with one row per ``key``. ``rows`` is read twice, first for its keys only."""
+    return spread_join(rows, lookup, [key], hot_keys(rows, key, hot_key_rows), how)

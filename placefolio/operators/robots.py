@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placefolio.functions.urls import percent_decoded, robots_address, robots_target, without_empty_parts
-from placefolio.operators.hot_keys import join_spread
+from placefolio.operators.hot_keys import hot_keys, join_on_unique, spread_join
 
 
 def rules_from_answers(answers: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def rules_in_force(rules: DataFrame, user_agent: str) -> DataFrame:
               .select("robots_url", F.col("_group.group_ord").alias("_chosen")))
     # "Disallow:" with nothing behind it allows everything.
     allow = F.col("allow") | (F.col("path_prefix") == "")
-    return (join_spread(rules, chosen, ["robots_url"]).where(F.col("group_ord") == F.col("_chosen"))
+    return (join_on_unique(rules, chosen, "robots_url").where(F.col("group_ord") == F.col("_chosen"))
             .groupBy("robots_url", rule_prefix().alias("prefix"))
             .agg(F.min(F.struct("rule_ord", allow.alias("allow"))).alias("rule")))
 
@@ -58,11 +58,12 @@ def with_permission(visits: DataFrame, rules: DataFrame, user_agent: str) -> Dat
     lengths = rules.groupBy("robots_url").agg(F.collect_set(F.length(rule_prefix())).alias("_lengths"))
     asked = (visits.withColumn("robots_url", robots_address(F.col("url")))
              .withColumn("_target", robots_target(F.col("url"))))
+    hot = hot_keys(asked, "robots_url")
     fitting = F.filter("_lengths", lambda n: n <= F.length("_target"))
-    cut = (join_spread(asked, lengths, ["robots_url"], "left")
+    cut = (spread_join(asked, lengths, ["robots_url"], hot, "left")
            .withColumn("prefix", F.explode_outer(
                F.transform(fitting, lambda n: F.substring(F.col("_target"), F.lit(1), n))))
            .select(*visits.columns, "robots_url", "prefix"))
-    return (join_spread(cut, rules_in_force(rules, user_agent), ["robots_url", "prefix"], "left")
+    return (spread_join(cut, rules_in_force(rules, user_agent), ["robots_url", "prefix"], hot, "left")
             .groupBy(*visits.columns, "robots_url")
             .agg(F.coalesce(F.min("rule").getField("allow"), F.lit(True)).alias("robots_allowed")))

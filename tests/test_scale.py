@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from placefolio.operators.hot_keys import join_on_unique, join_spread
+from placefolio.operators.hot_keys import hot_keys, join_on_unique, spread_join
 from placefolio.operators.topn import first_rows
 from placefolio.session import shared_folder, staged
 
@@ -27,7 +27,8 @@ def test_spread_joins_equal_the_plain_join(spark, skewed, how, broadcast):
     try:
         plain = rows.join(lookup, "k", how)
         for df in (join_on_unique(rows, lookup, "k", how, hot_key_rows=1_000), join_on_unique(rows, lookup, "k", how),
-                   join_on_unique(rows, lookup, "k", how, hot_key_rows=1), join_spread(rows, lookup, ["k"], how)):
+                   join_on_unique(rows, lookup, "k", how, hot_key_rows=1),
+                   spread_join(rows, lookup, ["k"], hot_keys(rows, "k", 10), how)):
             df = df.select(plain.columns)
             assert df.count() == plain.count()
             assert df.exceptAll(plain).count() == 0
@@ -37,9 +38,13 @@ def test_spread_joins_equal_the_plain_join(spark, skewed, how, broadcast):
 
 def test_other_join_types_are_refused(skewed):
     rows, lookup = skewed
-    for join in (lambda: join_on_unique(rows, lookup, "k", "right"), lambda: join_spread(rows, lookup, ["k"], "full")):
-        with pytest.raises(ValueError):
-            join()
+    with pytest.raises(ValueError):
+        join_on_unique(rows, lookup, "k", "right")
+
+
+def test_copies_follow_the_rows_of_a_key(skewed):
+    rows, _ = skewed
+    assert {r["k"]: r["_copies"] for r in hot_keys(rows, "k", 250).collect()} == {"hot": 12}
 
 
 @pytest.mark.parametrize("n", [0, 1, 999, 1_500, 3_000, 5_000])
