@@ -1,0 +1,66 @@
+"""Properties of the plans that matter on a large cluster."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry_module
+from placefolio.operators import extraction, fetches, items, status
+from placefolio.plans import driver_tables as d
+
+QUERIES = entry_module.queries()
+
+
+def plan(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.sub(r"#\d+L?", "", text)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_join_and_no_global_window(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    # Only global aggregates may meet in one task, behind a partial aggregate.
+    lines = text.split("\n")
+    for above, line in zip(lines, lines[1:]):
+        if "SinglePartition" in line:
+            assert "Aggregate" in above, above
+
+
+@pytest.mark.parametrize("name,count", [("html_links", 1), ("html_visible_text", 1), ("link_candidates_top3", 2),
+                                        ("resolve_links", 2), ("extraction_job", 1)])
+def test_python_runs_once(spark, sf_dir, name, count):
+    assert len(re.findall("ArrowEvalPython|MapInPandas", plan(QUERIES[name](spark, sf_dir)))) == count
+
+
+@pytest.mark.parametrize("name,count", [("items_clean_dedupe", 1), ("response_parse_quality", 1), ("flatten_place_json", 1)])
+def test_json_is_parsed_once(spark, sf_dir, name, count):
+    assert len(re.findall("from_json", plan(QUERIES[name](spark, sf_dir)))) == count
+
+
+def test_filters_and_columns_reach_the_scan(spark, sf_dir):
+    text = plan(extraction.html_texts(d.documents(spark, sf_dir)))
+    assert "EqualTo(doc_type,html)" in text and "IsNotNull(raw_text)" in text
+    assert re.search(r"ReadSchema: struct<place_id:string,source_url:string,doc_type:string,raw_text:string>", text)
+    text = plan(status.items_per_place(d.items(spark, sf_dir)))
+    assert "ReadSchema: struct<place_id:string>" in text and "SortAggregate" not in text
+
+
+def test_candidates_are_limited_before_the_shuffle(spark, sf_dir):
+    assert re.search(r"WindowGroupLimit .*Partial", plan(QUERIES["link_candidates_top3"](spark, sf_dir)))
+
+
+def test_caps_are_top_k(spark, sf_dir):
+    for name in ("fetch_queue", "menu_sample_top50", "discovery_target"):
+        assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, sf_dir))
+
+
+def test_aggregates_combine_on_the_map_side(spark, sf_dir):
+    for df in (status.document_flags(d.documents(spark, sf_dir)), items.distinct_items(d.items(spark, sf_dir))):
+        text = plan(df)
+        assert text.count("Exchange") == 1 and "partial_" in text
+
+
+def test_bodies_stay_out_of_the_shuffles(spark, sf_dir):
+    parsed = fetches.parse_log(d.fetch_log(spark, sf_dir))
+    assert "Exchange" not in plan(parsed) and "content" not in parsed.columns
