@@ -133,9 +133,8 @@ GROUP BY place_id, currency
 SELECT place_id, count(*) AS n_items FROM fx_items GROUP BY place_id
 
 -- name: doc_flags
-SELECT place_id, max(CASE WHEN doc_type IN ('html', 'pdf') THEN 1 ELSE 0 END) AS got_source,
-       max(CASE WHEN doc_type = 'robots_blocked' THEN 1 ELSE 0 END) AS blocked,
-       max(CASE WHEN doc_type = 'fetch_failed' THEN 1 ELSE 0 END) AS failed
+SELECT place_id, bool_or(doc_type IN ('html', 'pdf')) AS has_source, bool_or(doc_type = 'robots_blocked') AS was_blocked,
+       bool_or(doc_type = 'fetch_failed') AS has_failed
 FROM fx_docs GROUP BY place_id
 
 -- name: place_status
@@ -158,12 +157,11 @@ SELECT (SELECT count(*) FROM fx_catalogue) AS restaurants,
        (SELECT '{' || string_agg('"' || menu_status || '":' || n, ',' ORDER BY menu_status) || '}' FROM b) AS status_breakdown
 
 -- name: priced_items_join
-SELECT p.name, i.section, i.item_name, i.price, i.currency FROM fx_items i JOIN fx_places p ON i.place_id = p.place_id
-WHERE i.price IS NOT NULL
+SELECT name, section, item_name, price, currency FROM fx_places JOIN fx_items USING (place_id) WHERE price IS NOT NULL
 
 -- name: menu_sample_top50
-SELECT p.name, p.rating, i.section, i.item_name, i.price, i.currency FROM fx_items i JOIN fx_places p ON i.place_id = p.place_id
-ORDER BY p.name, p.place_id, i.section NULLS FIRST, i.item_name, i.description, i.price NULLS FIRST LIMIT 50
+SELECT name, rating, section, item_name, price, currency FROM fx_places JOIN fx_items USING (place_id)
+ORDER BY name, place_id, section NULLS FIRST, item_name, description, price NULLS FIRST LIMIT 50
 
 -- name: table_roundtrip
 SELECT * FROM fx_places

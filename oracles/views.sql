@@ -153,17 +153,17 @@ FROM fx_raw_items WHERE item_name IS NOT NULL AND length(trim(item_name)) > 0
 GROUP BY place_id, section, item_name, description, price
 
 -- name: fx_catalogue
-WITH c AS (SELECT place_id, count(*) AS n FROM fx_items GROUP BY place_id)
-SELECT p.*, CASE
-    WHEN p.website_uri IS NULL THEN 'no_website'
-    WHEN coalesce(c.n, 0) > 0 THEN 'menu_extracted'
-    WHEN d.place_id IS NULL THEN 'not_attempted'
-    WHEN d.doc_type IN ('html', 'pdf') THEN 'source_found_no_items'
-    WHEN d.doc_type = 'robots_blocked' THEN 'robots_blocked'
-    WHEN d.doc_type = 'fetch_failed' THEN 'fetch_failed'
-    ELSE 'no_menu_found' END AS menu_status,
-  coalesce(c.n, 0) AS menu_item_count
-FROM fx_places p LEFT JOIN c ON p.place_id = c.place_id LEFT JOIN fx_docs d ON p.place_id = d.place_id
+WITH votes(place_id, rank, status) AS (
+  SELECT place_id, 1, 'no_website' FROM fx_places WHERE website_uri IS NULL
+  UNION ALL SELECT place_id, 2, 'menu_extracted' FROM fx_items
+  UNION ALL SELECT place_id, 3, 'not_attempted' FROM fx_places WHERE place_id NOT IN (SELECT place_id FROM fx_docs)
+  UNION ALL SELECT place_id, 4, 'source_found_no_items' FROM fx_docs WHERE doc_type IN ('html', 'pdf')
+  UNION ALL SELECT place_id, 5, doc_type FROM fx_docs WHERE doc_type = 'robots_blocked'
+  UNION ALL SELECT place_id, 6, doc_type FROM fx_docs WHERE doc_type = 'fetch_failed'
+  UNION ALL SELECT place_id, 7, 'no_menu_found' FROM fx_docs)
+SELECT p.*, v.menu_status, v.menu_item_count FROM fx_places p JOIN (
+  SELECT place_id, arg_min(status, rank) AS menu_status, count(*) FILTER (WHERE rank = 2) AS menu_item_count
+  FROM votes GROUP BY place_id) v ON p.place_id = v.place_id
 
 -- name: fx_shaped
 WITH u AS (SELECT url, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS root, regexp_extract(url, '^([^?#]*)', 1) AS bare,

@@ -10,37 +10,36 @@ def items_per_place(items: DataFrame) -> DataFrame:
 
 
 def document_flags(documents: DataFrame) -> DataFrame:
+    """What the fetches of a place came to, over all its document rows."""
     def any_of(*kinds):
-        return F.max(F.when(F.col("doc_type").isin(*kinds), 1).otherwise(0))
+        return F.coalesce(F.bool_or(F.col("doc_type").isin(*kinds)), F.lit(False))
 
     return documents.groupBy("place_id").agg(
-        any_of("html", "pdf").alias("got_source"), any_of("robots_blocked").alias("blocked"),
-        any_of("fetch_failed").alias("failed"))
+        any_of("html", "pdf").alias("has_source"), any_of("robots_blocked").alias("was_blocked"),
+        any_of("fetch_failed").alias("has_failed"))
 
 
 def place_status(places: DataFrame, items: DataFrame, documents: DataFrame) -> DataFrame:
     """All place columns with ``menu_status`` and ``menu_item_count``, one row per place.
 
-    Items and documents are aggregated before they meet the places, so both joins are one to one.
+    Items and documents are aggregated before they meet the places, so both joins are one to one and each
+    input is shuffled once.
     """
-    found = items_per_place(items)
-    flags = document_flags(documents).withColumn("attempted", F.lit(True))
-    joined = places.join(found, "place_id", "left").join(flags, "place_id", "left")
-    count = F.coalesce("n_items", F.lit(0))
-
-    def is_set(flag):
-        return F.coalesce(flag, F.lit(0)) == 1
-
-    # The status names, in order of precedence.
-    status = (F.when(F.col("website_uri").isNull(), "no_website")
-              .when(count > 0, "menu_extracted")
-              .when(F.col("attempted").isNull(), "not_attempted")
-              .when(is_set("got_source"), "source_found_no_items")
-              .when(is_set("blocked"), "robots_blocked")
-              .when(is_set("failed"), "fetch_failed")
-              .otherwise("no_menu_found"))
-    return joined.select(*[F.col(name) for name in places.columns],
-                         status.alias("menu_status"), count.cast("bigint").alias("menu_item_count"))
+    joined = (places.join(items_per_place(items), "place_id", "left")
+              .join(document_flags(documents), "place_id", "left"))
+    # The status names, first match wins. A place without document rows has null flags.
+    ladder = [
+        ("no_website", F.col("website_uri").isNull()),
+        ("menu_extracted", F.col("n_items") > 0),
+        ("not_attempted", F.col("has_source").isNull()),
+        ("source_found_no_items", F.col("has_source")),
+        ("robots_blocked", F.col("was_blocked")),
+        ("fetch_failed", F.col("has_failed")),
+        ("no_menu_found", F.lit(True)),
+    ]
+    status = F.coalesce(*[F.when(holds, F.lit(name)) for name, holds in ladder])
+    return joined.select(*[F.col(name) for name in places.columns], status.alias("menu_status"),
+                         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("menu_item_count"))
 
 
 def not_attempted(places: DataFrame, documents: DataFrame) -> DataFrame:

@@ -64,3 +64,22 @@ def test_aggregates_combine_on_the_map_side(spark, sf_dir):
 def test_bodies_stay_out_of_the_shuffles(spark, sf_dir):
     parsed = fetches.parse_log(d.fetch_log(spark, sf_dir))
     assert "Exchange" not in plan(parsed) and "content" not in parsed.columns
+
+
+def test_status_shuffles_every_input_once(spark, sf_dir):
+    from placefolio.session import staged
+    places = staged(d.places(spark, sf_dir), "places")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(status.place_status(places, d.items(spark, sf_dir), d.documents(spark, sf_dir)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert text.count("Exchange hashpartitioning(place_id") == 3 and text.count("Exchange") == 3
+
+
+def test_paging_ends_are_found_without_the_places(spark, sf_dir):
+    from placefolio.operators import discover
+    text = plan(discover.replay_search(d.search_pages(spark, sf_dir)))
+    # Once for the listings and once for the ends of the queries.
+    assert len(re.findall("from_json", text)) == 2
