@@ -235,7 +235,8 @@ def _decided(docs, doc_id, text, shingle, threshold, size) -> DataFrame:
     blocks = members.groupBy("family").agg(F.ceil(F.sum("n") / FAMILY_SHINGLES).alias("blocks"))
     members = staged(members.select("node", "family").join(blocks, "family")
                      .join(classes.select("node", "digest", F.col("first.doc_id").alias("first_id")), "node"), "members")
-    joined = _block_pairs(members, "blocks").join(texts, F.col("first_id").eqNullSafe(F.col("doc_id")))
+    # The same join at every size: a list of members that is broadcast today is not tomorrow.
+    joined = _block_pairs(members, "blocks").hint("merge").join(texts, F.col("first_id").eqNullSafe(F.col("doc_id")))
     links = staged(grouped(joined.select("family", "i", "j", "node", "digest", "text"), ["family", "i", "j"], ["node"],
                            _confirmed_edges(shingle, threshold), "u long, v long", 200), "links")
     # A family in one block has reported finished components.
