@@ -28,7 +28,8 @@ def frequent_digests(digests: DataFrame, most: int = MAX_WINNERS) -> DataFrame:
     """At most ``most`` digests that may be frequent."""
     per_group = (digests.groupBy(F.expr(f"spark_partition_id() div {MERGED_TASKS}").alias("part"))
                  .agg(F.expr(f"approx_top_k_accumulate(digest, {SKETCH_ITEMS})").alias("sketch")))
-    top = per_group.agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
+    # Grouped by a constant: without a key, tasks without rows would add sketches of no type, which cannot be merged.
+    top = per_group.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
     return (top.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("found"))
             .select(F.col("found.item").alias("digest")).where(F.col("digest").isNotNull()))
 
