@@ -69,5 +69,5 @@ def object_path(root: str, place_id: Column, filename: Column) -> Column:
 
 
 def object_key(path: Column) -> Column:
-    """Part of a path behind ``raw/``: equal for all schemes and mount points."""
-    return F.regexp_extract(path, "raw/(.*)$", 1)
+    """Part of a path behind ``raw/``: equal for all schemes and mount points. Null if there is none."""
+    return F.when(F.contains(path, F.lit("raw/")), F.regexp_extract(path, "raw/(.*)$", 1))

@@ -32,8 +32,9 @@ def robots_address(url: Column) -> Column:
 
 
 def percent_decoded(text: Column) -> Column:
-    """Undo percent-encoding; a ``+`` stays a ``+``. Text that is not valid encoding stays as it is."""
-    decoded = F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    """Undo percent-encoding, escape by escape; a ``+`` stays a ``+``, and so does a ``%`` without two hex digits."""
+    valid = F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
+    decoded = F.try_url_decode(F.replace(valid, F.lit("+"), F.lit("%2B")))
     return F.when(F.contains(text, F.lit("%")), F.coalesce(decoded, text)).otherwise(text)
 
 

@@ -40,7 +40,7 @@ def _each_place(places: str | Column) -> list[Column]:
 def replay_search(pages: DataFrame, max_pages: int = MAX_PAGES_PER_QUERY) -> DataFrame:
     """Listings ``(query_ord, page_no, pos, raw_json)`` a paging client would have seen.
 
-    A query ends before its first failed page, behind its first page without a next token, and after
+    A query ends before its first failed or missing page, behind its first page without a next token, and after
     ``max_pages`` pages; other queries go on.
     """
     read = read_search_pages(pages).where(F.col("page_no") < max_pages)
@@ -49,9 +49,13 @@ def replay_search(pages: DataFrame, max_pages: int = MAX_PAGES_PER_QUERY) -> Dat
                                                      F.max("has_next").alias("has_next"))
             .groupBy("query_ord").agg(
                 F.coalesce(F.min(F.when(F.col("failed"), F.col("page_no"))), F.lit(max_pages)).alias("_failed_page"),
-                F.coalesce(F.min(F.when(~F.col("has_next"), F.col("page_no"))), F.lit(max_pages)).alias("_last_page")))
+                F.coalesce(F.min(F.when(~F.col("has_next"), F.col("page_no"))), F.lit(max_pages)).alias("_last_page"),
+                F.collect_set(F.col("page_no").cast("int")).alias("_pages"))
+            .withColumn("_missing_page", F.array_min(F.array_except(
+                F.sequence(F.lit(0), F.lit(max_pages)), "_pages"))).drop("_pages"))
     return (join_on_unique(read, ends, "query_ord")
-            .where((F.col("page_no") < F.col("_failed_page")) & (F.col("page_no") <= F.col("_last_page")))
+            .where((F.col("page_no") < F.col("_failed_page")) & (F.col("page_no") <= F.col("_last_page"))
+                   & (F.col("page_no") < F.col("_missing_page")))
             .select("query_ord", "page_no", "first_pos", *_each_place("places"))
             .where(F.col("raw_json").isNotNull())
             .select("query_ord", "page_no", (F.col("first_pos") + F.col("_at")).alias("pos"), "raw_json"))

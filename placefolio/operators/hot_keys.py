@@ -6,18 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 # A key is spread from this many rows on, over one task per this many rows.
 HOT_KEY_ROWS = 100_000
-MAX_COPIES = 4_096
-# Only this many keys are spread, so the list of them always fits a broadcast. A key outside the list holds
-# less than 1/1000 of the rows.
-MAX_HOT_KEYS = 1_000
 
 
 def hot_keys(rows: DataFrame, key: str, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Most frequent keys as ``(key, _copies)``, from a count with map-side combine."""
+    """Every key with at least ``hot_key_rows`` rows as ``(key, _copies)``, from a count with map-side combine.
+
+    The list is broadcast: it has at most one entry per ``hot_key_rows`` rows, a million for 10^11 rows.
+    """
     return (rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
             .where(F.col("_n") >= hot_key_rows)
-            .orderBy(F.desc("_n"), key).limit(MAX_HOT_KEYS)
-            .select(key, F.least(F.ceil(F.col("_n") / hot_key_rows), F.lit(MAX_COPIES)).cast("int").alias("_copies")))
+            .select(key, F.ceil(F.col("_n") / hot_key_rows).cast("int").alias("_copies")))
 
 
 def spread_join(rows: DataFrame, lookup: DataFrame, on: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:

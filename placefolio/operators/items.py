@@ -21,8 +21,12 @@ def with_name(items: DataFrame) -> DataFrame:
 
 
 def distinct_items(items: DataFrame) -> DataFrame:
-    """One row per item of a place; of several sources the smallest stays. Nulls are equal, prices differ."""
-    return items.groupBy(*schemas.ITEM_KEY).agg(F.min("source_url").alias("source_url"))
+    """One row per item of a place; of several sources the smallest stays. Nulls are equal, prices differ.
+
+    The smallest of strings needs sorted input, so repeats go first, by hash and before the shuffle.
+    """
+    found = items.select(*schemas.ITEM_KEY, "source_url").distinct()
+    return found.groupBy(*schemas.ITEM_KEY).agg(F.min("source_url").alias("source_url"))
 
 
 def clean_items(items: DataFrame) -> DataFrame:

@@ -28,16 +28,13 @@ def place_status(places: DataFrame, items: DataFrame, documents: DataFrame) -> D
     joined = (places.join(items_per_place(items), "place_id", "left")
               .join(document_flags(documents), "place_id", "left"))
     # The status names, first match wins. A place without document rows has null flags.
-    ladder = [
-        ("no_website", F.col("website_uri").isNull()),
-        ("menu_extracted", F.col("n_items") > 0),
-        ("not_attempted", F.col("has_source").isNull()),
-        ("source_found_no_items", F.col("has_source")),
-        ("robots_blocked", F.col("was_blocked")),
-        ("fetch_failed", F.col("has_failed")),
-        ("no_menu_found", F.lit(True)),
-    ]
-    status = F.coalesce(*[F.when(holds, F.lit(name)) for name, holds in ladder])
+    status = (F.when(F.col("website_uri").isNull(), "no_website")
+              .when(F.col("n_items") > 0, "menu_extracted")
+              .when(F.col("has_source").isNull(), "not_attempted")
+              .when(F.col("has_source"), "source_found_no_items")
+              .when(F.col("was_blocked"), "robots_blocked")
+              .when(F.col("has_failed"), "fetch_failed")
+              .otherwise("no_menu_found"))
     return joined.select(*[F.col(name) for name in places.columns], status.alias("menu_status"),
                          F.coalesce("n_items", F.lit(0)).cast("bigint").alias("menu_item_count"))
 

@@ -53,7 +53,10 @@ class RunParams:
     def from_strings(cls, search_queries: str = "", target_count: str = str(DEFAULT_TARGET),
                      max_sites: str = str(DEFAULT_SITE_CAP), currency: str = "",
                      reset_tables: str = "false", **other) -> RunParams:
-        """Parameters as a job scheduler passes them: all strings."""
-        return cls(search_queries=split_list(search_queries), target_count=int(target_count),
-                   max_sites=int(max_sites), currency=currency.strip() or DEFAULT_CURRENCY,
+        """Parameters as a job scheduler passes them: all strings. A blank cap is no cap."""
+        def cap(text: str) -> int | None:
+            return int(text) if text.strip() else None
+
+        return cls(search_queries=split_list(search_queries), target_count=cap(target_count),
+                   max_sites=cap(max_sites), currency=currency.strip() or DEFAULT_CURRENCY,
                    reset_tables=reset_tables == "true", **other)

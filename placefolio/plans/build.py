@@ -18,6 +18,7 @@ from placefolio.sources.tables import write_table
 BRONZE, SILVER, DOCUMENTS, ITEMS, CATALOGUE = (
     "restaurants_bronze", "restaurants_silver", "menu_documents", "menu_items", "restaurants")
 OBJECTS = "raw_objects"
+CALL_ERRORS = "call_errors"
 
 
 def pdf_log(fetch_log: DataFrame) -> DataFrame:
@@ -58,8 +59,10 @@ def build_catalogue(spark: SparkSession, search_pages: DataFrame, fetch_log: Dat
     if keep_objects:
         save(place_objects(queue, documents, fetch_log, params.object_root), OBJECTS)
 
-    parsed = extraction.parse_documents(pdf_log(fetch_log).select(F.col("url").alias("path"), "content"), parse_fn,
-                                        call_partitions)
+    # Only documents that were chosen for a place are parsed.
+    chosen = documents.where("doc_type = 'pdf'").select(F.col("source_url").alias("url")).distinct()
+    wanted = pdf_log(fetch_log).join(chosen, "url", "left_semi").select(F.col("url").alias("path"), "content")
+    parsed = staged(extraction.parse_documents(wanted, parse_fn, call_partitions), "parsed-documents")
     texts = staged(extraction.source_texts(
         extraction.html_texts(documents),
         extraction.pdf_texts_by_url(documents, parsed.withColumnRenamed("path", "url")),
@@ -68,5 +71,10 @@ def build_catalogue(spark: SparkSession, search_pages: DataFrame, fetch_log: Dat
     responses = staged(extraction.extract_items(texts, extract_fn, call_partitions), "responses")
     item_table = save(items.items_from_responses(responses, params.currency), ITEMS)
 
+    failed = [parsed.select(F.lit("document").alias("stage"), F.lit(None).cast("string").alias("place_id"),
+                            F.col("path").alias("source_url"), "error"),
+              responses.select(F.lit("extraction").alias("stage"), "place_id", "source_url", "error")]
+    save(failed[0].unionByName(failed[1]).where(F.col("error").isNotNull()), CALL_ERRORS)
+
     catalogue = save(status.place_status(silver, item_table, documents), CATALOGUE)
     return reports.run_summary(catalogue, item_table)

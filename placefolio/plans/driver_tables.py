@@ -213,7 +213,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored bytes of all PDF documents, under the path a file scan would report."""
     stored = documents(spark, sf_dir).where("doc_type = 'pdf'").select(
-        F.concat(F.lit("dbfs:/"), "stored_path").alias("path"), F.col("source_url").alias("url"))
+        F.concat(F.lit("file:/"), "stored_path").alias("path"), F.col("source_url").alias("url"))
     return stored.join(fetch_log(spark, sf_dir).select("url", "content"), "url").select("path", "content")
 
 

@@ -174,7 +174,7 @@ def raw_object_path(spark, sf):
 def binary_docs_scan(spark, sf):
     scanned = objects.scan_files(spark, sf, "*.parquet")
     return scanned.select(F.regexp_extract("path", "([^/]+)$", 1).alias("filename"), "length",
-                          F.length("content").cast("bigint").alias("n_read"))
+                          F.length("content").cast("bigint").alias("n_read"), F.sha2("content", 256).alias("content_sha256"))
 
 
 # -- texts and extraction --------------------------------------------------------------------------------
@@ -188,7 +188,7 @@ def join_on_path_key(spark, sf):
         F.col("page_id").cast("string").alias("place_id"), F.col("url").alias("source_url"),
         F.lit("pdf").alias("doc_type"), path("/data", "page_id").alias("stored_path"))
     scanned = d.table(spark, sf, "documents").select(
-        path("dbfs:/data", "doc_id").alias("path"), F.col("text").alias("source_text"))
+        path("s3a://bucket/data", "doc_id").alias("path"), F.col("text").alias("source_text"))
     return extraction.pdf_texts(stored, scanned)
 
 

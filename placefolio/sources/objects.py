@@ -31,16 +31,11 @@ def place_objects(queue: DataFrame, documents: DataFrame, fetch_log: DataFrame,
     return raw_objects(join_on_unique(homes.unionByName(chosen), fetched, "url"), root, F.col("filename"))
 
 
-def scan_files(spark: SparkSession, folder: str, pattern: str = "*", max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Files below a folder as ``(path, modificationTime, length, content)``.
+def scan_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """Files below a folder as ``(path, modificationTime, length, content)``, whole whatever their size.
 
-    The folder is listed by Spark, so no list of paths passes the driver's own code. Stored objects never exceed
-    ``max_bytes``; a larger file is listed with null content, and the size test keeps it from being read.
+    The folder is listed by Spark, so no list of paths passes the driver's own code. A file is one value, so it must
+    be smaller than 2 GB.
     """
-    def read():
-        return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-                .option("recursiveFileLookup", "true").load(folder))
-
-    fitting = read().where(F.col("length") <= max_bytes)
-    oversize = read().where(F.col("length") > max_bytes).withColumn("content", F.lit(None).cast("binary"))
-    return fitting.unionByName(oversize)
+    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", "true").load(folder))

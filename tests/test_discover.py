@@ -48,6 +48,13 @@ def test_discovery_equals_a_paging_loop(spark):
             assert [r["place_id"] for r in rows] == naive(queries, target)
 
 
+def test_a_query_ends_at_a_page_that_was_not_recorded(spark):
+    rows = [(0, 0, 0, '{"places": [{"id": "a"}], "nextPageToken": "t"}', None),
+            (0, 2, 0, '{"places": [{"id": "c"}]}', None), (1, 1, 0, '{"places": [{"id": "d"}]}', None)]
+    got = discover.with_place_id(discover.replay_search(spark.createDataFrame(rows, PAGES))).collect()
+    assert [r["place_id"] for r in got] == ["a"]
+
+
 def test_flatten_places(spark):
     full = {"id": "p1", "displayName": {"text": "N"}, "formattedAddress": "A", "location": {"latitude": 1, "longitude": 2.5},
             "rating": 4, "userRatingCount": 7, "priceLevel": "P", "types": ["a", "b"], "primaryType": "a", "websiteUri": "u",

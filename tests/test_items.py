@@ -91,7 +91,7 @@ def test_source_texts(spark):
         ("p1", "u1", "html", None, "a" * 201), ("p2", "u2", "html", None, "a" * 200), ("p3", "u3", "html", None, None),
         ("p4", "u4", "pdf", "/data/raw/p4/menu.pdf", None), ("p5", "u5", "pdf", None, None), ("p6", "u6", "none", None, "a" * 300)],
         "place_id string, source_url string, doc_type string, stored_path string, raw_text string")
-    parsed = spark.createDataFrame([("dbfs:/data/raw/p4/menu.pdf", "b" * 300), ("dbfs:/data/raw/p9/menu.pdf", "c" * 300)],
+    parsed = spark.createDataFrame([("s3a://bucket/data/p4/menu.pdf", "no root"), ("s3a://bucket/data/raw/p4/menu.pdf", "b" * 300), ("s3a://bucket/data/raw/p9/menu.pdf", "c" * 300)],
                                    "path string, source_text string")
     texts = extraction.source_texts(extraction.html_texts(docs), extraction.pdf_texts(docs, parsed))
     assert {(r["place_id"], r["source_text"][0]) for r in texts.collect()} == {("p1", "a"), ("p4", "b")}

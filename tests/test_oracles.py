@@ -6,8 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare, duck
+from oracles import load_oracles
+from placefolio.plans import registry
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, load_oracles()
 
 
 @pytest.fixture(scope="module")

@@ -4,11 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_module
 from placefolio.operators import extraction, fetches, items, status
 from placefolio.plans import driver_tables as d
+from placefolio.plans.registry import QUERIES
 
-QUERIES = entry_module.queries()
 
 
 def plan(df):

@@ -40,8 +40,8 @@ def test_file_scan(spark, tmp_path):
     (tmp_path / "big.pdf").write_bytes(b"x" * 50)
     (tmp_path / "other.txt").write_bytes(b"x")
     got = {r["path"].rsplit("/", 1)[1]: (r["length"], r["content"] and bytes(r["content"]))
-           for r in objects.scan_files(spark, str(tmp_path), "*.pdf", max_bytes=20).collect()}
-    assert got == {"menu_a%2Fb.pdf": (5, b"12345"), "big.pdf": (50, None)}
+           for r in objects.scan_files(spark, str(tmp_path), "*.pdf").collect()}
+    assert got == {"menu_a%2Fb.pdf": (5, b"12345"), "big.pdf": (50, b"x" * 50)}
 
 
 def test_parameters():
@@ -49,6 +49,8 @@ def test_parameters():
     assert (params.search_queries, params.target_count, params.max_sites, params.currency, params.reset_tables) == (
         ("a", "b"), 10, 20, DEFAULT_CURRENCY, True)
     assert RunParams.from_strings(currency=" EUR ").currency == "EUR"
+    uncapped = RunParams.from_strings(target_count=" ", max_sites="")
+    assert uncapped.target_count is None and uncapped.max_sites is None
 
 
 def test_whole_run(spark, sf_dir):
@@ -79,6 +81,7 @@ def test_whole_run(spark, sf_dir):
     stored = {r["stored_path"] for r in spark.table(f"{namespace}.menu_documents").where("stored_path IS NOT NULL").collect()}
     assert stored and stored <= set(kept) and min(kept.values()) > 0
     assert {r["menu_status"] for r in places.select("menu_status").distinct().collect()} >= {"menu_extracted", "no_website"}
+    assert spark.table(f"{namespace}.call_errors").columns == ["stage", "place_id", "source_url", "error"]
     spark.sql(f"DROP SCHEMA {namespace} CASCADE")
 
 

@@ -58,6 +58,14 @@ def test_same_site_counts_case_and_port(spark):
     assert got == cases
 
 
+def test_escapes_are_decoded_one_by_one(spark):
+    from urllib.parse import unquote
+    texts = ["/a%20b%zz", "%", "%4", "/100%/%41", "a+b%2B", "%%41", "plain", "%C3%BC%"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["d"] for r in df.select("t", urls.percent_decoded(F.col("t")).alias("d")).collect()}
+    assert got == {t: unquote(t) for t in texts}
+
+
 def test_slug_equals_full_quoting(spark):
     cases = ["http://h.example.com/a b?c=d&e=~f*g+h", "ü/é(1)'!", "a" * 200, "x-y_z.~"]
     df = spark.createDataFrame([(u,) for u in cases], "u string")
