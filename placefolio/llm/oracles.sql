@@ -99,7 +99,7 @@ WITH p AS (
 ), s0 AS (
   SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY suffix
 ), s1 AS (
-  SELECT *, (SELECT (coalesce(sum(bad), 0) + 1.0) / (coalesce(sum(n), 0) + 2.0) FROM s0) AS prior FROM s0
+  SELECT *, (SELECT CASE WHEN sum(n) > 0 THEN (sum(bad) + 1.0) / (sum(n) + 2.0) END FROM s0) AS prior FROM s0
 ), s2 AS (
   SELECT suffix, (bad + k * prior) / (n + k) AS m FROM s1, (
     SELECT 1 / least(greatest(coalesce(CASE WHEN sum(n) > count(*) THEN

@@ -82,8 +82,9 @@ def host_reputation(outcomes: DataFrame, max_bad: float = MAX_BAD, z: float = Z)
     count = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("domain", "suffix").agg(*count)
     suffixes = domains.groupBy("suffix").agg(*count)
-    overall = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2))
-                           .alias("overall"), F.lit(1).alias("one"))
+    # Null without any label: then nothing is known and nothing blocked.
+    overall = suffixes.agg(F.when(F.sum("n") > 0, (F.sum("bad") + 1) / (F.sum("n") + 2)).alias("overall"),
+                           F.lit(1).alias("one"))
     suffixes = suffixes.join(F.broadcast(overall), F.lit(1) == F.col("one")).drop("one")
     suffixes = _posterior(suffixes, F.col("overall")).select("suffix", F.col("mean").alias("suffix_mean"))
     domains = _posterior(domains.join(suffixes, "suffix"), F.col("suffix_mean"))

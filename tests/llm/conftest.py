@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_rows import CLASHING, ODD  # noqa: E402
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def docs(spark):
+    """Function from texts (or rows of id and text) to documents."""
+    def make(rows, extra=()):
+        rows = [r if isinstance(r, tuple) else (i, r) for i, r in enumerate(rows)]
+        full = [(i, t, "en", f"s{(i or 0) % 3}", len(t or ""), *(f"x{k}" for k, _ in enumerate(extra))) for i, t in rows]
+        return spark.createDataFrame(full, DOCS + "".join(f", {c} string" for c in extra)).repartition(3)
+    return make
+
+
+@pytest.fixture
+def odd(docs):
+    return docs(ODD, CLASHING)
+
+
+@pytest.fixture
+def empty(docs):
+    return docs([], CLASHING)
