@@ -19,6 +19,8 @@ from placefolio.llm import blocks as bl
 from placefolio.llm.words import one_array, sketch_hash, words
 
 ORDER = 5
+# Text of a block: some 60 bytes of arrays per byte while it is worked on.
+BLOCK_BYTES = 5 << 20
 END, SYMBOLS = b"\n", 256
 _WORDS, _GRAMS = 0, 1
 _WORD_RATE, _GRAM_RATE = 0.3, 0.6
@@ -154,7 +156,7 @@ def in_fold(ids: pa.ChunkedArray, parts: int, wanted: int) -> np.ndarray:
 
 
 def score_documents(docs: DataFrame, held_out: Callable[[pa.ChunkedArray], np.ndarray], doc_id: str = "doc_id",
-                    text: str = "text", order: int = ORDER, block_bytes: int = bl.BLOCK_BYTES) -> DataFrame:
+                    text: str = "text", order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes``.
 
     ``held_out`` gets the ids of a block and says which documents the model does not learn from. ``base_score`` is the
