@@ -9,7 +9,7 @@ responses          every ``lineitem`` as one extraction answer about its part; p
 =================  ========================================================================================
 
 What a crawler or a model would have recorded is stored once per application and read from there, as the jobs
-would find it. All rows are mapped. Odd inputs (failed pages, refused fetches, broken answers) hang on column values.
+would find it. Of the documents only those behind a link of a page are mapped. Odd inputs (failed pages, refused fetches, broken answers) hang on column values.
 """
 
 from __future__ import annotations
