@@ -67,7 +67,17 @@ SELECT discovery_rank, place_id, website_uri FROM fx_places WHERE coalesce(websi
 SELECT url, robots_url, robots_allowed FROM fx_allowed WHERE url IN (SELECT url FROM pages)
 
 -- name: first_success
-SELECT site_url, rank, url, kind, content_type, length(text) AS n_chars FROM fx_best
+SELECT site_url, rank, url, kind, content_type, n_chars FROM fx_best
+
+-- name: fetch_log_rows
+SELECT content_type, http_status, count(*) AS n_rows, CAST(sum(octet_length(encode(content))) AS BIGINT) AS n_bytes FROM fx_log
+GROUP BY content_type, http_status
+
+-- name: robots_answers
+WITH u AS (SELECT page_id, url, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS root FROM pages),
+a AS (SELECT root, min(CASE page_id % 5 WHEN 0 THEN 401 WHEN 1 THEN 503 WHEN 2 THEN 404 END) AS code FROM u GROUP BY root)
+SELECT url, u.root || '/robots.txt' AS robots_url, coalesce(code NOT IN (401, 503), true) AS robots_allowed
+FROM (SELECT DISTINCT url, root FROM u) u JOIN a ON u.root = a.root
 
 -- name: fetch_outcome
 SELECT * FROM fx_docs

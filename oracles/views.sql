@@ -53,12 +53,29 @@ z AS (SELECT url, list_filter(list_transform(generate_series(1, len(h)), lambda
 SELECT site_url, CAST(pos AS INTEGER) AS pos, l.href AS href, l.text AS text
 FROM (SELECT url AS site_url, unnest(links) AS l, generate_subscripts(links, 1) - 1 AS pos FROM z)
 
+-- name: fx_doc_links
+SELECT doc_id, p.page_id, h AS href, label, coalesce(regexp_extract(p.url, '^(https?://[^/?#]+)', 1), 'http://nosite.example.com') || h AS url
+FROM (SELECT doc_id, doc_id // 4 AS k, '/doc/' || doc_id || CASE WHEN doc_id % 7 = 0 THEN '.pdf' ELSE '.html' END AS h,
+             CASE WHEN doc_id % 3 = 1 THEN 'paper ' ELSE 'the text ' END || doc_id AS label FROM documents)
+     LEFT JOIN pages p ON p.page_id = k
+
+-- name: fx_page_docs
+SELECT page_id, count(*) AS n, string_agg(label, ' ' ORDER BY doc_id) AS labels,
+       string_agg('<a href="' || href || '">' || label || '</a>', '' ORDER BY doc_id) AS html FROM fx_doc_links GROUP BY page_id
+
+-- name: fx_home_links
+SELECT p.url AS site_url, row_number() OVER (PARTITION BY p.page_id ORDER BY doc_id) - 1 AS pos, href, label AS text
+FROM fx_doc_links d JOIN pages p ON d.page_id = p.page_id
+UNION ALL
+SELECT site_url, pos + coalesce(n, 0), href, text
+FROM fx_links JOIN pages p ON p.url = site_url LEFT JOIN fx_page_docs d ON d.page_id = p.page_id
+
 -- name: fx_scored
 SELECT *, CASE WHEN pdf AND strong THEN 0 WHEN strong THEN 1 ELSE 2 END AS score FROM (
   SELECT site_url, pos, url, split_part(lower(url), '?', 1) LIKE '%.pdf' AS pdf, contains(blob, 'the') AS strong,
          regexp_matches(blob, 'the|tion|en') OR regexp_matches(blob, '(^|[^\p{L}\p{N}_])and($|[^\p{L}\p{N}_])') AS hinted
   FROM (SELECT *, regexp_extract(site_url, '^(https?://[^/?#]+)', 1) || href AS url, lower(href || ' ' || text) AS blob
-        FROM fx_links))
+        FROM fx_home_links))
 WHERE hinted OR pdf
 
 -- name: fx_candidates
@@ -68,20 +85,19 @@ SELECT site_url, CAST(rank AS INTEGER) AS rank, url, CAST(score AS INTEGER) AS s
 WHERE rank <= 3
 
 -- name: fx_log
-WITH d AS (SELECT c.url, min(doc_id) AS doc_id FROM fx_candidates c JOIN pages p ON p.url = c.site_url
-           JOIN documents ON doc_id // 3 = page_id AND doc_id % 3 + 1 = c.rank GROUP BY c.url)
 SELECT p.url, CASE WHEN regexp_matches(p.url, 'cheap-pills|free-bets|casino-win') THEN 403
                    WHEN p.url LIKE '%.html' THEN NULL ELSE 200 END AS http_status,
        CASE WHEN regexp_matches(p.url, 'cheap-pills|free-bets|casino-win') THEN 'HTTP Error 403: Forbidden'
             WHEN p.url LIKE '%.html' THEN 'URLError: timed out' END AS error,
-       'text/html' AS content_type, visible_text AS text, html AS content
-FROM pages p JOIN fx_text t ON p.page_id = t.page_id
+       'text/html' AS content_type, concat_ws(' ', labels, nullif(visible_text, '')) AS text,
+       coalesce(d.html, '') || p.html AS content
+FROM pages p JOIN fx_text t ON p.page_id = t.page_id LEFT JOIN fx_page_docs d ON d.page_id = p.page_id
 UNION ALL
 SELECT url, CASE WHEN lang = 'de' THEN NULL ELSE 200 END, CASE WHEN lang = 'de' THEN 'URLError: timed out' END,
        CASE WHEN source IN ('src0', 'src1', 'src2', 'src3') THEN 'application/pdf'
             WHEN source IN ('src4', 'src5') THEN 'image/png' WHEN source = 'src6' THEN '' ELSE 'text/html' END,
-       regexp_replace(text, '^\s+|\s+$', '', 'g'), '<html><body><p>' || text || '</p></body></html>'
-FROM d JOIN documents ON d.doc_id = documents.doc_id
+       regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g'), '<html><body><p>' || coalesce(text, '') || '</p></body></html>'
+FROM fx_doc_links d JOIN documents ON d.doc_id = documents.doc_id
 
 -- name: fx_rules
 WITH s AS (SELECT DISTINCT regexp_extract(url, '^(https?://[^/?#]+)', 1) AS root FROM pages),
@@ -89,6 +105,7 @@ w(hosts, group_ord, agent, rule_ord, path_prefix, allow) AS (VALUES
   ('%', 0, 'otherbot', 1, '/', false),
   ('m.%', 1, '*', 1, '/en/2', true), ('m.%', 1, '*', 2, '/en/', false),
   ('th%', 1, '*', 1, '/fr', false), ('th%', 1, '*', 2, '/fr/', true), ('th%', 1, '*', 3, '/The', false),
+  ('th%', 1, '*', 4, '/doc/1', false),
   ('blog.%', 1, '*', 1, '/', false), ('blog.%', 2, 'Placefolio', 1, '/de/', false), ('blog.%', 2, 'Placefolio', 2, '/es/', true))
 SELECT root, group_ord, agent, rule_ord, path_prefix, allow FROM s JOIN w ON regexp_extract(root, '://(.*)$', 1) LIKE hosts
 
@@ -106,9 +123,9 @@ SELECT u.url, u.root || '/robots.txt' AS robots_url, coalesce(m.allow, true) AS
 FROM u LEFT JOIN m ON u.url = m.url AND m.n = 1
 
 -- name: fx_best
-SELECT site_url, rank, url, kind, http_status, content_type, text FROM (
+SELECT site_url, rank, url, kind, http_status, content_type, text, CASE WHEN kind = 'html' THEN n_chars END AS n_chars FROM (
   SELECT *, row_number() OVER (PARTITION BY site_url ORDER BY rank) AS n FROM (
-    SELECT c.site_url, c.rank, c.url, l.http_status, l.content_type, substr(l.text, 1, 20000) AS text,
+    SELECT c.site_url, c.rank, c.url, l.http_status, l.content_type, substr(l.text, 1, 20000) AS text, length(l.text) AS n_chars,
            CASE WHEN l.content_type LIKE '%pdf%' OR split_part(lower(c.url), '?', 1) LIKE '%.pdf' THEN 'pdf'
                 WHEN (l.content_type LIKE '%html%' OR l.content_type = '') AND length(l.text) > 1000 THEN 'html' END AS kind
     FROM fx_candidates c JOIN fx_log l ON c.url = l.url JOIN fx_allowed a ON a.url = c.url

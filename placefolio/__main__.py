@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> str:
     parser.add_argument("--max-sites", default=str(DEFAULT_SITE_CAP))
     parser.add_argument("--currency", default=DEFAULT_CURRENCY)
     parser.add_argument("--reset-tables", default="false", choices=["true", "false"])
+    parser.add_argument("--upsert", action="store_true", help="keep the stored rows of places this run does not find")
+    parser.add_argument("--rule-answers", help="Parquet with robots_url, http_status of rules files that could not be read")
     parser.add_argument("--keep-objects", action="store_true")
     args = parser.parse_args(argv)
 
@@ -31,11 +33,13 @@ def main(argv: list[str] | None = None) -> str:
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    params = RunParams.from_strings(args.search_queries, args.target_count, args.max_sites, args.currency, args.reset_tables)
+    params = RunParams.from_strings(args.search_queries, args.target_count, args.max_sites, args.currency, args.reset_tables,
+                                    upsert=args.upsert)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {args.namespace}")
     summary = build_catalogue(
         spark, *[spark.read.parquet(path) for path in (args.search_pages, args.fetch_log, args.rules)],
-        args.namespace, params, location=args.location, keep_objects=args.keep_objects)
+        args.namespace, params, location=args.location, keep_objects=args.keep_objects,
+        rule_answers=spark.read.parquet(args.rule_answers) if args.rule_answers else None)
     report = summary.first().asDict()
     report["status_breakdown"] = json.loads(report["status_breakdown"])
     result = json.dumps({"schema": args.namespace, **report})

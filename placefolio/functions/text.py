@@ -31,14 +31,14 @@ def first_non_empty(*texts: Column) -> Column:
     return F.coalesce(*[F.nullif(text, F.lit("")) for text in texts])
 
 
-def first_chars(text: Column, count: int) -> Column:
-    """First ``count`` code points."""
-    return F.substring(text, 1, count)
+def first_chars(text: Column, count: int | None) -> Column:
+    """First ``count`` code points, all with ``None``."""
+    return text if count is None else F.substring(text, 1, count)
 
 
-def first_bytes(content: Column, count: int = MAX_BYTES) -> Column:
-    """First ``count`` bytes of a binary column."""
-    return F.substring(content, 1, count)
+def first_bytes(content: Column, count: int | None = MAX_BYTES) -> Column:
+    """First ``count`` bytes of a binary column, all with ``None``."""
+    return content if count is None else F.substring(content, 1, count)
 
 
 def _decode_dropping_bad_bytes(content: pd.Series) -> pd.Series:

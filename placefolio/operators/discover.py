@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from placefolio import schemas
 from placefolio.operators.hot_keys import join_on_unique
 from placefolio.operators.topn import first_rows
 from placefolio.params import DEFAULT_TARGET, MAX_PAGES_PER_QUERY
+from placefolio.session import staged
 
 DISCOVERY_ORDER = ["query_ord", "page_no", "pos"]
 
@@ -37,25 +38,25 @@ def _each_place(places: str | Column) -> list[Column]:
     return [F.posexplode_outer(places).alias("_at", "raw_json")]
 
 
-def replay_search(pages: DataFrame, max_pages: int = MAX_PAGES_PER_QUERY) -> DataFrame:
+def replay_search(pages: DataFrame, max_pages: int | None = MAX_PAGES_PER_QUERY) -> DataFrame:
     """Listings ``(query_ord, page_no, pos, raw_json)`` a paging client would have seen.
 
     A query ends before its first failed or missing page, behind its first page without a next token, and after
-    ``max_pages`` pages; other queries go on.
+    ``max_pages`` pages (``None``: no such limit); other queries go on.
     """
-    read = read_search_pages(pages).where(F.col("page_no") < max_pages)
-    # At most max_pages rows per query behind the map-side combine, whatever the size of its pages.
-    ends = (read.groupBy("query_ord", "page_no").agg(F.max("failed").alias("failed"),
-                                                     F.max("has_next").alias("has_next"))
-            .groupBy("query_ord").agg(
-                F.coalesce(F.min(F.when(F.col("failed"), F.col("page_no"))), F.lit(max_pages)).alias("_failed_page"),
-                F.coalesce(F.min(F.when(~F.col("has_next"), F.col("page_no"))), F.lit(max_pages)).alias("_last_page"),
-                F.collect_set(F.col("page_no").cast("int")).alias("_pages"))
-            .withColumn("_missing_page", F.array_min(F.array_except(
-                F.sequence(F.lit(0), F.lit(max_pages)), "_pages"))).drop("_pages"))
+    read = read_search_pages(pages)
+    if max_pages is not None:
+        read = read.where(F.col("page_no") < max_pages)
+    # One row per query and page behind the map-side combine, whatever the size of its pages. A client goes on from
+    # a page to the next as long as none before it failed, was the last, or is missing.
+    state = read.groupBy("query_ord", "page_no").agg(F.max("failed").alias("failed"), F.max("has_next").alias("has_next"))
+    in_order = W.partitionBy("query_ord").orderBy("page_no")
+    ends = (state.withColumn("_at", F.row_number().over(in_order) - 1)
+            .withColumn("_stop", F.when(F.col("failed") | (F.col("page_no") != F.col("_at")), F.col("_at") - 1)
+                        .when(~F.col("has_next"), F.col("_at")))
+            .groupBy("query_ord").agg(F.min("_stop").alias("_last_page")))
     return (join_on_unique(read, ends, "query_ord")
-            .where((F.col("page_no") < F.col("_failed_page")) & (F.col("page_no") <= F.col("_last_page"))
-                   & (F.col("page_no") < F.col("_missing_page")))
+            .where(F.col("_last_page").isNull() | (F.col("page_no") <= F.col("_last_page")))
             .select("query_ord", "page_no", "first_pos", *_each_place("places"))
             .where(F.col("raw_json").isNotNull())
             .select("query_ord", "page_no", (F.col("first_pos") + F.col("_at")).alias("pos"), "raw_json"))
@@ -65,22 +66,43 @@ def with_place_id(listings: DataFrame) -> DataFrame:
     return listings.withColumn("place_id", F.get_json_object("raw_json", "$.id"))
 
 
-def first_seen(listings: DataFrame) -> DataFrame:
-    """One row per place: its first listing by query, page and position. Rows without an id are dropped.
+def first_seen_order(listings: DataFrame) -> DataFrame:
+    """``(place_id, query_ord, page_no, pos)`` of each place's first listing. Rows without an id are dropped.
 
-    An aggregate, not a window: a place that is listed over and over shrinks to one row per task first.
+    A hash aggregate on one number: a place that is listed over and over shrinks to one row per task, unsorted. The
+    number has 14 digits for the query, 10 for the page and 14 for the position; larger ones raise an error.
     """
-    rest = [name for name in listings.columns if name not in ("place_id", *DISCOVERY_ORDER)]
-    order = F.struct(*DISCOVERY_ORDER)
+    zeros = {"query_ord": 24, "page_no": 14, "pos": 0}
+    sizes = {"query_ord": 14, "page_no": 10, "pos": 14}
+    packed = " + ".join(f"CAST(CAST({name} AS DECIMAL({sizes[name]}, 0)) * {10 ** zeros[name]}BD AS DECIMAL(38, 0))"
+                        for name in DISCOVERY_ORDER)
+    types = dict(listings.dtypes)
+    left = {"query_ord": "_at", "page_no": f"_at % {10 ** 24}BD", "pos": f"_at % {10 ** 14}BD"}
+    unpacked = [F.expr(f"({left[name]}) div {10 ** zeros[name]}BD").cast(types[name]).alias(name) for name in DISCOVERY_ORDER]
     return (listings.where(F.coalesce("place_id", F.lit("")) != "")
-            .groupBy("place_id")
-            .agg(F.min(F.struct(order.alias("at"), *rest)).alias("_first"))
-            .select("place_id", "_first.at.*", *[f"_first.{name}" for name in rest]))
+            .groupBy("place_id").agg(F.min(F.expr(f"CAST({packed} AS DECIMAL(38, 0))")).alias("_at"))
+            .select("place_id", *unpacked))
+
+
+def with_payload(found: DataFrame, listings: DataFrame) -> DataFrame:
+    """The other columns of each place's first listing; of repeated listings at one position the smallest."""
+    key = ["place_id", *DISCOVERY_ORDER]
+    rest = [name for name in listings.columns if name not in key]
+    return (listings.join(found, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*rest)).alias("_rest"))
+            .select(*key, *[f"_rest.{name}" for name in rest]))
+
+
+def first_seen(listings: DataFrame) -> DataFrame:
+    """One row per place: its first listing by query, page and position. Rows without an id are dropped."""
+    return with_payload(first_seen_order(listings), listings)
 
 
-def discover(pages: DataFrame, target: int | None = DEFAULT_TARGET) -> DataFrame:
+def discover(pages: DataFrame, target: int | None = DEFAULT_TARGET,
+             max_pages: int | None = MAX_PAGES_PER_QUERY) -> DataFrame:
     """First ``target`` distinct places in discovery order, with that order and the recorded JSON."""
-    return first_rows(first_seen(with_place_id(replay_search(pages))), [*DISCOVERY_ORDER, "place_id"], target)
+    listings = with_place_id(replay_search(pages, max_pages))
+    found = staged(first_seen_order(listings), "first-seen")
+    return with_payload(first_rows(found, [*DISCOVERY_ORDER, "place_id"], target), listings)
 
 
 def flatten_places(bronze: DataFrame) -> DataFrame:

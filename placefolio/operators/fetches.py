@@ -12,7 +12,7 @@ from placefolio.operators.hot_keys import join_on_unique
 from placefolio.operators.links import explode_links, link_candidates, resolve_links
 from placefolio.operators.robots import with_permission
 from placefolio.operators.topn import first_rows
-from placefolio.params import DEFAULT_SITE_CAP, MAX_NOTE_CHARS, MAX_TEXT_CHARS, MIN_TEXT_CHARS, RunParams
+from placefolio.params import DEFAULT_SITE_CAP, MAX_NOTE_CHARS, MIN_TEXT_CHARS, RunParams
 from placefolio.session import staged
 
 # The notes of a document row.
@@ -35,26 +35,35 @@ def is_fetched(http_status: Column, error: Column) -> Column:
     return error.isNull() & http_status.isNotNull() & (http_status < 400)
 
 
-def content_kind(url: Column, content_type: Column, text: Column, min_chars: int = MIN_TEXT_CHARS) -> Column:
-    """``pdf``, ``html``, or null for what is no use: another type, or a page with too little text."""
+def is_pdf(url: Column, content_type: Column) -> Column:
+    return F.contains(F.coalesce(content_type, F.lit("")), F.lit("pdf")) | is_pdf_url(url)
+
+
+def is_page(url: Column, content_type: Column) -> Column:
+    """Not a PDF, and of a page's type or of none."""
     kind = F.coalesce(content_type, F.lit(""))
-    return (F.when(F.contains(kind, F.lit("pdf")) | is_pdf_url(url), "pdf")
-            .when((F.contains(kind, F.lit("html")) | (kind == "")) & (F.length(text) > min_chars), "html"))
+    return ~is_pdf(url, content_type) & (F.contains(kind, F.lit("html")) | (kind == ""))
+
+
+def content_kind(url: Column, content_type: Column, n_chars: Column, min_chars: int = MIN_TEXT_CHARS) -> Column:
+    """``pdf``, ``html``, or null for what is no use: another type, or a page with too little text."""
+    return (F.when(is_pdf(url, content_type), "pdf")
+            .when(is_page(url, content_type) & (n_chars > min_chars), "html"))
 
 
 def best_candidate(min_chars: int) -> Column:
     """The visit if it is a candidate that was allowed, fetched and is of use; the smallest by rank is the best."""
-    kind = content_kind(F.col("url"), F.col("content_type"), F.col("text"), min_chars)
+    kind = content_kind(F.col("url"), F.col("content_type"), F.col("n_chars"), min_chars)
     useful = ((F.col("rank") > 0) & F.col("robots_allowed")
               & is_fetched(F.col("http_status"), F.col("error")) & kind.isNotNull())
-    return F.when(useful, F.struct("rank", "url", kind.alias("kind"), "http_status", "content_type", "text"))
+    return F.when(useful, F.struct("rank", "url", kind.alias("kind"), "http_status", "content_type", "n_chars"))
 
 
 def first_success(visits: DataFrame, min_chars: int = MIN_TEXT_CHARS) -> DataFrame:
     """Best visited candidate per site; those before it that are of no use leave no trace.
 
-    ``(site_url, rank, url, robots_allowed, http_status, error, content_type, text)`` ->
-    ``(site_url, rank, url, kind, http_status, content_type, text)``.
+    ``(site_url, rank, url, robots_allowed, http_status, error, content_type, n_chars)`` ->
+    ``(site_url, rank, url, kind, http_status, content_type, n_chars)``.
     """
     return (visits.groupBy("site_url").agg(F.min(best_candidate(min_chars)).alias("_best"))
             .where(F.col("_best").isNotNull()).select("site_url", "_best.*"))
@@ -67,38 +76,47 @@ def short_error(error: Column) -> Column:
 
 # -- the whole fetch stage -------------------------------------------------------------------------------
 
-def parse_log(fetch_log: DataFrame) -> DataFrame:
-    """``(url, http_status, error, content_type, content)`` -> the same with ``text`` and ``links`` for ``content``.
+def parse_log(fetch_log: DataFrame, params: RunParams = RunParams()) -> DataFrame:
+    """``(url, http_status, error, content_type, content)`` -> ``n_chars``, ``text`` and ``links`` for ``content``.
 
-    A map-only pass that leaves at most the text limit of each body, so bodies are never shuffled.
+    A map-only pass. ``n_chars`` is the length of the whole text, ``text`` is cut to the text limit.
     """
-    parsed = fetch_log.withColumn("_parts", html_parts(first_bytes(F.col("content"))))
+    parsed = fetch_log.withColumn("_parts", html_parts(first_bytes(F.col("content"), params.max_bytes)))
     return parsed.select("url", F.col("http_status").cast("int").alias("http_status"), "error", "content_type",
-                         first_chars(F.col("_parts.text"), MAX_TEXT_CHARS).alias("text"),
+                         F.length("_parts.text").alias("n_chars"),
+                         first_chars(F.col("_parts.text"), params.max_text_chars).alias("text"),
                          F.col("_parts.links").alias("links"))
 
 
+def asked_rows(fetch_log: DataFrame, urls: DataFrame) -> DataFrame:
+    """Log rows of the distinct ``urls``: nobody parses what nobody asks for."""
+    return fetch_log.join(urls, "url", "left_semi")
+
+
 def site_visits(sites: DataFrame, parsed: DataFrame, params: RunParams = RunParams()) -> DataFrame:
     """What a crawler asks for: the homepage (rank 0) and the ranked candidates of every ``site_url``."""
     home = parsed.where(is_fetched(F.col("http_status"), F.col("error"))).select(
         F.col("url").alias("site_url"), "links")
     links = resolve_links(explode_links(home.join(sites, "site_url", "left_semi")))
-    candidates = link_candidates(links, params.hints).drop("score")
+    candidates = link_candidates(links, params.hints, params.links_per_site).drop("score")
     homes = sites.select("site_url", F.lit(0).alias("rank"), F.col("site_url").alias("url"))
     return homes.unionByName(candidates, allowMissingColumns=True)
 
 
 def visit_log(visits: DataFrame, parsed: DataFrame, rules: DataFrame, user_agent: str) -> DataFrame:
-    """Visits with crawl permission and the recorded response, both looked up once per distinct URL."""
+    """Visits with crawl permission and the recorded response without its text, looked up once per distinct URL."""
     allowed = with_permission(visits.select("url").where(F.col("url").isNotNull()).distinct(), rules, user_agent)
-    recorded = parsed.select("url", "http_status", "error", "content_type", "text", F.lit(True).alias("recorded"))
+    recorded = parsed.select("url", "http_status", "error", "content_type", "n_chars", F.lit(True).alias("recorded"))
     return join_on_unique(visits, allowed.drop("robots_url").join(recorded, "url", "left"), "url", "left")
 
 
 def site_outcomes(visits: DataFrame, min_chars: int = MIN_TEXT_CHARS) -> DataFrame:
-    """One outcome per site from its at most four visits. Conditions are tried in the order they stand in."""
+    """One outcome per site from its few visits, with the URL of its text (``text_url``).
+
+    Conditions are tried in the order they stand in.
+    """
     home = F.when(F.col("rank") == 0, F.struct(
-        "robots_allowed", "http_status", "error", "content_type", "text", "recorded"))
+        "robots_allowed", "http_status", "error", "content_type", "n_chars", "recorded"))
     bad_link = F.when(F.col("link_error").isNotNull(), F.struct("rank", "link_error"))
     site = (visits.groupBy("site_url")
             .agg(F.min(home).alias("home"), F.min(best_candidate(min_chars)).alias("best"),
@@ -111,7 +129,7 @@ def site_outcomes(visits: DataFrame, min_chars: int = MIN_TEXT_CHARS) -> DataFra
         F.when(~F.col("robots_allowed"), "robots_blocked")
         .when(~fetched | F.col("link_error").isNotNull(), "fetch_failed")
         .when(F.col("best").isNotNull(), F.col("best.kind"))
-        .when(F.length("text") > min_chars, "homepage")
+        .when(F.col("n_chars") > min_chars, "homepage")
         .otherwise("none")))
 
     outcome = F.col("outcome")
@@ -126,7 +144,7 @@ def site_outcomes(visits: DataFrame, min_chars: int = MIN_TEXT_CHARS) -> DataFra
         F.when(candidate, F.col("best.http_status")).when(~blocked, F.col("http_status")).alias("http_status"),
         F.when(candidate, F.col("best.content_type")).when(~blocked & fetched, F.col("content_type"))
         .alias("content_type"),
-        F.when(outcome == "html", F.col("best.text")).when(homepage, F.col("text")).alias("raw_text"),
+        F.when(outcome == "html", F.col("best.url")).when(homepage, F.col("site_url")).alias("text_url"),
         F.when(blocked, NOTE_DISALLOWED).when(outcome == "fetch_failed", failure)
         .when(homepage, NOTE_HOMEPAGE).when(outcome == "none", NOTE_NOTHING).alias("note"))
 
@@ -143,18 +161,39 @@ def place_documents(queue: DataFrame, outcomes: DataFrame, object_root: str) ->
             .select(*schemas.DOCUMENTS.fieldNames()))
 
 
+def answered_visits(queue: DataFrame, fetch_log: DataFrame, rules: DataFrame,
+                    params: RunParams = RunParams()) -> tuple[DataFrame, DataFrame]:
+    """All visits of the queued sites with permission and response, and the parsed log rows they read.
+
+    Homepages of the queue are parsed first, then those candidates that can be pages; all other bodies of the log
+    never reach Python. Both are staged, and so are the visits, because their frequent URLs are counted first.
+    """
+    sites = queue.select(F.col("website_uri").alias("site_url")).distinct()
+    homes = staged(parse_log(asked_rows(fetch_log, sites.withColumnRenamed("site_url", "url")), params), "homepages")
+    visits = staged(site_visits(sites, homes, params), "visits")
+    others = visits.where((F.col("rank") > 0) & F.col("url").isNotNull()).select("url").distinct()
+    others = asked_rows(fetch_log, others.join(sites, F.col("url") == F.col("site_url"), "left_anti"))
+    readable = is_page(F.col("url"), F.col("content_type")) & is_fetched(F.col("http_status"), F.col("error"))
+    others = staged(parse_log(others.withColumn("content", F.when(readable, F.col("content"))), params), "candidates")
+    parsed = homes.unionByName(others)
+    return visit_log(visits, parsed, rules, params.user_agent), parsed
+
+
+def with_texts(outcomes: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Each site's outcome with the one text that was chosen for it."""
+    texts = parsed.select(F.col("url").alias("text_url"), F.col("text").alias("raw_text"))
+    return join_on_unique(outcomes, texts, "text_url", "left").drop("text_url")
+
+
 def fetch_outcomes(queue: DataFrame, fetch_log: DataFrame, rules: DataFrame,
                    params: RunParams = RunParams()) -> DataFrame:
     """Document rows of all queued places from a log with one row per fetched URL.
 
-    All page work is done once per site. The parsed log is staged because homepages, links and candidates are
-    read from it, the visits because their frequent URLs are counted first.
+    All page work is done once per site. What a site comes to is decided on lengths, its text joins at the end.
     """
-    sites = queue.select(F.col("website_uri").alias("site_url")).distinct()
-    parsed = staged(parse_log(fetch_log), "parsed-log")
-    visits = staged(site_visits(sites, parsed, params), "visits")
-    answered = visit_log(visits, parsed, rules, params.user_agent)
-    return place_documents(queue, site_outcomes(answered, params.min_text_chars), params.object_root)
+    visits, parsed = answered_visits(queue, fetch_log, rules, params)
+    outcomes = staged(site_outcomes(visits, params.min_text_chars), "outcomes")
+    return place_documents(queue, with_texts(outcomes, parsed), params.object_root)
 
 
 def document_yield(documents: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def score_links(resolved: DataFrame, hints: LinkHints = LinkHints()) -> DataFram
         "score", F.when(failed, -1).when(pdf & strong, 0).when(strong, 1).otherwise(2))
 
 
-def rank_candidates(scored: DataFrame, limit: int = LINKS_PER_SITE) -> DataFrame:
+def rank_candidates(scored: DataFrame, limit: int | None = LINKS_PER_SITE) -> DataFrame:
     """Best ``limit`` distinct URLs per site: by score, then in document order.
 
     The first occurrence of a URL fixes its score, better later ones do not count. Repeats shrink before the
@@ -68,10 +68,12 @@ def rank_candidates(scored: DataFrame, limit: int = LINKS_PER_SITE) -> DataFrame
                 .agg(F.min("pos").alias("pos"), F.min_by("score", "pos").alias("score"),
                      F.min_by("link_error", "pos").alias("link_error")))
     by_score = W.partitionBy("site_url").orderBy("score", "pos")
-    return (distinct.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= limit)
-            .select("site_url", "rank", "url", "score", "link_error"))
+    ranked = distinct.withColumn("rank", F.row_number().over(by_score))
+    if limit is not None:
+        ranked = ranked.where(F.col("rank") <= limit)
+    return ranked.select("site_url", "rank", "url", "score", "link_error")
 
 
-def link_candidates(resolved: DataFrame, hints: LinkHints = LinkHints(), limit: int = LINKS_PER_SITE) -> DataFrame:
+def link_candidates(resolved: DataFrame, hints: LinkHints = LinkHints(), limit: int | None = LINKS_PER_SITE) -> DataFrame:
     """``(site_url, pos, href, text, url, link_error)`` -> ``(site_url, rank, url, score, link_error)``."""
     return rank_candidates(score_links(resolved, hints), limit)

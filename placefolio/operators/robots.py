@@ -51,11 +51,12 @@ def with_permission(visits: DataFrame, rules: DataFrame, user_agent: str) -> Dat
     """Add ``robots_url`` and ``robots_allowed`` to distinct rows with a ``url``.
 
     The first rule in file order whose prefix starts the URL's path decides; without one it is allowed.
-    A URL is cut to the prefix lengths its site has rules for and meets them in an equi-join, so a site with
+    A URL is cut to the prefix lengths its site has rules in force for and meets them in an equi-join, so a site with
     many URLs and many rules never compares each with each.
     """
     # Distinct lengths only, so at most as many as the longest rule has characters.
-    lengths = rules.groupBy("robots_url").agg(F.collect_set(F.length(rule_prefix())).alias("_lengths"))
+    in_force = rules_in_force(rules, user_agent)
+    lengths = in_force.groupBy("robots_url").agg(F.collect_set(F.length("prefix")).alias("_lengths"))
     asked = (visits.withColumn("robots_url", robots_address(F.col("url")))
              .withColumn("_target", robots_target(F.col("url"))))
     hot = hot_keys(asked, "robots_url")
@@ -64,6 +65,6 @@ def with_permission(visits: DataFrame, rules: DataFrame, user_agent: str) -> Dat
            .withColumn("prefix", F.explode_outer(
                F.transform(fitting, lambda n: F.substring(F.col("_target"), F.lit(1), n))))
            .select(*visits.columns, "robots_url", "prefix"))
-    return (spread_join(cut, rules_in_force(rules, user_agent), ["robots_url", "prefix"], hot, "left")
+    return (spread_join(cut, in_force, ["robots_url", "prefix"], hot, "left")
             .groupBy(*visits.columns, "robots_url")
             .agg(F.coalesce(F.min("rule").getField("allow"), F.lit(True)).alias("robots_allowed")))

@@ -6,28 +6,30 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from placefolio.session import staged
 
-# Up to here every task keeps its n best rows and one task merges them; n times the number of tasks stays small.
-MAX_MERGED = 10_000
 
-
-def first_rows(df: DataFrame, order: list[str], n: int | None, max_merged: int = MAX_MERGED) -> DataFrame:
+def first_rows(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
     """First ``n`` rows by ``order``, which must identify a row. ``None`` keeps all rows.
 
-    A larger ``n`` never meets in one task: the rows are range-partitioned and written once, whole
-    ranges before the cut are kept as they are, and only the range the cut falls in is numbered.
+    Only the order columns are moved: they are range-partitioned and staged, the ranges are counted, and the range
+    that holds the n-th row is looked into. All rows up to that one are then kept by a filter. No task meets
+    more than a range, whatever ``n`` is, and the driver gets one row.
     """
     if n is None:
         return df
-    if n <= max_merged:
-        return df.orderBy(*order).limit(n)
-    ranged = staged(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    if n < 1:
+        return df.where("false")
+    ranged = staged(df.select(*order).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
     # One row per range, so at most as many rows as there are shuffle partitions.
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
-    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    placed = ranged.join(F.broadcast(sizes), "_range")
-    whole = placed.where(F.col("_before") + F.col("_size") <= n)
-    cut = (placed.where((F.col("_before") < n) & (F.col("_before") + F.col("_size") > n))
-           .withColumn("_row", F.row_number().over(W.partitionBy("_range").orderBy(*order)))
-           .where(F.col("_before") + F.col("_row") <= n))
-    return whole.select(*df.columns).unionByName(cut.select(*df.columns))
+    upto = W.orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cut = (sizes.withColumn("_upto", F.sum("_size").over(upto)).where((F.col("_upto") >= n))
+           .orderBy("_range").limit(1).first())
+    if cut is None:
+        return df
+    inside = n - (cut["_upto"] - cut["_size"])
+    last = (ranged.where(F.col("_range") == cut["_range"])
+            .withColumn("_row", F.row_number().over(W.partitionBy("_range").orderBy(*order)))
+            .where(F.col("_row") == inside).first())
+    types = dict(df.select(*order).dtypes)
+    bound = F.struct(*[F.lit(last[name]).cast(types[name]).alias(name) for name in order])
+    return df.where(F.struct(*order) <= bound)

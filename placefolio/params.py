@@ -47,6 +47,14 @@ class RunParams:
     user_agent: str = "placefolio/1.0 (+respects robots.txt)"
     object_root: str = "raw"
     min_text_chars: int = MIN_TEXT_CHARS
+    # Limits that ``None`` switches off: pages read per query, candidates tried per site, bytes read of a body,
+    # characters kept of a text.
+    max_pages_per_query: int | None = MAX_PAGES_PER_QUERY
+    links_per_site: int | None = LINKS_PER_SITE
+    max_bytes: int | None = MAX_BYTES
+    max_text_chars: int | None = MAX_TEXT_CHARS
+    # Replace the places of this run in the stored tables and keep the others, instead of a full refresh.
+    upsert: bool = False
     hints: LinkHints = field(default_factory=LinkHints)
 
     @classmethod

@@ -7,12 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from placefolio import schemas
-from placefolio.functions.urls import is_pdf_url
-from placefolio.operators import discover, extraction, fetches, items, reports, status
+from placefolio.operators import discover, extraction, fetches, items, reports, robots, status
 from placefolio.params import RunParams
 from placefolio.session import staged
 from placefolio.sources.objects import place_objects
-from placefolio.sources.tables import write_table
+from placefolio.sources.tables import drop_table, repeated_keys, upsert, write_table
 
 # Names of the stored tables.
 BRONZE, SILVER, DOCUMENTS, ITEMS, CATALOGUE = (
@@ -23,8 +22,8 @@ CALL_ERRORS = "call_errors"
 
 def pdf_log(fetch_log: DataFrame) -> DataFrame:
     """Log rows that can be documents; the test on type and URL keeps all other bodies out of the parser."""
-    is_pdf = F.contains(F.coalesce("content_type", F.lit("")), F.lit("pdf")) | is_pdf_url(F.col("url"))
-    return fetch_log.where(is_pdf & fetches.is_fetched(F.col("http_status"), F.col("error")))
+    return fetch_log.where(fetches.is_pdf(F.col("url"), F.col("content_type"))
+                           & fetches.is_fetched(F.col("http_status"), F.col("error")))
 
 
 def build_catalogue(spark: SparkSession, search_pages: DataFrame, fetch_log: DataFrame, rules: DataFrame,
@@ -32,32 +31,46 @@ def build_catalogue(spark: SparkSession, search_pages: DataFrame, fetch_log: Dat
                     parse_fn: Callable[[bytes], dict] = extraction.utf8_parser,
                     extract_fn: Callable[[str], str] = extraction.rule_extractor,
                     location: str | None = None, keep_objects: bool = False,
-                    call_partitions: int | None = None) -> DataFrame:
+                    call_partitions: int | None = None, rule_answers: DataFrame | None = None) -> DataFrame:
     """Write the tables of one run into ``namespace`` and return the one-row summary.
 
     ``keep_objects`` also stores the fetched bytes per place. It is off because the fetch log holds them already
     and this is the only step that moves whole bodies between executors. ``call_partitions`` is the number of
-    tasks for document parser and extraction function.
+    tasks for document parser and extraction function. ``rule_answers`` are ``(robots_url, http_status)`` of sites
+    whose rules could not be read. With ``params.reset_tables`` all tables are dropped before the run begins; with
+    ``params.upsert`` the places of this run replace their own rows in the stored tables, and all others stay.
 
     Every stage reads the table the one before has written, so no costly call (document parser, extraction
     function) runs twice, and a lost executor never reaches back beyond its own stage.
     """
-    def save(df: DataFrame, name: str) -> DataFrame:
-        path = f"{location}/{name}" if location else None
-        return write_table(df, f"{namespace}.{name}", path, reset=params.reset_tables)
-
+    def save(df: DataFrame, name: str, key: str | None = None, unique: bool = True) -> DataFrame:
+        table, path = f"{namespace}.{name}", f"{location}/{name}" if location else None
+        if params.upsert and key and spark.catalog.tableExists(table):
+            df = staged(df, name)
+            if unique and not repeated_keys(df, key).isEmpty():
+                raise ValueError(f"{name}: more than one new row for a {key}")
+            df = upsert(spark.table(table), df, key)
+        return write_table(df, table, path)
+
+    if params.reset_tables:
+        for name in (BRONZE, SILVER, DOCUMENTS, ITEMS, CATALOGUE, CALL_ERRORS, OBJECTS):
+            drop_table(spark, f"{namespace}.{name}")
+    if rule_answers is not None:
+        rules = rules.unionByName(robots.rules_from_answers(rule_answers))
     if params.search_queries:
         search_pages = discover.number_queries(search_pages, params.search_queries)
-    found = staged(discover.discover(search_pages, params.target_count), "found")
-    save(found.select("place_id", "raw_json", F.current_timestamp().alias("ingested_at")), BRONZE)
+    found = staged(discover.discover(search_pages, params.target_count, params.max_pages_per_query), "found")
+    save(found.select("place_id", "raw_json", F.current_timestamp().alias("ingested_at")), BRONZE, "place_id")
     places = discover.flatten_places(found.drop("place_id"))
-    silver = save(places.select(*schemas.SILVER.fieldNames()), SILVER)
+    silver = save(places.select(*schemas.SILVER.fieldNames()), SILVER, "place_id")
 
     # The order of discovery is not part of the silver table, so the queue is taken from the staged rows.
     queue = fetches.fetch_queue(places, [*discover.DISCOVERY_ORDER, "place_id"], params.max_sites)
-    documents = save(fetches.fetch_outcomes(queue, fetch_log, rules, params), DOCUMENTS)
+    visited = fetches.fetch_outcomes(queue, fetch_log, rules, params)
+    documents = staged(visited, "documents")
+    all_documents = save(documents, DOCUMENTS, "place_id")
     if keep_objects:
-        save(place_objects(queue, documents, fetch_log, params.object_root), OBJECTS)
+        save(place_objects(queue, documents, fetch_log, params.object_root, params.max_bytes), OBJECTS, "place_id", unique=False)
 
     # Only documents that were chosen for a place are parsed.
     chosen = documents.where("doc_type = 'pdf'").select(F.col("source_url").alias("url")).distinct()
@@ -69,12 +82,13 @@ def build_catalogue(spark: SparkSession, search_pages: DataFrame, fetch_log: Dat
         params.min_text_chars), "source-texts")
     texts.createOrReplaceTempView("menu_source_text")
     responses = staged(extraction.extract_items(texts, extract_fn, call_partitions), "responses")
-    item_table = save(items.items_from_responses(responses, params.currency), ITEMS)
+    item_table = items.items_from_responses(responses, params.currency)
+    item_table = save(item_table, ITEMS, "place_id", unique=False)
 
     failed = [parsed.select(F.lit("document").alias("stage"), F.lit(None).cast("string").alias("place_id"),
                             F.col("path").alias("source_url"), "error"),
               responses.select(F.lit("extraction").alias("stage"), "place_id", "source_url", "error")]
     save(failed[0].unionByName(failed[1]).where(F.col("error").isNotNull()), CALL_ERRORS)
 
-    catalogue = save(status.place_status(silver, item_table, documents), CATALOGUE)
+    catalogue = save(status.place_status(silver, item_table, all_documents), CATALOGUE)
     return reports.run_summary(catalogue, item_table)

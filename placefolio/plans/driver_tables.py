@@ -3,13 +3,14 @@
 =================  ========================================================================================
 places             ``customer`` with its nation; the page of the same number is its website
 search_pages       the same places as recorded search pages, every place listed by two pages
-fetch_log          ``pages`` as recorded homepages, ``documents`` as the bodies of their first three links
+fetch_log          ``pages`` as recorded homepages, ``documents`` as the bodies behind links of theirs
 rules              crawl rules of every host in ``pages``
 responses          every ``lineitem`` as one extraction answer about its part; part k belongs to place k
 =================  ========================================================================================
 
 What a crawler or a model would have recorded is stored once per application and read from there, as the jobs
-would find it. Of the documents only those behind a link of a page are mapped. Odd inputs (failed pages, refused fetches, broken answers) hang on column values.
+would find it. Every document is mapped: four of them are linked from each page, and a site is asked for three at most. Odd inputs
+(failed pages, refused fetches, broken answers) hang on column values.
 """
 
 from __future__ import annotations
@@ -142,7 +143,34 @@ def shaped_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return links.link_candidates(links.resolve_links(page_links(spark, sf_dir)), PARAMS.hints)
+    homes = homepages(spark, sf_dir).withColumn("_parts", html_parts(F.col("html")))
+    found = links.explode_links(homes.select("url", F.col("_parts.links").alias("links")), "url")
+    return links.link_candidates(links.resolve_links(found), PARAMS.hints)
+
+
+def document_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, page_id, href, label, url)``: documents 4k to 4k+3 lie on the site of page k, every seventh as PDF, and
+    two thirds of the links have a label that looks right. Without that page a document lies on a site nobody asks."""
+    number = F.col("doc_id").cast("string")
+    href = F.concat(F.lit("/doc/"), number, F.when(F.col("doc_id") % 7 == 0, ".pdf").otherwise(".html"))
+    root = F.regexp_extract("url", "^(https?://[^/?#]+)", 1)
+    pages = table(spark, sf_dir, "pages").select("page_id", root.alias("root"))
+    return (table(spark, sf_dir, "documents")
+            .select("doc_id", F.floor(F.col("doc_id") / 4).alias("page_id"), href.alias("href"),
+                    F.when(F.col("doc_id") % 3 == 1, F.concat(F.lit("paper "), number))
+                    .otherwise(F.concat(F.lit("the text "), number)).alias("label"))
+            .join(pages, "page_id", "left")
+            .withColumn("url", F.concat(F.coalesce("root", F.lit("http://nosite.example.com")), "href")).drop("root"))
+
+
+def homepages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` with the links of their documents in front."""
+    anchor = F.concat(F.lit('<a href="'), "href", F.lit('">'), "label", F.lit("</a>"))
+    added = (document_links(spark, sf_dir).groupBy("page_id")
+             .agg(F.array_sort(F.collect_list(F.struct("doc_id", anchor.alias("a")))).alias("_links"))
+             .select("page_id", F.array_join("_links.a", "").alias("_links")))
+    return (table(spark, sf_dir, "pages").join(added, "page_id", "left")
+            .select("page_id", "url", F.concat(F.coalesce("_links", F.lit("")), "html").alias("html")))
 
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,26 +180,19 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     refused = F.col("url").rlike("cheap-pills|free-bets|casino-win")
     lost = F.endswith(F.col("url"), F.lit(".html"))
-    pages = table(spark, sf_dir, "pages")
-    homes = pages.select(
+    homes = homepages(spark, sf_dir).select(
         "url", F.when(refused, 403).when(~lost, 200).alias("http_status"),
         F.when(refused, "HTTP Error 403: Forbidden").when(lost, "URLError: timed out").alias("error"),
         F.lit("text/html").alias("content_type"), F.col("html").cast("binary").alias("content"))
 
-    # Documents 3k, 3k+1 and 3k+2 are behind the three links of page k. Sites of one host may share a link;
-    # the log has one row per URL.
-    bodies = table(spark, sf_dir, "documents").select(
-        "doc_id", F.floor(F.col("doc_id") / 3).alias("page_id"), (F.col("doc_id") % 3 + 1).alias("rank"))
-    numbered = page_candidates(spark, sf_dir).join(
-        pages.select("page_id", F.col("url").alias("site_url")), "site_url")
-    first_doc = numbered.join(bodies, ["page_id", "rank"]).groupBy("url").agg(F.min("doc_id").alias("doc_id"))
     timed_out = F.col("lang") == "de"
-    linked = first_doc.join(table(spark, sf_dir, "documents"), "doc_id").select(
+    where = document_links(spark, sf_dir).select("doc_id", "url")
+    linked = where.join(table(spark, sf_dir, "documents"), "doc_id").select(
         "url", F.when(~timed_out, 200).alias("http_status"), F.when(timed_out, "URLError: timed out").alias("error"),
         F.when(F.col("source").isin("src0", "src1", "src2", "src3"), "application/pdf")
         .when(F.col("source").isin("src4", "src5"), "image/png")
         .when(F.col("source") == "src6", "").otherwise("text/html").alias("content_type"),
-        F.concat(F.lit("<html><body><p>"), "text", F.lit("</p></body></html>")).cast("binary").alias("content"))
+        F.concat(F.lit("<html><body><p>"), F.coalesce("text", F.lit("")), F.lit("</p></body></html>")).cast("binary").alias("content"))
     return homes.unionByName(linked)
 
 
@@ -194,6 +215,7 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         rule("%", 0, "otherbot", 1, "/", False),
         rule("m.%", 1, "*", 1, "/en/2", True), rule("m.%", 1, "*", 2, "/en/", False),
         rule("th%", 1, "*", 1, "/fr", False), rule("th%", 1, "*", 2, "/fr/", True), rule("th%", 1, "*", 3, "/The", False),
+        rule("th%", 1, "*", 4, "/doc/1", False),
         rule("blog.%", 1, "*", 1, "/", False), rule("blog.%", 2, "Placefolio", 1, "/de/", False),
         rule("blog.%", 2, "Placefolio", 2, "/es/", True))
     return (sites.select("robots_url", F.explode(F.filter(every_site, lambda r: r.isNotNull())).alias("rule"))

@@ -140,14 +140,29 @@ def robots_rule_join(spark, sf):
     return robots.with_permission(urls, d.rules(spark, sf), d.PARAMS.user_agent)
 
 
+@query
+def robots_answers(spark, sf):
+    """Permission where a site's rules file was refused, failed or is missing, by the number of the page."""
+    status = F.when(F.col("page_id") % 5 == 0, 401).when(F.col("page_id") % 5 == 1, 503).when(F.col("page_id") % 5 == 2, 404)
+    root = F.regexp_extract("url", "^(https?://[^/?#]+)", 1)
+    answers = d.table(spark, sf, "pages").groupBy(F.concat(root, F.lit("/robots.txt")).alias("robots_url")).agg(
+        F.min(status).alias("http_status"))
+    urls = d.table(spark, sf, "pages").select("url").distinct()
+    return robots.with_permission(urls, robots.rules_from_answers(answers), d.PARAMS.user_agent)
+
+
 @query
 def first_success(spark, sf):
-    sites = d.queue(spark, sf).select(F.col("website_uri").alias("site_url")).distinct()
-    parsed = d.once(spark, sf, "parsed-log", lambda: fetches.parse_log(d.fetch_log(spark, sf)))
-    visits = d.once(spark, sf, "visits", lambda: fetches.site_visits(sites, parsed, d.PARAMS))
-    answered = fetches.visit_log(visits, parsed, d.rules(spark, sf), d.PARAMS.user_agent)
+    answered, _ = fetches.answered_visits(d.queue(spark, sf), d.fetch_log(spark, sf), d.rules(spark, sf), d.PARAMS)
     return fetches.first_success(answered, d.PARAMS.min_text_chars).select(
-        "site_url", "rank", "url", "kind", "content_type", F.length("text").cast("bigint").alias("n_chars"))
+        "site_url", "rank", "url", "kind", "content_type", F.col("n_chars").cast("bigint").alias("n_chars"))
+
+
+@query
+def fetch_log_rows(spark, sf):
+    """What the log records: every page and every document."""
+    return d.fetch_log(spark, sf).groupBy("content_type", "http_status").agg(
+        F.count("*").alias("n_rows"), F.sum(F.octet_length("content")).alias("n_bytes"))
 
 
 @query
@@ -299,11 +314,14 @@ def menu_sample_top50(spark, sf):
 
 @query
 def table_roundtrip(spark, sf):
-    """Places written over an older table with other columns, dropped first, and read back."""
+    """Places written over an older table with other columns, and read back."""
     name = f"placefolio_roundtrip_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/placefolio/{name}"
     tables.write_table(d.table(spark, sf, "nation"), name, path)
-    return tables.write_table(d.places(spark, sf), name, path)
+    written = tables.write_table(d.places(spark, sf), name, path)
+    read = spark.read.schema(written.schema).parquet(*{f.rsplit("/", 1)[0] for f in written.inputFiles()})
+    tables.drop_table(spark, name)
+    return read
 
 
 @query

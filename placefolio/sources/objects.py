@@ -10,7 +10,7 @@ from placefolio.operators.hot_keys import join_on_unique
 from placefolio.params import MAX_BYTES
 
 
-def raw_objects(fetched: DataFrame, root: str, filename: Column, max_bytes: int = MAX_BYTES) -> DataFrame:
+def raw_objects(fetched: DataFrame, root: str, filename: Column, max_bytes: int | None = MAX_BYTES) -> DataFrame:
     """``(place_id, content)`` -> ``(place_id, filename, stored_path, content)`` with the size capped."""
     return fetched.select(
         "place_id", filename.alias("filename"),
@@ -18,7 +18,8 @@ def raw_objects(fetched: DataFrame, root: str, filename: Column, max_bytes: int
         first_bytes(F.col("content"), max_bytes).alias("content"))
 
 
-def place_objects(queue: DataFrame, documents: DataFrame, fetch_log: DataFrame, root: str) -> DataFrame:
+def place_objects(queue: DataFrame, documents: DataFrame, fetch_log: DataFrame, root: str,
+                  max_bytes: int | None = MAX_BYTES) -> DataFrame:
     """Bytes kept per place: its fetched homepage and the document that was chosen for it."""
     homes = (queue.select("place_id", F.col("website_uri").alias("url"))
              .join(documents.where("robots_allowed").select("place_id"), "place_id", "left_semi")
@@ -28,7 +29,7 @@ def place_objects(queue: DataFrame, documents: DataFrame, fetch_log: DataFrame,
                       F.substring_index("stored_path", "/", -1).alias("filename"))
               .where(F.col("filename") != HOMEPAGE_FILE))
     fetched = fetch_log.where(is_fetched(F.col("http_status"), F.col("error"))).select("url", "content")
-    return raw_objects(join_on_unique(homes.unionByName(chosen), fetched, "url"), root, F.col("filename"))
+    return raw_objects(join_on_unique(homes.unionByName(chosen), fetched, "url"), root, F.col("filename"), max_bytes)
 
 
 def scan_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:

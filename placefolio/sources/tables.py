@@ -2,26 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-def write_table(df: DataFrame, name: str, path: str | None = None, reset: bool = False) -> DataFrame:
-    """Full refresh of a table, schema included; ``reset`` drops it first. Returns the table as read back.
 
-    ``df`` must not read the table it replaces: every layer is built from the one before it.
+def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Full refresh of a table, schema included. Returns the table as read back.
+
+    The rows are written to a new folder below ``path`` (else below the schema's own folder), and only then is the table
+    pointed at it. A failed write leaves the old table as it was, and ``df`` may read the table it replaces. Older folders
+    stay for readers that have begun.
     """
     spark = df.sparkSession
-    if reset:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
-    return spark.table(name)
+    if path is None:
+        schema, _, table = name.rpartition(".")
+        root = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
+        path = f"{root}/{table}"
+    folder = f"{path}/v-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    drop_table(spark, name)
+    return spark.catalog.createTable(name, path=folder, source="parquet")
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """``old`` with every row whose key ``new`` holds taken from ``new``. Write it to a fresh location."""
+    """``old`` with every row whose key ``new`` holds taken from ``new``."""
     return old.join(new.select(key), key, "left_anti").select(*old.columns).unionByName(new)
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys of more than one row, for tables that have one row per key."""
+    return df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")

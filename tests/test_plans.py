@@ -49,9 +49,23 @@ def test_candidates_are_limited_before_the_shuffle(spark, sf_dir):
     assert re.search(r"WindowGroupLimit .*Partial", plan(QUERIES["link_candidates_top3"](spark, sf_dir)))
 
 
-def test_caps_are_top_k(spark, sf_dir):
-    for name in ("fetch_queue", "menu_sample_top50", "discovery_target"):
-        assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, sf_dir))
+def test_caps_are_filters_and_reports_are_top_k(spark, sf_dir):
+    assert "TakeOrderedAndProject" in plan(QUERIES["menu_sample_top50"](spark, sf_dir))
+    assert "Exchange SinglePartition" not in plan(QUERIES["fetch_queue"](spark, sf_dir))
+
+
+def test_first_listings_are_found_by_hash(spark, sf_dir):
+    from placefolio.operators import discover
+    listings = discover.with_place_id(discover.replay_search(d.search_pages(spark, sf_dir)))
+    text = plan(discover.first_seen_order(listings))
+    assert "HashAggregate(keys=[place_id], functions=[partial_min" in text
+
+
+def test_texts_join_after_the_choice(spark, sf_dir):
+    visits, parsed = fetches.answered_visits(d.queue(spark, sf_dir), d.fetch_log(spark, sf_dir), d.rules(spark, sf_dir), d.PARAMS)
+    assert "text" not in visits.columns
+    # Nobody asks for all that is recorded.
+    assert parsed.count() < d.fetch_log(spark, sf_dir).count()
 
 
 def test_aggregates_combine_on_the_map_side(spark, sf_dir):

@@ -53,7 +53,7 @@ def test_large_prefix_equals_the_limit(spark, n):
     df = spark.range(3_000, numPartitions=5).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("a"), F.col("id").alias("b"), F.lit("x").alias("c"))
     want = {tuple(r) for r in df.orderBy("a", "b").limit(n).collect()}
-    got = [tuple(r) for r in first_rows(df, ["a", "b"], n, max_merged=-1).collect()]
+    got = [tuple(r) for r in first_rows(df, ["a", "b"], n).collect()]
     assert set(got) == want and len(got) == len(want)
     assert first_rows(df, ["a", "b"], None) is df
 

@@ -1,7 +1,7 @@
+import dataclasses
 import uuid
 
 import pytest
-from pyspark.errors import AnalysisException
 
 from placefolio.operators import extraction
 from placefolio.params import DEFAULT_CURRENCY, RunParams
@@ -22,10 +22,20 @@ def test_refresh_replaces_rows_and_schema(spark, name):
     path = f"{shared_folder(spark)}/{name}"
     tables.write_table(spark.range(3), name, path)
     again = tables.write_table(spark.createDataFrame([("a", 1)], "s string, n int"), name, path)
-    assert again.columns == ["s", "n"] and tables.read_table(spark, name).count() == 1
-    assert tables.write_table(spark.range(2), name, path, reset=True).columns == ["id"]
-    with pytest.raises(AnalysisException):
-        tables.write_table(spark.table(name).where("id > 0"), name, path)
+    assert again.columns == ["s", "n"] and spark.table(name).count() == 1
+    assert tables.write_table(spark.range(4), name, path).columns == ["id"]
+    assert tables.write_table(spark.table(name).where("id > 0"), name, path).count() == 3
+    managed = tables.write_table(spark.range(2), f"{name}_own")
+    assert managed.count() == 2
+    tables.drop_table(spark, f"{name}_own")
+
+
+def test_failed_write_leaves_the_old_table(spark, name):
+    path = f"{shared_folder(spark)}/{name}"
+    tables.write_table(spark.range(3), name, path)
+    with pytest.raises(Exception):
+        tables.write_table(spark.range(5).selectExpr("raise_error('broken') AS id"), name, path)
+    assert spark.table(name).count() == 3
 
 
 def test_upsert(spark):
@@ -68,6 +78,12 @@ def test_whole_run(spark, sf_dir):
         summary = build.build_catalogue(spark, d.search_pages(spark, sf_dir), d.fetch_log(spark, sf_dir), d.rules(spark, sf_dir),
                                         namespace, params, extract_fn=extract, location=location, keep_objects=True,
                                         call_partitions=6).first()
+    # A smaller run that replaces only its own places.
+    before = {r["place_id"] for r in spark.table(f"{namespace}.restaurants").collect()}
+    fewer = dataclasses.replace(params, target_count=20, upsert=True)
+    again = build.build_catalogue(spark, d.search_pages(spark, sf_dir), d.fetch_log(spark, sf_dir), d.rules(spark, sf_dir),
+                                  namespace, fewer, extract_fn=extract, location=location, keep_objects=True).first()
+    assert again["restaurants"] == 60 and {r["place_id"] for r in spark.table(f"{namespace}.restaurants").collect()} == before
     places = spark.table(f"{namespace}.restaurants")
     assert summary["restaurants"] == places.count() == 60
     assert summary["menu_items"] == spark.table(f"{namespace}.menu_items").count() > 0
