@@ -76,7 +76,8 @@ def bucket_count(blocks: DataFrame, bytes_per_byte: float) -> int:
 
 
 def questions(block: str, kind: int, keys: np.ndarray, bucket: np.ndarray, n_buckets: int,
-              *extras: np.ndarray) -> Iterator[pa.RecordBatch]:
+              *extras: np.ndarray, pack: Callable = np.ndarray.tobytes,
+              pack_extra: Callable = np.ndarray.tobytes) -> Iterator[pa.RecordBatch]:
     """Question rows for ``keys``, in the order of :func:`asked_order`. ``extras`` go along, packed one after the other."""
     order = asked_order(bucket)
     keys, extras, sorted_bucket = keys[order], [e[order] for e in extras], bucket[order]
@@ -84,8 +85,8 @@ def questions(block: str, kind: int, keys: np.ndarray, bucket: np.ndarray, n_buc
     used = np.flatnonzero(np.diff(ends))
     if not len(used):
         return
-    blobs = [keys[ends[b]:ends[b + 1]].tobytes() for b in used]
-    more = [b"".join(e[ends[b]:ends[b + 1]].tobytes() for e in extras) for b in used]
+    blobs = [pack(keys[ends[b]:ends[b + 1]]) for b in used]
+    more = [b"".join(pack_extra(e[ends[b]:ends[b + 1]]) for e in extras) for b in used]
     yield pa.RecordBatch.from_pydict({
         "bucket": pa.array(used, pa.int32()), "kind": pa.array([kind] * len(used), pa.int32()), "block": [block] * len(used),
         "keys": pa.array(blobs, pa.binary()), "extra": pa.array(more, pa.binary())})
@@ -95,6 +96,24 @@ def asked_order(bucket: np.ndarray) -> np.ndarray:
     return np.argsort(bucket, kind="stable")
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The numbers byte by byte: all first bytes, all second bytes and so on. Small numbers then compress well."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
+
+
+def from_planes(raw: bytes, dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def steps(ascending: np.ndarray) -> bytes:
+    """Ascending unsigned numbers as the planes of their differences."""
+    return planes(np.diff(ascending, prepend=ascending.dtype.type(0)))
+
+
+def from_steps(raw: bytes, dtype) -> np.ndarray:
+    return np.cumsum(from_planes(raw, dtype), dtype=dtype)
+
+
 def answers_in_order(rows: list[tuple[int, bytes]], bucket: np.ndarray, dtype) -> np.ndarray:
     """Answers ``(bucket, array)`` put back into the order of the keys that were asked."""
     parts = [np.frombuffer(a, dtype) for _, a in sorted(rows, key=lambda r: r[0])]
@@ -106,16 +125,16 @@ def answers_in_order(rows: list[tuple[int, bytes]], bucket: np.ndarray, dtype) -
     return out
 
 
-def answer(asked: DataFrame, fn: Callable[[int, int, pa.Table], tuple[list[bytes], int | None]], name: str) -> DataFrame:
+def answer(asked: DataFrame, fn: Callable[[int, int, pa.Table], tuple[list[bytes], bytes | None]], name: str) -> DataFrame:
     """Stage the answers. ``fn(bucket, kind, questions)`` gives one array per question row, in their order, and possibly
-    a count for the whole bucket, which goes into a row without a block."""
+    something about the whole bucket, which goes into a row without a block."""
 
     def run(table: pa.Table) -> pa.Table:
         bucket, kind = table["bucket"][0].as_py(), table["kind"][0].as_py()
-        found, count = fn(bucket, kind, table)
+        found, whole = fn(bucket, kind, table)
         blocks = table["block"].to_pylist()
-        if count is not None:
-            blocks, found = [*blocks, ""], [*found, count.to_bytes(8, "big")]
+        if whole is not None:
+            blocks, found = [*blocks, ""], [*found, whole]
         n = len(blocks)
         return pa.table({"block": blocks, "kind": pa.array([kind] * n, pa.int32()), "bucket": pa.array([bucket] * n, pa.int32()),
                          "answer": pa.array(found, pa.binary())})

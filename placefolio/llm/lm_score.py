@@ -3,8 +3,10 @@
 The model is a byte-context trie of order ``ORDER``, with the counts of the training documents. The probability of a byte is
 taken at the longest context that has seen it; every longer context pays its escape (method D: half a count per distinct
 symbol), and symbols seen there are excluded below. A fixed trie gives every (context, byte) one code length, so blocks count their
-distinct grams, tasks that own a part of the trie (all contexts with the same last two bytes) price them, and a document's
-score is the sum over its bytes. The text is scored as its lower-cased words, one space between, and one end byte.
+distinct grams, tasks that own a gram add these counts up, tasks that own a part of the trie (all contexts with the same last
+two bytes) price each gram once, and a document's score is the sum over its bytes. What a part of the trie gets are distinct
+grams of the corpus: a frequent context is sent once, not once per block. The text is scored as its lower-cased words, one
+space between, and one end byte.
 """
 
 from __future__ import annotations
@@ -115,7 +117,7 @@ def _suffix_bucket(grams_: np.ndarray, n: int) -> np.ndarray:
     return ((sketch_hash(suffix) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def _word_bucket(keys: np.ndarray, n: int) -> np.ndarray:
+def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return ((sketch_hash(keys) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
@@ -166,7 +168,7 @@ def score_documents(docs: DataFrame, held_out: Callable[[pa.ChunkedArray], np.nd
     """
     if not 1 <= order <= 7:
         raise ValueError("order must be from 1 to 7")
-    blocks = bl.pack_blocks(docs, doc_id, text, block_bytes)
+    blocks, depth = bl.pack_blocks(docs, doc_id, text, block_bytes), order
 
     def train(ids):
         return ~held_out(ids)
@@ -191,26 +193,77 @@ def score_documents(docs: DataFrame, held_out: Callable[[pa.ChunkedArray], np.nd
     def ask(block, texts):
         b = _Block(texts, train)
         keys, counts, *_ = b.words()
-        yield from bl.questions(block, _WORDS, keys, _word_bucket(keys, n_words), n_words, counts)
+        yield from bl.questions(block, _WORDS, keys, _bucket(keys, n_words), n_words, counts)
         keys, counts = b.grams(order)
-        yield from bl.questions(block, _GRAMS, keys, _suffix_bucket(keys, n_grams), n_grams, counts)
-
-    def reply(bucket, kind, table):
+        yield from bl.questions(block, _GRAMS, keys, _bucket(keys, n_grams), n_grams, counts, pack=bl.steps,
+                                pack_extra=bl.planes)
+
+    def unpack_grams(table):
+        keys = [bl.from_steps(k.as_py(), np.uint64) for k in table["keys"]]
+        return (np.concatenate(keys), np.concatenate([bl.from_planes(e.as_py(), np.uint32) for e in table["extra"]]),
+                np.cumsum([len(k) for k in keys])[:-1])
+
+    def count(bucket, kind, table):
+        """Training counts of words; of grams the place among the bucket's distinct ones, and these with their counts."""
+        if kind == _GRAMS:
+            keys, counts, ends = unpack_grams(table)
+            found, inverse = np.unique(keys, return_inverse=True)
+            counts = np.bincount(inverse, counts, len(found)).astype(np.uint64)
+            return [bl.steps(part.astype(np.uint32)) for part in np.split(inverse, ends)], bl.steps(found) + bl.planes(counts)
         keys = [np.frombuffer(k.as_py(), np.uint64) for k in table["keys"]]
         found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         counts = np.concatenate([np.frombuffer(e.as_py(), np.uint32) for e in table["extra"]])
-        counts = np.bincount(inverse, counts, len(found))
+        counts = np.bincount(inverse, counts, len(found)).astype(np.int64)
         ends = np.cumsum([len(k) for k in keys])[:-1]
-        if kind == _WORDS:
-            replies, summary = counts.astype(np.int64), int(np.count_nonzero(counts))
-        else:
-            seen = counts > 0
-            replies = code_lengths(found, found[seen], counts[seen], pairs, pair_counts, order).astype(np.float32)
-            summary = None
-        return [p.tobytes() for p in np.split(replies[inverse], ends)], summary
-
-    answers = bl.answer(bl.each_block(blocks, ask, bl.QUESTIONS), reply, "lm-answers")
-    distinct = answers.where((F.col("block") == "") & (F.col("kind") == _WORDS)).agg(
+        return [p.tobytes() for p in np.split(counts[inverse], ends)], int(np.count_nonzero(counts)).to_bytes(8, "big")
+
+    def own_grams(raw):
+        half = len(raw) // 2
+        return bl.from_steps(raw[:half], np.uint64), bl.from_planes(raw[half:], np.uint64)
+
+    def to_trie(batches):
+        for batch in batches:
+            for bucket, raw in zip(batch["bucket"].to_pylist(), batch["answer"]):
+                found, counts = own_grams(raw.as_py())
+                yield from bl.questions(str(bucket), _GRAMS, found, _suffix_bucket(found, n_grams), n_grams, counts,
+                                        pack=bl.steps, pack_extra=bl.planes)
+
+    def price(bucket, kind, table):
+        """Every gram is asked once."""
+        keys = [bl.from_steps(k.as_py(), np.uint64) for k in table["keys"]]
+        counts = np.concatenate([bl.from_planes(e.as_py(), np.uint64) for e in table["extra"]])
+        ends, keys = np.cumsum([len(k) for k in keys])[:-1], np.concatenate(keys)
+        order = np.argsort(keys)
+        asked, counts = keys[order], counts[order]
+        seen = counts > 0
+        out = np.empty(len(keys), np.float32)
+        out[order] = code_lengths(asked, asked[seen], counts[seen], pairs, pair_counts, depth)
+        return [p.tobytes() for p in np.split(out, ends)], None
+
+    def price_places(table):
+        """Prices of a bucket's grams, handed to the blocks that hold them."""
+        prices, holders, found = [], [], np.zeros(0, np.uint64)
+        for bucket, block, part, raw in zip(*(table[c].to_pylist() for c in ("bucket", "block", "part", "answer"))):
+            if part >= 0:
+                prices.append((part, raw))
+            elif block == "":
+                found = own_grams(raw)[0]
+            else:
+                holders.append((block, raw))
+        each = bl.answers_in_order(prices, _suffix_bucket(found, n_grams), np.float32)
+        n = len(holders)
+        return pa.table({"block": pa.array([b for b, _ in holders], pa.string()), "kind": pa.array([_GRAMS] * n, pa.int32()),
+                         "bucket": pa.array([table["bucket"][0].as_py()] * n, pa.int32()),
+                         "answer": pa.array([each[bl.from_steps(raw, np.uint32)].tobytes() for _, raw in holders], pa.binary())})
+
+    answers = bl.answer(bl.each_block(blocks, ask, bl.QUESTIONS), count, "lm-counts")
+    of_words, of_grams = answers.where(F.col("kind") == _WORDS), answers.where(F.col("kind") == _GRAMS)
+    prices = bl.answer(of_grams.where("block = ''").select("bucket", "answer").mapInArrow(to_trie, bl.QUESTIONS), price, "lm-prices")
+    priced = (of_grams.select("bucket", "block", F.lit(-1).alias("part"), "answer")
+              .unionByName(prices.select(F.col("block").cast("int").alias("bucket"), F.lit("").alias("block"),
+                                         F.col("bucket").alias("part"), "answer"))
+              .groupBy("bucket").applyInArrow(price_places, bl.ANSWERS))
+    distinct = of_words.where("block = ''").agg(
         F.coalesce(F.sum(F.conv(F.hex("answer"), 16, 10).cast("long")), F.lit(0)).alias("n")).first()["n"]
     n_train = train_words + train_docs
     size = n_train + distinct + (train_docs > 0) + 1
@@ -219,10 +272,10 @@ def score_documents(docs: DataFrame, held_out: Callable[[pa.ChunkedArray], np.nd
         b = _Block(texts, train)
         keys, _, inverse, doc, n_words_of = b.words()
         n = len(n_words_of)
-        count = bl.answers_in_order(got.get(_WORDS, []), _word_bucket(keys, n_words), np.int64)[inverse]
+        count = bl.answers_in_order(got.get(_WORDS, []), _bucket(keys, n_words), np.int64)[inverse]
         every, sizes = grams(b.texts, order)
         keys = np.unique(every)
-        price = bl.answers_in_order(got.get(_GRAMS, []), _suffix_bucket(keys, n_grams), np.float32).astype(np.float64)
+        price = bl.answers_in_order(got.get(_GRAMS, []), _bucket(keys, n_grams), np.float32).astype(np.float64)
         tokens = n_words_of + 1
         base = np.bincount(doc, np.log10(count + 1.0), n) + np.log10(train_docs + 1.0) - tokens * np.log10(float(size))
         score = np.bincount(np.repeat(np.arange(n), sizes), price[places(keys, every)], n)
@@ -232,6 +285,6 @@ def score_documents(docs: DataFrame, held_out: Callable[[pa.ChunkedArray], np.nd
             pa.array(np.full(n, n_train), pa.int64()), pa.array(base), pa.array(score), pa.array(sizes)],
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"])
 
-    return bl.with_answers(blocks, answers.where("block <> ''"), finish,
+    return bl.with_answers(blocks, of_words.where("block <> ''").unionByName(priced), finish,
                            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                            "base_score double, score double, n_bytes long")

@@ -11,8 +11,12 @@ from placefolio.llm import language, lm_score, quality, queries
 from placefolio.llm.common import table
 
 
-def held_out(ids):
-    return lm_score.in_fold(ids, 7, 2)
+def fold(parts, wanted):
+    # A closure travels to the workers by value: they cannot import this module.
+    return lambda ids: lm_score.in_fold(ids, parts, wanted)
+
+
+held_out = fold(7, 2)
 
 
 def plain(text):
