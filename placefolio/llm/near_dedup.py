@@ -8,13 +8,14 @@
    A list only reports how its nodes hang together, never its pairs. Together the lists give families.
 4. Inside each family the links are confirmed on the full shingle sets, and the components of confirmed links are returned.
 
-``MARGIN`` standard deviations are left at both filters, so a link is lost with a chance below one in a million.
+Both filters ask for so few common values that a pair just at the threshold misses one with a chance of ``LOSS`` at most.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +28,28 @@ from placefolio.session import staged
 
 SHINGLE = 5
 THRESHOLD = 85  # per cent
-SKETCH = 32
-MARGIN = 5.0
+SKETCH = 40
+LOSS = 1e-9
 SLICE_BYTES = 4 << 20
-# A longer list, or a family with more shingles, is dealt out in pairs of blocks of about this size.
+# A longer list, or a family with more shingles, is dealt out in blocks of about this size.
 LIST_NODES = 20_000
 FAMILY_SHINGLES = 4_000_000
 
 
-def least_overlap(size: int, threshold: int = THRESHOLD) -> int:
-    """Values that two sketches of ``size`` share at least if their sets are linked."""
-    t = threshold / 100
-    return max(1, math.floor(t * size - MARGIN * math.sqrt(size * t * (1 - t))))
+def least_overlap(kept: int, threshold: int = THRESHOLD, sketch: int = SKETCH) -> int:
+    """Values that a sketch with ``kept`` of ``sketch`` places used shares at least with that of a linked document.
+
+    If all linked sets fit into a sketch, that is the threshold itself. Else each retained value of the union is common
+    with a chance of the similarity, and the binomial tail below the result is at most ``LOSS``.
+    """
+    if 100 * kept <= threshold * sketch:
+        return -(-threshold * kept // 100)
+    t, least, tail = threshold / 100, 0, 0.0
+    while True:
+        tail += math.comb(kept, least) * t ** least * (1 - t) ** (kept - least)
+        if tail > LOSS or least == kept:
+            return max(1, least)
+        least += 1
 
 
 def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -109,7 +120,7 @@ def _parts(n: int, near) -> np.ndarray:
 
 
 def _list_edges(size: int, threshold: int):
-    least = threshold / 100 - MARGIN * math.sqrt(threshold / 100 * (1 - threshold / 100) / size)
+    least = least_overlap(size, threshold, 0) / size
 
     def run(table: pa.Table):
         node = table["node"].to_numpy()
@@ -190,6 +201,52 @@ def _block_pairs(df: DataFrame, blocks: str, node: str = "node") -> DataFrame:
             .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("own", "other"))
 
 
+def _linked(rows: DataFrame, group: str, capacity: int, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Edges ``u, v`` that hold the nodes of each group together just as all links inside it do.
+
+    ``rows`` has ``group, node, weight, blocks``, where ``blocks`` is the weight of the group by ``capacity``, rounded up,
+    and maybe more columns; ``link`` finds the edges inside each ``(group, i, j)``. Only groups of several blocks need
+    more than one step: each block is linked alone, then one node of each component found so far, in pairs of blocks.
+    Of what is still apart all but the largest component are compared with everything. A giant group that hangs together
+    thus moves each row a few times; only one of strangers takes the square of its blocks.
+    """
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    edges = link(rows.withColumns({"i": own, "j": own}))
+    big = rows.where("blocks > 1")
+    if big.isEmpty():
+        return edges
+    edges = staged(edges, "edges")
+    others = [c for c in rows.columns if c not in (group, "node", "blocks")]
+    blocks = lambda weight: F.ceil(weight / capacity).cast("int")
+
+    def placed():
+        found = components(edges).select(F.col("u").alias("node"), F.col("v").alias("root"))
+        return big.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    heads = (placed().groupBy(group, "root").agg(F.min(F.struct("node", *others)).alias("head"))
+             .select(group, "head.*"))
+    sizes = heads.groupBy(group).agg(blocks(F.sum("weight")).alias("blocks"), F.count("*").alias("parts")).where("parts > 1")
+    edges = edges.unionByName(staged(link(_block_pairs(heads.join(sizes.drop("parts"), group), "blocks")), "edges"))
+
+    rest = staged(placed(), "placed")
+    parts = rest.groupBy(group, "root").agg(F.sum("weight").alias("part"))
+    sizes = (parts.groupBy(group).agg(F.max(F.struct("part", "root")).alias("main"), F.sum("part").alias("all"))
+             .where(F.col("all") > F.col("main.part"))
+             .select(group, F.col("main.root").alias("main"), blocks(F.col("main.part")).alias("n_main"),
+                     blocks(F.col("all") - F.col("main.part")).alias("n_rest")))
+    rest = rest.join(sizes, group)
+    at = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n, fn: F.transform(F.sequence(F.lit(0), F.col(n) - 1), fn)
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    mine = at("n_rest")
+    # Pairs of blocks outside the largest component have negative numbers.
+    dealt = F.when(F.col("root") == F.col("main"), each("n_rest", lambda x: pair(at("n_main"), x))).otherwise(
+        F.concat(each("n_main", lambda x: pair(x, mine)),
+                 each("n_rest", lambda x: pair(-1 - F.least(x, mine), F.greatest(x, mine)))))
+    rest = rest.select(group, "node", *others, F.explode(dealt).alias("pair")).select(group, "node", *others, "pair.*")
+    return components(edges.unionByName(link(rest)))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     threshold: int = THRESHOLD, sketch: int = SKETCH) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
@@ -217,31 +274,35 @@ def _decided(docs, doc_id, text, shingle, threshold, size) -> DataFrame:
     listed = nodes.select("node", F.size("retained").alias("kept"), F.explode("retained").alias("value"))
     shared = listed.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     listed = listed.join(shared, "value")
-    prefixes = F.create_map(*[F.lit(x) for k in range(1, size + 1) for x in (k, k - least_overlap(k, threshold) + 1)])
+    prefixes = F.create_map(*[F.lit(x) for k in range(1, size + 1) for x in (k, k - least_overlap(k, threshold, size) + 1)])
     per_node, rarest = W.partitionBy("node"), W.partitionBy("node").orderBy("df", "value")
     # Values of a node alone come first in the order and need no list.
     rank = F.row_number().over(rarest) + F.col("kept") - F.count("*").over(per_node)
     listed = (listed.withColumn("rank", rank).where(F.col("rank") <= F.element_at(prefixes, F.col("kept")))
-              .select("value", "node", F.ceil(F.col("df") / LIST_NODES).alias("blocks")))
-    listed = _block_pairs(listed.join(nodes.select("node", "n", "sketch"), "node"), "blocks")
-    edges = grouped(listed.select("value", "i", "j", "node", "n", "sketch"), ["value", "i", "j"], ["node"],
-                    _list_edges(size, threshold), "u long, v long", 5000)
-    families = components(edges)
+              .select("value", "node", F.lit(1).alias("weight"), F.ceil(F.col("df") / LIST_NODES).alias("blocks")))
+
+    def in_lists(dealt):
+        dealt = dealt.select("value", "i", "j", "node").join(nodes.select("node", "n", "sketch"), "node")
+        return grouped(dealt, ["value", "i", "j"], ["node"], _list_edges(size, threshold), "u long, v long", 5000)
+
+    families = components(_linked(staged(listed, "lists"), "value", LIST_NODES, in_lists))
 
     # Full sets inside the families.
     members = families.select(F.col("u").alias("node"), F.col("v").alias("family")).unionByName(
         families.select(F.col("v").alias("node"), F.col("v").alias("family")).distinct())
     members = members.join(nodes.select("node", "n"), "node")
     blocks = members.groupBy("family").agg(F.ceil(F.sum("n") / FAMILY_SHINGLES).alias("blocks"))
-    members = staged(members.select("node", "family").join(blocks, "family")
+    members = staged(members.select("node", "family", F.col("n").alias("weight")).join(blocks, "family")
                      .join(classes.select("node", "digest", F.col("first.doc_id").alias("first_id")), "node"), "members")
-    # The same join at every size: a list of members that is broadcast today is not tomorrow.
-    joined = _block_pairs(members, "blocks").hint("merge").join(texts, F.col("first_id").eqNullSafe(F.col("doc_id")))
-    links = staged(grouped(joined.select("family", "i", "j", "node", "digest", "text"), ["family", "i", "j"], ["node"],
-                           _confirmed_edges(shingle, threshold), "u long, v long", 200), "links")
-    # A family in one block has reported finished components.
-    if not members.where("blocks > 1").isEmpty():
-        links = components(links)
+
+    def in_families(dealt):
+        # The same join at every size: a list of members that is broadcast today is not tomorrow.
+        dealt = dealt.hint("merge").join(texts, F.col("first_id").eqNullSafe(F.col("doc_id")))
+        return grouped(dealt.select("family", "i", "j", "node", "digest", "text"), ["family", "i", "j"], ["node"],
+                       _confirmed_edges(shingle, threshold), "u long, v long", 200)
+
+    # A family in one block reports finished components.
+    links = staged(_linked(members, "family", FAMILY_SHINGLES, in_families), "links")
 
     found = classes.join(links.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
     found = found.withColumn("root", F.coalesce("root", "node"))

@@ -1,9 +1,11 @@
 import hashlib
+import math
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from placefolio.llm import exact_dedup, near_dedup, substring_dedup
 from placefolio.llm.components import components
@@ -98,6 +100,36 @@ def test_near_duplicates_match_brute_force(docs, seed, threshold, monkeypatch):
     assert [rows[i]["kept"] for i in range(len(texts))] == [i == x for i, x in enumerate(root)]
 
 
+def test_filters_lose_no_link_that_counts():
+    for threshold in (80, 85):
+        for kept in range(1, near_dedup.SKETCH + 1):
+            least, t = near_dedup.least_overlap(kept, threshold), threshold / 100
+            if 100 * kept <= threshold * near_dedup.SKETCH:
+                # Sets that fit: any partner has a union that makes at least this many common values necessary.
+                assert least == min(c for c in range(kept + 1) if 100 * c >= threshold * kept)
+            else:
+                tail = sum(math.comb(kept, i) * t ** i * (1 - t) ** (kept - i) for i in range(least))
+                assert 1 <= least and tail <= near_dedup.LOSS
+
+
+def test_giant_groups_hang_together_as_all_their_pairs_do(spark):
+    """Numbers are linked if they differ by 3 at most; groups of one chain, of chains far apart, and of strangers."""
+    groups = {1: list(range(0, 60)), 2: [*range(100, 130), *range(200, 204), 300], 3: list(range(1000, 1200, 10)), 4: [1, 3, 90]}
+    rows = spark.createDataFrame([(g, n, 1, -(-len(m) // 5)) for g, m in groups.items() for n in m],
+                                 "g int, node long, weight int, blocks int")
+    dealt = []
+
+    def link(df):
+        dealt.append(df.count())
+        a, b = df.select("g", "i", "j", F.col("node").alias("u")), df.select("g", "i", "j", F.col("node").alias("v"))
+        return a.join(b, ["g", "i", "j"]).where("u > v AND u - v <= 3").select("u", "v")
+
+    got = {r["u"]: r["v"] for r in near_dedup._linked(rows, "g", 5, link).collect()}
+    want = {n: 0 for n in range(1, 60)} | {n: 100 for n in range(101, 130)} | {n: 200 for n in (201, 202, 203)}
+    # 1 and 3 of group 4 are members of the first chain, 90 is alone.
+    assert got == want and dealt[0] == sum(map(len, groups.values()))
+
+
 def test_near_odd_rows(odd, empty):
     rows = near_dedup.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
