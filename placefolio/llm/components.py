@@ -4,29 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from placefolio.operators.hot_keys import HOT_KEY_ROWS, spread_join
 from placefolio.session import staged
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame, hot_key_rows: int) -> DataFrame:
+    """``edges`` with column ``m`` of their ``u``. The centre of a star may hold most edges, so it is spread over tasks."""
+    hot = (least.where(F.col("degree") >= hot_key_rows)
+           .select("u", F.ceil(F.col("degree") / hot_key_rows).cast("int").alias("_copies")))
+    return spread_join(edges, least.select("u", "m"), ["u"], hot)
+
+
+def _large_star(edges: DataFrame, hot_key_rows: int) -> DataFrame:
     """Every larger neighbour of a node goes to the smallest node of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = (both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+             .select("u", F.least("u", "m").alias("m"), "degree"))
+    return _with_least(both, least, hot_key_rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hot_key_rows: int) -> DataFrame:
     """A node and its smaller neighbours go to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+    moved = _with_least(down, least, hot_key_rows).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """``u, v`` for each node with an edge to another: ``v`` is the smallest node of its component, which has no row.
 
     ``edges`` has columns ``u, v`` of type long; loops and repeated edges do no harm. The number of rounds grows with the
-    logarithm of the longest path; every round is written to the shared folder.
+    logarithm of the longest path; every round is written to the shared folder. Nodes with ``hot_key_rows`` edges or more are
+    spread over several tasks.
     """
     edges = staged(edges.where("u <> v").distinct(), "edges")
 
@@ -35,7 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     before = None
     while True:
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        edges = staged(_small_star(_large_star(edges, hot_key_rows), hot_key_rows), "edges")
         now = state(edges)
         if now == before:
             return edges
