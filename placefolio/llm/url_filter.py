@@ -2,8 +2,10 @@
 
 Labelled pages are counted per host. Each level is a beta-binomial whose prior mean is the posterior mean of the level
 above (host from registered domain, domain from suffix, suffix from all pages) and whose prior strength comes from the
-spread of that level by the method of moments. A page is blocked if the lower posterior bound of its host's share of bad
-pages is above ``max_bad``. Only DataFrame functions are used.
+spread of that level by the method of moments. Where bad hosts are few that strength grows with the number of hosts, so the
+levels are also followed with strengths of ``FREE_STRENGTH`` at most: a few dozen consistent outcomes outweigh it in a corpus
+of any size. A page is blocked if either lower posterior bound of its host's share of bad pages is above ``max_bad``. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ MAX_BAD = 0.3
 Z = 1.645
 # Share of a level's variance between its groups, kept inside these limits: prior strength 999 to 1.
 LEAST_SPREAD, MOST_SPREAD = 0.001, 0.5
+# Highest prior strength of the second posterior: a spread of 0.02.
+FREE_STRENGTH = 49
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -56,9 +60,10 @@ def first_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RU
     return name, verdict
 
 
-def _posterior(groups: DataFrame, prior: Column) -> DataFrame:
-    """Posterior mean of every group from ``n, bad`` and its prior mean; also the prior strength of the level."""
-    groups = groups.withColumn("prior", prior)
+def _posterior(groups: DataFrame, prior: Column, free_prior: Column) -> DataFrame:
+    """Posterior mean of every group from ``n, bad`` and its prior mean; also the prior strength of the level.
+    ``free_mean, free_strength`` are the same with a strength of ``FREE_STRENGTH`` at most."""
+    groups = groups.withColumns({"prior": prior, "free_prior": free_prior})
     has, p = F.col("n") > 0, F.col("prior")
     noise = p * (1 - p)
     spread = groups.where(has).agg(
@@ -69,13 +74,18 @@ def _posterior(groups: DataFrame, prior: Column) -> DataFrame:
     # One row, from an aggregate without keys.
     groups = groups.join(F.broadcast(spread.select((1 / share - 1).alias("strength"), F.lit(1).alias("one"))),
                          F.lit(1) == F.col("one")).drop("one")
-    return groups.withColumn("mean", (F.col("bad") + F.col("strength") * p) / (F.col("n") + F.col("strength")))
+    groups = groups.withColumn("free_strength", F.least("strength", F.lit(float(FREE_STRENGTH))))
+    return groups.withColumns({
+        "mean": (F.col("bad") + F.col("strength") * p) / (F.col("n") + F.col("strength")),
+        "free_mean": ((F.col("bad") + F.col("free_strength") * F.col("free_prior"))
+                      / (F.col("n") + F.col("free_strength")))})
 
 
 def host_reputation(outcomes: DataFrame, max_bad: float = MAX_BAD, z: float = Z) -> DataFrame:
     """``host, n, bad, mean, bound, blocked`` from rows ``host, bad`` (1, 0, or null without a label).
 
-    Every host of ``outcomes`` is in the result; hosts without labels get what their domain and suffix say.
+    Every host of ``outcomes`` is in the result; hosts without labels get what their domain and suffix say. ``bound`` is
+    the higher one of the two lower bounds.
     """
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
@@ -86,12 +96,16 @@ def host_reputation(outcomes: DataFrame, max_bad: float = MAX_BAD, z: float = Z)
     overall = suffixes.agg(F.when(F.sum("n") > 0, (F.sum("bad") + 1) / (F.sum("n") + 2)).alias("overall"),
                            F.lit(1).alias("one"))
     suffixes = suffixes.join(F.broadcast(overall), F.lit(1) == F.col("one")).drop("one")
-    suffixes = _posterior(suffixes, F.col("overall")).select("suffix", F.col("mean").alias("suffix_mean"))
-    domains = _posterior(domains.join(suffixes, "suffix"), F.col("suffix_mean"))
-    domains = domains.select("domain", F.col("mean").alias("domain_mean"))
-    hosts = _posterior(hosts.join(domains, "domain"), F.col("domain_mean"))
-    mean = F.col("mean")
-    bound = mean - z * F.sqrt(mean * (1 - mean) / (F.col("n") + F.col("strength") + 1))
+    suffixes = _posterior(suffixes, F.col("overall"), F.col("overall")).select(
+        "suffix", F.col("mean").alias("suffix_mean"), F.col("free_mean").alias("free_suffix_mean"))
+    domains = _posterior(domains.join(suffixes, "suffix"), F.col("suffix_mean"), F.col("free_suffix_mean"))
+    domains = domains.select("domain", F.col("mean").alias("domain_mean"), F.col("free_mean").alias("free_domain_mean"))
+    hosts = _posterior(hosts.join(domains, "domain"), F.col("domain_mean"), F.col("free_domain_mean"))
+
+    def lower(mean, strength):
+        return mean - z * F.sqrt(mean * (1 - mean) / (F.col("n") + strength + 1))
+
+    bound = F.greatest(lower(F.col("mean"), F.col("strength")), lower(F.col("free_mean"), F.col("free_strength")))
     return hosts.select("host", "n", "bad", "mean", bound.alias("bound"), (bound > max_bad).alias("blocked"))
 
 

@@ -93,6 +93,16 @@ def test_url_rules_and_reputation(spark):
     assert {r["verdict"] for r in url_filter.judge_urls(pages.where("page_id > 10"), outcomes.limit(0)).collect()} == {"allow"}
 
 
+def test_one_bad_host_is_blocked_among_any_number(spark):
+    for n_hosts in (60, 5000):
+        hosts = spark.range(n_hosts).select(F.concat(F.lit("h"), "id", F.lit(".d"), "id", F.lit(".s"), F.col("id") % 7).alias("host"), "id")
+        # 15 of 15 pages of host 0 are bad, 4 of 16 of all others.
+        rows = hosts.select("host", "id", F.explode(F.sequence(F.lit(0), F.when(F.col("id") == 0, 14).otherwise(15))).alias("k"))
+        outcomes = rows.select("host", F.when(F.col("id") == 0, 1).otherwise((F.col("k") % 4 == 0).cast("int")).alias("bad"))
+        blocked = url_filter.host_reputation(outcomes).where("blocked").collect()
+        assert [(r["host"], r["n"], r["bad"]) for r in blocked] == [("h0.d0.s0", 15, 15)]
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "é" * 30_000 + "\r\n\r\nWARC/1.1\r\n"
     rows = [(1, "u", None), (2, None, ""), (3, "a\r\nX: y", "x" * 99), (4, "u", "x" * 99), (5, "u", big), (6, "u", big),
