@@ -75,7 +75,7 @@ def build_catalogue(spark: SparkSession, search_pages: DataFrame, fetch_log: Dat
     # Only documents that were chosen for a place are parsed.
     chosen = documents.where("doc_type = 'pdf'").select(F.col("source_url").alias("url")).distinct()
     wanted = pdf_log(fetch_log).join(chosen, "url", "left_semi").select(F.col("url").alias("path"), "content")
-    parsed = staged(extraction.parse_documents(wanted, parse_fn, call_partitions), "parsed-documents")
+    parsed = staged(extraction.parse_documents(wanted, parse_fn, call_partitions, params.max_text_chars), "parsed-documents")
     texts = staged(extraction.source_texts(
         extraction.html_texts(documents),
         extraction.pdf_texts_by_url(documents, parsed.withColumnRenamed("path", "url")),

@@ -84,6 +84,8 @@ def test_document_parser_errors_become_rows(spark):
     got = {r["path"]: (r["source_text"], r["error"]) for r in extraction.parse_documents(df, parse).collect()}
     assert got["a"] == (('{"text":"' + "x" * 30_000)[:20_000], None)
     assert got["b"] == (None, "ValueError: unreadable") and got["c"] == (None, None)
+    whole = {r["path"]: r["source_text"] for r in extraction.parse_documents(df, parse, max_chars=None).collect()}
+    assert json.loads(whole["a"]) == {"text": "x" * 30_000} and whole["b"] is None and whole["c"] is None
 
 
 def test_source_texts(spark):

@@ -101,6 +101,19 @@ def test_whole_run(spark, sf_dir):
     spark.sql(f"DROP SCHEMA {namespace} CASCADE")
 
 
+def test_no_text_limit_keeps_whole_documents(spark, sf_dir):
+    namespace = f"run_{uuid.uuid4().hex}"
+    location = f"{shared_folder(spark)}/{namespace}"
+    spark.sql(f"CREATE SCHEMA {namespace} LOCATION '{location}'")
+    params = dataclasses.replace(d.PARAMS, max_text_chars=None)
+    build.build_catalogue(spark, d.search_pages(spark, sf_dir), d.fetch_log(spark, sf_dir), d.rules(spark, sf_dir),
+                          namespace, params, parse_fn=lambda content: {"text": "x" * 30_000}, location=location)
+    documents = spark.table(f"{namespace}.menu_documents").where("doc_type = 'pdf'").select("place_id", "source_url")
+    texts = {r["source_text"] for r in spark.table("menu_source_text").join(documents, ["place_id", "source_url"]).collect()}
+    assert texts == {'{"text":"' + "x" * 30_000 + '"}'}
+    spark.sql(f"DROP SCHEMA {namespace} CASCADE")
+
+
 def test_command_line(spark, sf_dir):
     import json
 
