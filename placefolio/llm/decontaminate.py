@@ -63,7 +63,7 @@ def contaminated_items(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     """``doc_id, text_hash, item_id``: each item that a document overlaps, once.
 
     Null and empty texts, on either side, overlap nothing; neither do items shorter than the longest mask. Rows with
-    the same id and text are one document; a null id is an id of its own.
+    the same id and text are one document; a null id is an id of its own, of documents and of items.
     """
     items = (benchmark.select(F.col(item_id).alias("item"), word_hashes(item_text).alias("item_words"))
              .where(F.size("item_words") >= max(map(len, masks))).distinct())
@@ -95,7 +95,8 @@ def contaminated_items(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     if not small:
         hits = hits.distinct().join(words.withColumnsRenamed({"doc": "d2", "text_hash": "t2"}),
                                     F.col("doc").eqNullSafe(F.col("d2")) & (F.col("text_hash") == F.col("t2")))
-    hits = hits.join(hint(items), "item")
+    whole = items.withColumnRenamed("item", "own_item")
+    hits = hits.join(hint(whole), F.col("item").eqNullSafe(F.col("own_item"))).drop("own_item")
     same, enough = _overlaps(window, substitutions)
     return (hits.withColumn("same", same).where(enough)
             .select(F.col("doc").alias("doc_id"), "text_hash", F.col("item").alias("item_id")).distinct())
@@ -103,10 +104,14 @@ def contaminated_items(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
 
 def judge_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     **options) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, contaminated, n_items, item_ids`` (sorted; empty for clean documents)."""
+    """One row per row of ``docs``: ``doc_id, contaminated, n_items, item_ids`` (sorted; empty for clean documents).
+
+    A null item id is counted and listed as null, in front.
+    """
     found = contaminated_items(docs, benchmark, doc_id, text, **options)
     per_doc = (found.groupBy(F.col("doc_id").alias("d2"), F.col("text_hash").alias("t2"))
-               .agg(F.sort_array(F.collect_list("item_id")).alias("item_ids")))
+               # In structs, as a list leaves nulls out.
+               .agg(F.sort_array(F.collect_list(F.struct("item_id"))).getField("item_id").alias("item_ids")))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"))
     judged = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("text_hash") == F.col("t2")), "left")
     n = F.coalesce(F.size("item_ids"), F.lit(0))

@@ -43,6 +43,17 @@ def test_leaks_match_brute_force(spark, docs):
         assert all(r["contaminated"] == bool(r["item_ids"]) and r["n_items"] == len(r["item_ids"]) for r in rows)
 
 
+def test_null_item_ids_are_items(spark, docs):
+    item, other = (" ".join(f"{c}{i}" for i in range(15)) for c in "kq")
+    bench = spark.createDataFrame([(None, item), (None, "u v w x y z u v"), (7, other)], "item_id long, text string")
+    rows = docs([f"a {item} b", f"{other} {item}", other, "clean words", "u v w x y z u v"])
+    for most in (decontaminate.MAX_BROADCAST_SEEDS, 0):
+        got = {r["doc_id"]: r for r in decontaminate.judge_documents(rows, bench, max_broadcast=most).collect()}
+        assert [got[i]["item_ids"] for i in range(5)] == [[None], [None, 7], [7], [], [None]]
+        assert [(got[i]["contaminated"], got[i]["n_items"]) for i in range(5)] == [(True, 1), (True, 2), (True, 1), (False, 0), (True, 1)]
+        assert [r["doc_id"] for r in decontaminate.drop_contaminated(rows, bench, max_broadcast=most).collect()] == [3]
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     bench = table(spark, "/root/testdata/sf0.001", "benchmark")
     assert decontaminate.judge_documents(odd, bench).count() == odd.count()
