@@ -4,7 +4,8 @@ Words are runs of letters and digits, lower-cased. A mask keeps some words of a
 texts that differ in an ignored word still have the seed in common. Seeds of the benchmark are joined to the seeds of the
 documents; around every hit the two texts are aligned and compared word by word. A document is contaminated if some
 ``WINDOW`` aligned words (the whole item, if it is shorter) differ in at most ``SUBSTITUTIONS``. The two masks hit every such
-window of 13 words, wherever the three substitutions are (``tests/llm`` tries all). Only DataFrame functions are used.
+window of 13 words, wherever the three substitutions are (``tests/llm`` tries all). Shorter items get runs of words instead: of
+``allowed + 1`` parts of an item one is always without a substitution. Items of one word count. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -33,11 +34,27 @@ def _seed(words: Column, at: Column, mask: str, number: int) -> Column:
     return F.when(at + len(mask) <= F.size(words), F.xxhash64(F.lit(number), *picked))
 
 
-def benchmark_seeds(items: DataFrame, masks: Sequence[str]) -> DataFrame:
+def run_of(n: int, window: int, substitutions: int) -> int:
+    """Length of a run that an item of ``n < window`` words still has after all allowed substitutions."""
+    return n // (n * substitutions // window + 1)
+
+
+def seed_masks(items: DataFrame, masks: Sequence[str], window: int, substitutions: int) -> list[tuple[str, list[int] | None]]:
+    """Masks and the lengths of the items they are for; ``None`` are all from ``window`` on. Runs only if there are such items."""
+    size = F.size("item_words")
+    short = sorted(r["n"] for r in items.where(size < window).select(size.alias("n")).distinct().collect())
+    runs: dict[int, list[int]] = {}
+    for n in short:
+        runs.setdefault(run_of(n, window, substitutions), []).append(n)
+    return [(mask, None) for mask in masks] + [("1" * w, lengths) for w, lengths in runs.items()]
+
+
+def benchmark_seeds(items: DataFrame, masks: Sequence[tuple[str, list[int] | None]], window: int) -> DataFrame:
     """``mask, seed, found``: the places ``(item, at)`` of every seed. A list is as long as the benchmark at most."""
-    at = items.select("item", "item_words", F.posexplode("item_words").alias("at", "word"))
-    every = None
-    for number, mask in enumerate(masks):
+    every, size = None, F.size("item_words")
+    for number, (mask, lengths) in enumerate(masks):
+        own = items.where(size >= window if lengths is None else size.isin(lengths))
+        at = own.select("item", "item_words", F.posexplode("item_words").alias("at", "word"))
         rows = at.select(F.lit(number).alias("mask"), _seed(F.col("item_words"), F.col("at"), mask, number).alias("seed"),
                          F.struct("item", "at").alias("place")).where(F.col("seed").isNotNull())
         every = rows if every is None else every.unionByName(rows)
@@ -62,12 +79,13 @@ def contaminated_items(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
                        max_broadcast: int = MAX_BROADCAST_SEEDS) -> DataFrame:
     """``doc_id, text_hash, item_id``: each item that a document overlaps, once.
 
-    Null and empty texts, on either side, overlap nothing; neither do items shorter than the longest mask. Rows with
+    Null and empty texts, on either side, overlap nothing; items of one word or more are all looked for. Rows with
     the same id and text are one document; a null id is an id of its own, of documents and of items.
     """
     items = (benchmark.select(F.col(item_id).alias("item"), word_hashes(item_text).alias("item_words"))
-             .where(F.size("item_words") >= max(map(len, masks))).distinct())
-    seeds = benchmark_seeds(items, masks)
+             .where(F.size("item_words") > 0).distinct())
+    every_mask = seed_masks(items, masks, window, substitutions)
+    seeds, masks = benchmark_seeds(items, every_mask, window), [mask for mask, _ in every_mask]
     small = (seeds.agg(F.coalesce(F.sum(F.size("found")), F.lit(0)).alias("n")).first()["n"] <= max_broadcast)
     hint = F.broadcast if small else (lambda df: df)
     words = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text_of(text)).alias("text_hash"),

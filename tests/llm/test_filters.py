@@ -43,6 +43,22 @@ def test_leaks_match_brute_force(spark, docs):
         assert all(r["contaminated"] == bool(r["item_ids"]) and r["n_items"] == len(r["item_ids"]) for r in rows)
 
 
+def test_short_items_are_found_with_every_allowed_substitution(spark, docs):
+    items, texts, want = [], [], []
+    for n in range(1, 13):
+        words, allowed = [f"n{n}w{i}" for i in range(n)], 3 * n // 13
+        items.append((n, " ".join(words)))
+        for count, hit in ((allowed, True), (allowed + 1, False)):
+            for bad in itertools.combinations(range(n), count):
+                swapped = ["zz" if i in bad else w for i, w in enumerate(words)]
+                texts.append(" ".join(["left", *swapped, "right"]))
+                want.append([n] if hit else [])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for most in (decontaminate.MAX_BROADCAST_SEEDS, 0):
+        rows = decontaminate.judge_documents(docs(texts), bench, max_broadcast=most).collect()
+        assert [r["item_ids"] for r in sorted(rows, key=lambda r: r["doc_id"])] == want
+
+
 def test_null_item_ids_are_items(spark, docs):
     item, other = (" ".join(f"{c}{i}" for i in range(15)) for c in "kq")
     bench = spark.createDataFrame([(None, item), (None, "u v w x y z u v"), (7, other)], "item_id long, text string")
