@@ -42,7 +42,8 @@ STAGES = [
     ("mixing", mixing_stage),
 ]
 
-# A trained classifier decides the first stage, which SQL cannot express; tests/llm checks the stages by brute force.
+# A trained classifier decides the first stage, which SQL cannot express; tests/llm checks exact dedup and decontamination by
+# brute force, the other stages and the whole run only for columns and subsets.
 ORACLE_SQL = None
 
 
