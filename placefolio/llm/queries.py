@@ -8,8 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from placefolio.llm import (decontaminate, exact_dedup, language, lm_score, mixing, near_dedup, quality, substring_dedup,
-                            url_filter, warc)
+from placefolio.llm import (decontaminate, exact_dedup, language, lm_score, mixing, near_dedup, negatives, packing, quality,
+                            substring_dedup, url_filter, warc, whitening)
 from placefolio.llm.common import table
 from placefolio.session import shared_folder
 
@@ -84,9 +84,25 @@ def op10_warc(spark, sf):
     return stored.select(*columns).unionByName(again.select(*columns))
 
 
+def op11_embedding_whitening(spark, sf):
+    return whitening.component_rows(table(spark, sf, "embeddings").select("vec_id", "embedding"), 4)
+
+
+def op12_packing(spark, sf):
+    import public_tokenizers
+    packed = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op13_hard_negatives(spark, sf):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, label=moved)
+
+
 QUERIES = {fn.__name__: fn for fn in (
     op1_exact_dedup, op2_minhash_near_dedup, op3_language_id, op4_quality_classifier, op5_lm_scoring, op6_source_mixing,
-    op7_substring_dedup, op8_url_filter, op9_decontamination, op10_warc)}
+    op7_substring_dedup, op8_url_filter, op9_decontamination, op10_warc, op11_embedding_whitening, op12_packing,
+    op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,6 +12,9 @@ def test_query(spark, sf_dir, name):
     sql = queries.oracle_sql().get(name)
     if sql:
         assert compare(df, duck(sf_dir), sql) is None
+    elif name.startswith(("op11", "op12")):
+        # More rows than documents or vectors; tests of their own compare them.
+        assert df.count() > 0
     else:
         tables = ("documents", "pages") if name.startswith("op3") else ("documents",)
         assert df.count() == sum(spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in tables)
