@@ -70,18 +70,9 @@ def op9_decontamination(spark, sf):
 def op10_warc(spark, sf):
     path = f"{shared_folder(spark)}/placefolio/warc-{uuid.uuid4().hex}"
     warc.write_archives(table(spark, sf, "pages"), path)
-    read = warc.read_archives(spark, path).select(
-        "page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.coalesce(F.sha2("payload", 256), "record_digest").alias("payload_digest"))
-    stored = read.where("record_type = 'response'")
-    # A revisit's payload is that of the response it refers to.
-    sizes = (stored.groupBy(F.col("page_id").alias("origin")).agg(F.first("payload_bytes").alias("origin_bytes"),
-                                                                 F.first("payload_digest").alias("origin_digest")))
-    again = (read.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
-             .join(sizes, F.col("refers_to") == F.col("origin"), "left")
-             .withColumnsRenamed({"origin_bytes": "payload_bytes", "origin_digest": "payload_digest"}))
-    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    return stored.select(*columns).unionByName(again.select(*columns))
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", F.coalesce(F.sha2("payload", 256), "record_digest").alias("payload_digest"),
+        "record_type", "refers_to")
 
 
 def op11_embedding_whitening(spark, sf):

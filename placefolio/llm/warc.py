@@ -7,26 +7,28 @@ by origin, orders them by segment number, checks the total length and takes the
 
 from __future__ import annotations
 
-import gzip
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from placefolio.llm.common import text_of
+from placefolio.operators.hot_keys import hot_keys, spread_join
+from placefolio.session import staged
 
 SEGMENT_BYTES = 8192
 CHUNK_BYTES = 4096
 # Payloads shorter than this are always stored whole.
 LEAST_SHARED = 100
-# Records per file, and so, with SEGMENT_BYTES, the size of a file, which is read in one piece.
-FILE_RECORDS = 2000
+# Records per file. A file is read by one task.
+FILE_RECORDS = 20_000
 _VERSION = b"WARC/1.1\r\n"
 _DATE = b"2024-01-01T00:00:00Z"
 _END = b"\r\n\r\n"
 
 _RECORDS = ("page_id long, uri string, record_type string, refers_to long, record_digest string, record_id string, "
-            "segment int, total long, block binary")
+            "segment int, total long, block binary, payload binary, error string")
 _PAGES = "page_id long, uri string, record_type string, refers_to long, record_digest string, payload binary, error string"
 
 
@@ -128,7 +130,8 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
 
     Null payloads are empty. Of rows with equal payloads of at least ``least_shared`` bytes those with the smallest id
     are responses, the others revisits without a payload; a null id is larger than all others, and such rows are only
-    revisits if a row with an id has their payload.
+    revisits if a row with an id has their payload. Repeated ids are archived row by row: rows with the id of the response and
+    its payload are all responses. An empty table gives archives without records.
     """
     payload = text_of(html).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
@@ -143,18 +146,48 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
      .text(path))
 
 
-def _parse(data: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
-    at = 0
-    while at < len(data):
-        end = data.index(_END, at)
-        version, *lines = data[at:end].split(b"\r\n")
-        if not version.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        headers = {name.lower(): value.strip() for name, _, value in (line.partition(b":") for line in lines)}
-        start = end + 4
-        length = int(headers[b"content-length"])
-        yield headers, data[start:start + length]
-        at = start + length + 4
+def records_in(pieces: Iterator[tuple[str, bytes]]) -> Iterator[tuple[dict[bytes, bytes], bytes, str | None]]:
+    """``(headers, block, error)`` of every record in a stream of ``(file, piece)``.
+
+    The pieces of a file are its bytes between blank lines, in order. Only what belongs to the present record is held.
+    Where a file is broken or ends early, its last record has an error, and the next file begins anew.
+    """
+    file, held, headers, length, broken = None, bytearray(), None, 0, False
+
+    def rest():
+        if headers is not None and not broken:
+            yield headers, b"", f"record has {len(held)} bytes, not {length}"
+        elif held.strip() and not broken:
+            yield {}, b"", "head of a record does not end"
+
+    for name, piece in pieces:
+        if name != file:
+            yield from rest()
+            file, held, headers, broken = name, bytearray(), None, False
+        if broken:
+            continue
+        held += piece + _END
+        while True:
+            if headers is None:
+                start = len(held) - len(held.lstrip(b"\r\n"))
+                end = held.find(_END, start)
+                if end < 0:
+                    break
+                version, *lines = bytes(held[start:end]).split(b"\r\n")
+                found = {n.lower(): v.strip() for n, _, v in (line.partition(b":") for line in lines)}
+                size = found.get(b"content-length", b"")
+                if not version.startswith(b"WARC/") or not size.isdigit():
+                    yield {}, b"", "no WARC record where one should begin"
+                    broken = True
+                    break
+                headers, length = found, int(size)
+                del held[:end + len(_END)]
+            if len(held) < length:
+                break
+            yield headers, bytes(held[:length]), None
+            del held[:length]
+            headers = None
+    yield from rest()
 
 
 def _page_of(value: bytes | None) -> int | None:
@@ -162,68 +195,106 @@ def _page_of(value: bytes | None) -> int | None:
     return int(value.strip(b"<>").rpartition(b":")[2]) if value else None
 
 
-def _reader(segmented: bool):
-    """Records of whole files: only those in one piece, or only segments."""
-    schema = pa.schema([("page_id", pa.int64()), ("uri", pa.string()), ("record_type", pa.string()),
-                        ("refers_to", pa.int64()), ("record_digest", pa.string()), ("record_id", pa.string()),
-                        ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
+_SCHEMA = pa.schema([("page_id", pa.int64()), ("uri", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
+                     ("record_digest", pa.string()), ("record_id", pa.string()), ("segment", pa.int32()), ("total", pa.int64()),
+                     ("block", pa.binary()), ("payload", pa.binary()), ("error", pa.string())])
+# Bytes of records that go to Spark at once.
+_BATCH_BYTES = 8 << 20
 
-    def row(h: dict[bytes, bytes], block: bytes):
-        get = lambda k: h[k].decode() if k in h else None
-        number = lambda k: int(h[k]) if k in h else None
-        return (number(b"x-page-id"), get(b"warc-target-uri"), get(b"warc-type"), _page_of(h.get(b"warc-refers-to")),
-                h.get(b"warc-payload-digest", b"").rpartition(b":")[2].decode() or None,
-                get(b"warc-segment-origin-id") or get(b"warc-record-id"), number(b"warc-segment-number"),
-                number(b"warc-segment-total-length"), block)
 
-    def run(batches):
+def _row(h: dict[bytes, bytes], block: bytes, error: str | None) -> tuple:
+    """Record of one piece with its payload, segment with its block."""
+    get = lambda k: h[k].decode("utf-8", "replace") if k in h else None
+    digest = h.get(b"warc-payload-digest", b"").rpartition(b":")[2].decode("utf-8", "replace") or None
+    row = [None, get(b"warc-target-uri"), get(b"warc-type"), None, digest, None, None, None, None, None, error]
+    try:
+        number = lambda k: int(h[k]) if k in h else None
+        row[0], row[3] = number(b"x-page-id"), _page_of(h.get(b"warc-refers-to"))
+        row[5] = get(b"warc-segment-origin-id") or get(b"warc-record-id")
+        row[6], row[7] = number(b"warc-segment-number"), number(b"warc-segment-total-length")
+        if row[6] is not None and not error:
+            row[8] = block
+        elif row[2] == "response" and not error:
+            row[9] = payload_of(block, digest)
+    except ValueError as problem:
+        row[10] = str(problem)
+    return tuple(row)
+
+
+def _read(batches):
+    def pieces():
         for batch in batches:
-            for content in batch["content"]:
-                data = content.as_py()
-                rows = [row(h, b) for h, b in _parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
-                        if (b"warc-segment-number" in h) == segmented]
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-    return run
+            yield from zip(batch["file"].to_pylist(), batch["value"].to_pylist())
+
+    rows, size = [], 0
+    for headers, block, error in records_in(pieces()):
+        rows.append(_row(headers, block, error))
+        size += len(block) + 200
+        if size > _BATCH_BYTES:
+            yield _table(rows)
+            rows, size = [], 0
+    if rows:
+        yield _table(rows)
+
+
+def _table(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
+
+
+def payload_of(block: bytes, digest: str | None) -> bytes:
+    """Payload of an HTTP response; raises ``ValueError`` if it is broken or has not the recorded SHA-256."""
+    payload = http_payload(block)
+    if digest and len(digest) == 64 and hashlib.sha256(payload).hexdigest() != digest:
+        raise ValueError("payload has another digest than its record")
+    return payload
+
+
+def joined_segments(kind: str | None, digest: str | None, total: int | None, parts: list[dict]) -> tuple[bytes | None, str | None]:
+    """Payload and error of a record in segments ``{segment, block}``, which are in order."""
+    numbers, block = [p["segment"] for p in parts], b"".join(p["block"] or b"" for p in parts)
+    if numbers != list(range(1, len(numbers) + 1)):
+        return None, "segments are missing or repeated"
+    if total != len(block):
+        return None, f"segments have {len(block)} bytes, not {total}"
+    try:
+        return (payload_of(block, digest) if kind == "response" else None), None
+    except ValueError as problem:
+        return None, str(problem)
 
 
 def _decode(batches):
+    names = ["page_id", "uri", "record_type", "refers_to", "record_digest"]
     for batch in batches:
-        payloads, errors = [], []
-        for kind, total, parts in zip(batch["record_type"].to_pylist(), batch["total"].to_pylist(),
-                                      batch["parts"].to_pylist()):
-            numbers, block = [p["segment"] for p in parts], b"".join(p["block"] for p in parts)
-            payload = error = None
-            try:
-                if numbers != [None] and numbers != list(range(1, len(numbers) + 1)):
-                    error = "segments are missing or repeated"
-                elif numbers != [None] and total != len(block):
-                    error = f"segments have {len(block)} bytes, not {total}"
-                elif kind == "response":
-                    payload = http_payload(block)
-            except ValueError as problem:
-                error = str(problem)
-            payloads.append(payload)
-            errors.append(error)
-        columns = [batch[c] for c in ("page_id", "uri", "record_type", "refers_to", "record_digest")]
-        names = ["page_id", "uri", "record_type", "refers_to", "record_digest", "payload", "error"]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(payloads, pa.binary()), pa.array(errors, pa.string())], names)
+        done = [joined_segments(*r) for r in zip(*(batch[c].to_pylist() for c in ("record_type", "record_digest", "total", "parts")))]
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array([p for p, _ in done], pa.binary()),
+                                          pa.array([e for _, e in done], pa.string())], [*names, "payload", "error"])
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """``page_id, uri, record_type, refers_to, record_digest, payload, error``: one row per archived page.
+    """``page_id, uri, record_type, refers_to, record_digest, payload, payload_bytes, error``: one row per archived page.
 
-    Records in one piece are decoded where they are read; only segments are shuffled, by their origin. A broken
-    record has a null payload and says why in ``error``. Revisits have no payload of their own.
+    Spark reads the files as a stream of pieces between blank lines, so a file of any size passes through one task
+    record by record, and each file is read once. Records in one piece are decoded where they are read; only segments
+    are shuffled, by their origin. A broken record has a null payload and says why in ``error``; a file that breaks off
+    gives one such row for its rest. Revisits have no payload of their own; their ``payload_bytes`` are those of the response
+    with the id they refer to and their own digest, as one id may have several payloads, and null if it is not there.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = (spark.read.option("pathGlobFilter", "*.gz").option("lineSep", _END.decode()).text(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value")))
+    columns = ["page_id", "uri", "record_type", "refers_to", "record_digest", "payload", "error"]
+    records = staged(files.mapInArrow(_read, _RECORDS), "warc-records")
     part = F.struct(F.col("segment"), F.col("block"))
-    whole = (files.mapInArrow(_reader(False), _RECORDS)
-             .select("page_id", "uri", "record_type", "refers_to", "record_digest", "total",
-                     F.array(part).alias("parts")))
     first = lambda c: F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c)
-    pieces = (files.mapInArrow(_reader(True), _RECORDS).groupBy("record_id")
-              .agg(*[first(c) for c in ("page_id", "uri", "record_type", "refers_to", "record_digest")],
-                   F.max("total").alias("total"), F.sort_array(F.collect_list(part)).alias("parts")).drop("record_id"))
-    return whole.unionByName(pieces).mapInArrow(_decode, _PAGES)
+    pieces = (records.where(F.col("segment").isNotNull()).groupBy("record_id")
+              .agg(*[first(c) for c in columns[:5]], F.max("total").alias("total"),
+                   F.sort_array(F.collect_list(part)).alias("parts")).drop("record_id").mapInArrow(_decode, _PAGES))
+    pages = records.where(F.col("segment").isNull()).select(*columns).unionByName(pieces)
+    revisit = F.coalesce(F.col("record_type") == "revisit", F.lit(False))
+    own = pages.where(~revisit).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    # A revisit is never in segments, so these rows come from the stored records alone.
+    again = records.where(revisit & F.col("segment").isNull()).select(*columns)
+    sizes = (own.where(F.col("payload_bytes").isNotNull()).groupBy(F.col("page_id").alias("refers_to"), "record_digest")
+             .agg(F.max("payload_bytes").alias("payload_bytes")))
+    found = spread_join(again, sizes, ["refers_to", "record_digest"], hot_keys(again, "record_digest"), "left")
+    order = [*columns[:6], "payload_bytes", "error"]
+    return own.select(*order).unionByName(found.select(*order))

@@ -1,3 +1,5 @@
+import gzip
+import hashlib
 import itertools
 import re
 
@@ -143,22 +145,79 @@ def test_warc_round_trip(spark, tmp_path):
     assert {(r["page_id"], r["refers_to"]) for r in got if r["record_type"] == "revisit"} == {(6, 5), (None, 5)}
 
 
+def test_warc_query_with_repeated_ids(spark, tmp_path):
+    short, long = "s" * 200, "l" * 300
+    rows = [(1, "u", short), (1, "v", long), (2, "u", long), (3, None, short), (3, None, short), (4, "u", "x" * 99), (4, "u", "x" * 99),
+            (None, "u", long), (5, "u", "b" * 9000), (6, "u", "b" * 9000), (7, "u", None)]
+    full = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for name, df in (("some", full.repartition(3)), ("none", full.limit(0))):
+        df.write.parquet(str(tmp_path / name / "pages.parquet"))
+    got = [tuple(r) for r in queries.op10_warc(spark, str(tmp_path / "some")).collect()]
+
+    def row(i, html):
+        html = html or ""
+        same = [j for j, _, h in rows if h == html and j is not None]
+        first = min(same) if len(html) >= 100 and same else None
+        again = first is not None and first != i
+        return i, len(html), hashlib.sha256(html.encode()).hexdigest(), "revisit" if again else "response", first if again else None
+
+    assert sorted(got, key=str) == sorted((row(i, h) for i, _, h in rows), key=str)
+    assert queries.op10_warc(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_archives_are_read_once_and_by_record(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", "text " * i) for i in range(400)], "page_id long, url string, html string")
+    warc.write_archives(pages.repartition(2), str(tmp_path / "w"), segment_bytes=500)
+    text = warc.read_archives(spark, str(tmp_path / "w"))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in text and "binaryFile" not in text
+
+
+def test_broken_archives(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i} \r\n\r\n " * 50) for i in range(6)], "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), str(tmp_path / "w"))
+    part = next((tmp_path / "w").glob("*.gz"))
+    whole = gzip.decompress(part.read_bytes())
+    folder = tmp_path / "broken"
+    folder.mkdir()
+    (folder / "a.gz").write_bytes(part.read_bytes())
+    (folder / "b.gz").write_bytes(gzip.compress(whole[:len(whole) // 2 - 100]))
+    (folder / "c.gz").write_bytes(gzip.compress(b"no archive\r\n\r\n" + whole))
+    # One member per record, as most archives have them.
+    at = [m.start() for m in re.finditer(rb"WARC/1\.1\r\nWARC-Type", whole)] + [len(whole)]
+    (folder / "d.gz").write_bytes(b"".join(gzip.compress(whole[i:j]) for i, j in zip(at, at[1:])))
+    (folder / "e.gz").write_bytes(gzip.compress(whole.replace(b"page 3", b"PAGE 3")))
+    (folder / "f.gz").write_bytes(gzip.compress(whole.replace(b"X-Page-ID: 2", b"X-Page-ID: two")))
+    (folder / "g.gz").write_bytes(gzip.compress(b""))
+    rows = warc.read_archives(spark, str(folder)).collect()
+    good = [r["page_id"] for r in rows if not r["error"]]
+    # The first two of the half archive, in whatever order they were written.
+    first = [int(i) for i in re.findall(rb"X-Page-ID: (\d)", whole)][:2]
+    assert sorted(good) == sorted([*range(6), *first, *range(6), 0, 1, 2, 4, 5, 0, 1, 3, 4, 5])
+    assert len(rows) == len(good) + 4 and all(r["payload"] is None for r in rows if r["error"])
+    assert any("digest" in (r["error"] or "") for r in rows) and any("no WARC" in (r["error"] or "") for r in rows)
+    assert any("bytes, not" in (r["error"] or "") for r in rows)
+
+
+def test_records_stream_whatever_the_pieces():
+    blocks = [b"", b"a\r\n", b"\r\n\r\n", b"x" * 50 + b"\r\n\r\n\r\nWARC/1.1\r\n", b"\r\n"]
+    data = b"".join(warc._record([(b"N", b"%d" % i)], b) + b"\r\n\r\n" for i, b in enumerate(blocks))
+    pieces = data.split(b"\r\n\r\n")
+    got = list(warc.records_in([("one", p) for p in pieces] + [("two", p) for p in pieces]))
+    assert [(h[b"n"], b, e) for h, b, e in got] == [(b"%d" % i, b, None) for i, b in enumerate(blocks)] * 2
+
+
 def test_broken_segments_are_reported():
-    import pyarrow as pa
     whole = warc.chunked(b"payload")
     head = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
 
-    def decode(parts, total):
-        batch = pa.RecordBatch.from_pylist([{
-            "page_id": 1, "uri": "u", "record_type": "response", "refers_to": None, "record_digest": None, "total": total,
-            "parts": [{"segment": n, "block": b} for n, b in parts]}])
-        out = next(warc._decode([batch])).to_pylist()[0]
-        return out["payload"], out["error"]
+    def decode(parts, total, digest=None):
+        return warc.joined_segments("response", digest, total, [{"segment": n, "block": b} for n, b in parts])
 
     assert decode([(1, head), (2, whole)], len(head + whole)) == (b"payload", None)
     assert decode([(1, head), (3, whole)], len(head + whole))[1] == "segments are missing or repeated"
     assert "not 7" in decode([(1, head), (2, whole)], 7)[1]
-    assert decode([(None, head + whole[:-9])], None)[0] is None and decode([(None, head + whole[:-9])], None)[1]
+    assert decode([(1, head), (2, whole[:-9])], len(head + whole) - 9)[0] is None
+    assert "digest" in decode([(1, head), (2, whole)], len(head + whole), "0" * 64)[1]
 
 
 def test_pipeline_stages_keep_columns_and_take_effect(spark):
