@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -37,18 +38,93 @@ GROUP_TOKENS = 1 << 19
 GROUP_PIECES = 4096
 # Windows that a group may have beyond those its tokens need, before pieces are cut shorter.
 SLACK = 0.01
-_SLICE_BYTES = 4 << 20
-_KNOWN_WORDS = 300_000
+# Text that is tokenised at once; the larger, the fewer words are met again.
+_SLICE_BYTES = 16 << 20
+# Words that go to the tokenizer in one call.
+_JOINED_WORDS = 5000
 _FIRST_GROUP = 1 << 58
 _NAMES = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(definition: str):
-    """The tokenizer and the ids of words it has met, kept for later tasks of the same worker."""
+    """The tokenizer, and by id whether a token is the last one of a run of letters (null if it does not mark them)."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    return Tokenizer.from_str(definition), {}
+    tokenizer = Tokenizer.from_str(definition)
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    ends = None
+    if suffix:
+        ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+    return tokenizer, ends
+
+
+# Blanks between Latin letters and ASCII marks change no ids: the tokenizer parts them anyway. An apostrophe stays with
+# what follows, and the one letter (0130) whose lower case has a mark of its own stays with its neighbours.
+_LATIN = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"
+_BREAKS = ((rf"([{_LATIN}])([!-/:-@\[-`{{-~])", r"\1 \2"), (rf"([!-&(-/:-@\[-`{{-~])([{_LATIN}])", r"\1 \2"))
+
+
+def _ids_of(words: pa.Array, definition: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct words, one after the other, and how many each word has."""
+    apart = words
+    if _tokenizer(definition)[1] is not None:
+        for pattern, with_blank in _BREAKS:
+            apart = pc.replace_substring_regex(apart, pattern, with_blank)
+        # What may be a special token stays as it is.
+        apart = pc.if_else(pc.match_substring(words, "<|"), words, apart)
+    split = pc.ascii_split_whitespace(apart)
+    parts = split.flatten().dictionary_encode()
+    flat, size = _ids_of_parts(parts.dictionary, definition)
+    codes = parts.indices.to_numpy(zero_copy_only=False)
+    took = size[codes]
+    done = np.concatenate([[0], np.cumsum(took)])
+    offsets = np.asarray(split.offsets.to_numpy(), np.int64)
+    return flat[_runs((np.cumsum(size) - size)[codes], took)], np.diff(done[offsets - offsets[0]])
+
+
+def _ids_of_parts(words: pa.Array, definition: str) -> tuple[np.ndarray, np.ndarray]:
+    """The same for parts of words.
+
+    Those of letters go to the tokenizer many at a time, with blanks between: each of them ends in one token that says so.
+    Where the count of such tokens tells otherwise, and for all others, each part is a call of its own.
+    """
+    tokenizer, ends = _tokenizer(definition)
+    size, parts = np.zeros(len(words), np.int64), []
+    order, alone = [], np.arange(len(words))
+    if ends is not None:
+        letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+        together, alone = np.flatnonzero(letters), np.flatnonzero(~letters)
+        for at in range(0, len(together), _JOINED_WORDS):
+            some = together[at:at + _JOINED_WORDS]
+            joined = " ".join(words.take(pa.array(some)).to_pylist())
+            ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(ends[ids])
+            if len(last) == len(some) and last[-1] == len(ids) - 1:
+                size[some] = np.diff(last, prepend=-1)
+                order.append(some)
+                parts.append(ids)
+            else:
+                alone = np.concatenate([alone, some])
+    for at in range(0, len(alone), _JOINED_WORDS):
+        some = alone[at:at + _JOINED_WORDS]
+        found = [e.ids for e in tokenizer.encode_batch_fast(words.take(pa.array(some)).to_pylist(), add_special_tokens=False)]
+        size[some] = np.fromiter(map(len, found), np.int64, len(found))
+        order.append(some)
+        parts.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size[some].sum())))
+    if not order:
+        return np.zeros(0, np.uint32), size
+    order, flat = np.concatenate(order), np.concatenate(parts)
+    starts = np.zeros(len(words), np.int64)
+    starts[order] = np.cumsum(size[order]) - size[order]
+    return flat[_runs(starts, size)], size
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places from each start on, as many as its size says."""
+    done = np.cumsum(sizes)
+    return np.repeat(starts - (done - sizes), sizes) + np.arange(done[-1] if len(done) else 0)
 
 
 def encode(texts: pa.Array, definition: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,23 +132,13 @@ def encode(texts: pa.Array, definition: str, end_id: int) -> tuple[np.ndarray, n
 
     The tokenizer never joins characters across white space, so each distinct word is tokenised once.
     """
-    tokenizer, known = _tokenizer(definition)
     split = pc.ascii_split_whitespace(texts)
     words = split.flatten().dictionary_encode()
-    distinct = words.dictionary.to_pylist()
-    new = [w for w in distinct if w not in known]
-    if len(known) + len(new) > _KNOWN_WORDS:
-        known.clear()
-        new = distinct
-    known.update(zip(new, (e.ids for e in tokenizer.encode_batch(new, add_special_tokens=False))))
-    of_word = [known[w] for w in distinct]
-    size = np.fromiter(map(len, of_word), np.int64, len(of_word))
-    flat = np.fromiter((i for ids in of_word for i in ids), np.uint32, int(size.sum()))
-    starts = np.cumsum(size) - size
-    codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    flat, size = _ids_of(words.dictionary, definition)
+    codes = words.indices.to_numpy(zero_copy_only=False)
     took = size[codes]
     done = np.concatenate([[0], np.cumsum(took)])
-    ids = flat[np.repeat(starts[codes] - done[:-1], took) + np.arange(done[-1])] if len(codes) else flat[:0]
+    ids = flat[_runs((np.cumsum(size) - size)[codes], took)]
     # The end ids go in between.
     offsets = np.asarray(split.offsets.to_numpy(), np.int64)
     ends = done[offsets - offsets[0]] + np.arange(len(texts) + 1)
@@ -185,14 +251,17 @@ def difference(sizes: np.ndarray, windows: int) -> np.ndarray:
 
 
 def windows_for(sizes: np.ndarray, capacity: int, most: int) -> np.ndarray | None:
-    """Window of each piece with as few windows as differencing fits the pieces into; None if it takes over ``most``."""
-    count = max(1, -(-int(sizes.sum()) // capacity))
-    while count <= most:
+    """Window of each piece; the count of windows rises until none exceeds the capacity. None if ``most`` do not do."""
+    def fitting(count: int) -> np.ndarray | None:
         found = difference(sizes, count)
-        if np.bincount(found, sizes, count).max() <= capacity:
-            return found
-        count += 1
-    return None
+        return found if np.bincount(found, sizes, count).max() <= capacity else None
+
+    least = max(1, -(-int(sizes.sum()) // capacity))
+    # The largest count goes first: where it fails, none of the smaller ones is tried.
+    last = fitting(most) if most >= least else None
+    if last is None:
+        return None
+    return next((found for count in range(least, most) if (found := fitting(count)) is not None), last)
 
 
 def pack_group(sizes: np.ndarray, capacity: int) -> list[tuple[int, int, int, int, int]]:

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -56,11 +57,28 @@ def test_pieces_make_up_the_documents(docs, plain):
     checked(rows, {i: plain(t) for i, t in enumerate(texts)}, 256)
 
 
+def test_ids_equal_those_of_the_whole_text(plain):
+    r = random.Random(3)
+    parts = ["a", "B", "é", "'", "'s", "'ll", "s", "1", "(", ",", ".", "-", "<|", "|>", "endoftext", "<|endoftext|>", " ", "  ", "\u0301",
+             "İ", "ß", "Σ", "\xa0", "\u2028", "日", "\x1c", "_", "ﬁ", "²", "'re", '"', "\\", "`", "~", "\u0958", "\u0338", "=", "\x85"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(4000)]
+    texts += ["".join(chr(r.choice((r.randrange(32, 127), r.randrange(160, 0x400), r.randrange(0x400, 0xd000)))) for _ in range(12))
+              for _ in range(2000)]
+    definition = open(PATH, encoding="utf-8").read()
+    ids, ends = packing.encode(pa.array(texts), definition, 1)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [plain(t) for t in texts]
+    # A tokenizer that does not mark the ends of words is asked word by word; words are its only bound.
+    other = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    one = Tokenizer.from_str(other)
+    ids, ends = packing.encode(pa.array(["ab", "cd,", ""]), other, 1)
+    assert ids.tolist() == [*one.encode("ab").ids, 1, *one.encode("cd,").ids, 1, 1] and ends.tolist()[-1] == len(ids)
+
+
 def test_long_texts_are_tokenised_in_parts(docs, plain, monkeypatch):
     monkeypatch.setattr(packing, "_SLICE_BYTES", 100)
     texts = [" ".join(f"word{i}" for i in range(400)), "y" * 900, "short"]
     assert b"".join(packing._parts(texts[0].encode(), 100)).decode() == texts[0]
-    parts = [packing._long(__import__("pyarrow").scalar(t), open(PATH).read(), 1)[0].tolist() for t in texts]
+    parts = [packing._long(pa.scalar(t), open(PATH).read(), 1)[0].tolist() for t in texts]
     assert parts == [plain(t) for t in texts]
 
 
