@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from placefolio import schemas
 from placefolio.functions.html import html_parts
@@ -88,9 +88,31 @@ def parse_log(fetch_log: DataFrame, params: RunParams = RunParams()) -> DataFram
                          F.col("_parts.links").alias("links"))
 
 
+def latest_attempts(fetch_log: DataFrame) -> DataFrame:
+    """The attempt that counts for each URL of a log with retries (``attempt_no``): the last success, else the last try.
+
+    A log without ``attempt_no`` has one row per URL and is returned as it is. The choice is an aggregate on one number, so
+    it needs neither sorting nor bodies. Attempts with the same number are settled by their content; those without a number
+    come before all others. Rows without a URL are dropped.
+    """
+    if "attempt_no" not in fetch_log.columns:
+        return fetch_log
+    # A success outweighs every number of tries.
+    weight = (F.coalesce(F.col("attempt_no").cast("long"), F.lit(-1))
+              + F.when(is_fetched(F.col("http_status"), F.col("error")), F.lit(1 << 61)).otherwise(F.lit(0)))
+    tries = fetch_log.where(F.col("url").isNotNull()).withColumn("_at", weight)
+    best = (tries.groupBy("url", "_at").agg(F.count("*").alias("_n")).groupBy("url")
+            .agg(F.max("_at").alias("_best"), F.max_by("_n", "_at").alias("_same")))
+    chosen = join_on_unique(tries, best, "url").where(F.col("_at") == F.col("_best")).drop("_at", "_best")
+    order = [name for name in fetch_log.columns if name not in ("url", "attempt_no")]
+    row = F.row_number().over(W.partitionBy("url").orderBy(*order))
+    several = chosen.where(F.col("_same") > 1).withColumn("_row", row).where(F.col("_row") == 1)
+    return chosen.where(F.col("_same") == 1).unionByName(several.drop("_row")).select(*fetch_log.columns)
+
+
 def asked_rows(fetch_log: DataFrame, urls: DataFrame) -> DataFrame:
-    """Log rows of the distinct ``urls``: nobody parses what nobody asks for."""
-    return fetch_log.join(urls, "url", "left_semi")
+    """Log rows of the distinct ``urls``, one for each: nobody parses what nobody asks for."""
+    return latest_attempts(fetch_log.join(urls, "url", "left_semi"))
 
 
 def site_visits(sites: DataFrame, parsed: DataFrame, params: RunParams = RunParams()) -> DataFrame:
@@ -176,6 +198,9 @@ def answered_visits(queue: DataFrame, fetch_log: DataFrame, rules: DataFrame,
     readable = is_page(F.col("url"), F.col("content_type")) & is_fetched(F.col("http_status"), F.col("error"))
     others = staged(parse_log(others.withColumn("content", F.when(readable, F.col("content"))), params), "candidates")
     parsed = homes.unionByName(others)
+    again = parsed.groupBy("url").agg(F.count("*").alias("n")).where("n > 1").select("url").first()
+    if again:
+        raise ValueError(f"the fetch log has several rows for {again['url']}: number them in attempt_no")
     return visit_log(visits, parsed, rules, params.user_agent), parsed
 
 
@@ -187,7 +212,7 @@ def with_texts(outcomes: DataFrame, parsed: DataFrame) -> DataFrame:
 
 def fetch_outcomes(queue: DataFrame, fetch_log: DataFrame, rules: DataFrame,
                    params: RunParams = RunParams()) -> DataFrame:
-    """Document rows of all queued places from a log with one row per fetched URL.
+    """Document rows of all queued places from a log with one row per fetched URL, or several with ``attempt_no``.
 
     All page work is done once per site. What a site comes to is decided on lengths, its text joins at the end.
     """

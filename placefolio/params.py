@@ -55,6 +55,14 @@ class RunParams:
     max_text_chars: int | None = MAX_TEXT_CHARS
     # Replace the places of this run in the stored tables and keep the others, instead of a full refresh.
     upsert: bool = False
+    # Key buckets of the stored tables and versions of them that stay on disk.
+    table_buckets: int = 16
+    keep_versions: int = 2
+    # Tries of a call to document parser or extraction function.
+    call_attempts: int = 1
+    # Name of what gives the answers, such as a model with its version. With a name, answers are kept in a table and
+    # never asked for again; a new name asks for all anew.
+    answers_of: str = ""
     hints: LinkHints = field(default_factory=LinkHints)
 
     @classmethod

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from placefolio.functions.text import first_bytes, object_path
-from placefolio.operators.fetches import HOMEPAGE_FILE, is_fetched
+from placefolio.operators.fetches import HOMEPAGE_FILE, asked_rows, is_fetched
 from placefolio.operators.hot_keys import join_on_unique
 from placefolio.params import MAX_BYTES
 
@@ -28,8 +28,10 @@ def place_objects(queue: DataFrame, documents: DataFrame, fetch_log: DataFrame,
               .select("place_id", F.col("source_url").alias("url"),
                       F.substring_index("stored_path", "/", -1).alias("filename"))
               .where(F.col("filename") != HOMEPAGE_FILE))
-    fetched = fetch_log.where(is_fetched(F.col("http_status"), F.col("error"))).select("url", "content")
-    return raw_objects(join_on_unique(homes.unionByName(chosen), fetched, "url"), root, F.col("filename"), max_bytes)
+    wanted = homes.unionByName(chosen)
+    fetched = (asked_rows(fetch_log, wanted.select("url").distinct())
+               .where(is_fetched(F.col("http_status"), F.col("error"))).select("url", "content"))
+    return raw_objects(join_on_unique(wanted, fetched, "url"), root, F.col("filename"), max_bytes)
 
 
 def scan_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -40,3 +42,26 @@ def scan_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     """
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", "true").load(folder))
+
+
+def new_files(spark: SparkSession, folder: str, known: DataFrame | None, pattern: str = "*") -> DataFrame:
+    """Files below a folder that ``known`` (``path, modificationTime, length``) does not list, or lists as they were before.
+
+    The listing reads no content. Content is read from files that are at least as old as the first new one (Spark skips
+    the others by their time), and passed on for new ones only.
+    """
+    files = scan_files(spark, folder, pattern)
+    if known is None:
+        return files
+    key = ["path", "modificationTime", "length"]
+    fresh = files.select(*key).join(known.select(*key), key, "left_anti")
+    first = fresh.agg(F.min("modificationTime").alias("t")).first()["t"]
+    if first is None:
+        return files.where("false")
+    return files.where(F.col("modificationTime") >= F.lit(first)).join(fresh, key, "left_semi")
+
+
+def latest_files(parsed: DataFrame) -> DataFrame:
+    """Of each path the row of its last modification, for results that are added file by file."""
+    last = parsed.groupBy("path").agg(F.max("modificationTime").alias("modificationTime"))
+    return parsed.join(last, ["path", "modificationTime"], "left_semi")
