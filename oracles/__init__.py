@@ -11,6 +11,8 @@ from pathlib import Path
 
 from placefolio.operators.extraction import PROMPT
 
+# Where the queries are compared with their SQL.
+COMPARED_DIR = "/root/testdata/sf0.01"
 _HERE = Path(__file__).parent
 
 
@@ -19,7 +21,8 @@ def _blocks(file: str) -> dict[str, str]:
     return {name: body.strip().rstrip(";") for name, body in zip(parts[1::2], parts[2::2])}
 
 
-def load_oracles() -> dict[str, str]:
+def load_oracles(sf_dir: str = COMPARED_DIR) -> dict[str, str]:
+    """``sf_dir`` matters only to the query over files: SQL does not know which folder its tables lie in."""
     views = _blocks("views.sql")
 
     def needed(sql: str, seen: list[str]) -> list[str]:
@@ -36,5 +39,6 @@ def load_oracles() -> dict[str, str]:
         parts = [f"{view} AS (\n{views[view]}\n)" for view in names]
         if names:
             sql = "WITH " + ",\n".join(parts) + (",\n" + sql.removeprefix("WITH ") if own_views else "\n" + sql)
-        result[name] = sql.replace(":prompt", "'" + PROMPT.replace("'", "''") + "'")
+        quoted = lambda text: "'" + text.replace("'", "''") + "'"
+        result[name] = sql.replace(":prompt", quoted(PROMPT)).replace(":folder", quoted(f"{sf_dir}/*.parquet"))
     return result

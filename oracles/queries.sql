@@ -37,7 +37,9 @@ SELECT site_url, pos, href, regexp_extract(site_url, '^(https?://[^/?#]+)', 1) |
 UNION ALL SELECT site_url, pos, href, url FROM fx_shaped
 
 -- name: same_site_links
-SELECT site_url, pos, url FROM fx_shaped
+SELECT site_url, pos, url FROM (
+  SELECT site_url, pos, regexp_extract(site_url, '^(https?://[^/?#]+)', 1) || href AS url FROM fx_links
+  UNION ALL SELECT site_url, pos, url FROM fx_shaped)
 WHERE regexp_extract(url, '^([a-z]+)://', 1) IN ('http', 'https')
   AND regexp_extract(url, '://([^/?#]*)', 1) = regexp_extract(site_url, '://([^/?#]*)', 1)
 
@@ -109,10 +111,22 @@ SELECT 'raw/p' || doc_id AS path, substr(CAST(to_json({'text': text}) AS VARCHAR
 SELECT 'p' || doc_id AS place_id, :prompt || text AS prompt FROM documents
 
 -- name: extraction_job
-SELECT 'p' || doc_id AS place_id,
-  unnest(regexp_extract_all(text, '((?:[A-Za-z]+ ){0,3}[A-Za-z]+)\s+\$?([0-9]+\.[0-9]{2})', 1)) AS item_name,
-  CAST(unnest(regexp_extract_all(text, '((?:[A-Za-z]+ ){0,3}[A-Za-z]+)\s+\$?([0-9]+\.[0-9]{2})', 2)) AS DOUBLE) AS price
-FROM documents
+WITH t AS (
+  SELECT 'p' || doc_id AS place_id, source AS source_url, text FROM documents
+  UNION ALL
+  SELECT 'p' || l_partkey, 'http://line/' || l_orderkey, CASE WHEN l_linenumber % 5 = 4 THEN p_name || ' on request'
+    ELSE 'today ' || p_name || ' $' || printf('%.2f', l_extendedprice) || ' or ' || lower(p_type) || '  ' || printf('%.2f', l_extendedprice) END
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+), a AS (
+  SELECT place_id, source_url, CASE WHEN length(:prompt || text) % 11 = 3 THEN 'ValueError: refused' END AS error,
+    regexp_extract_all(text, '((?:[A-Za-z]+ ){0,3}[A-Za-z]+)\s+\$?([0-9]+\.[0-9]{2})', 1) AS names,
+    regexp_extract_all(text, '((?:[A-Za-z]+ ){0,3}[A-Za-z]+)\s+\$?([0-9]+\.[0-9]{2})', 2) AS prices
+  FROM t
+)
+SELECT place_id, source_url, error, unnest(names) AS item_name, CAST(unnest(prices) AS DOUBLE) AS price
+FROM a WHERE error IS NULL AND len(names) > 0
+UNION ALL
+SELECT place_id, source_url, error, NULL, NULL FROM a WHERE error IS NOT NULL OR coalesce(len(names), 0) = 0
 
 -- name: response_json_build
 SELECT place_id, CAST(CASE WHEN website_uri IS NULL
@@ -179,3 +193,41 @@ SELECT * FROM fx_places
 -- name: upsert_by_key
 SELECT c_custkey AS k, c_name AS name, c_acctbal AS balance FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
 UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier
+
+-- name: search_query_order
+SELECT 'query ' || query_ord AS search_query, CAST(199 - query_ord AS BIGINT) AS query_ord, count(*) AS n_rows, max(page_no) AS last_page
+FROM fx_listings WHERE query_ord < 200 GROUP BY ALL
+
+-- name: latest_attempts
+WITH l AS (SELECT url, length(url) % 5 AS kind, http_status, error, content_type, octet_length(encode(content)) AS n_bytes FROM fx_log),
+t AS (
+  SELECT url, CASE kind WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 3 END AS attempt_no, http_status, error, content_type, n_bytes FROM l
+  UNION ALL SELECT url, 1, NULL, 'URLError: timed out', content_type, NULL FROM l WHERE kind IN (1, 4)
+  UNION ALL SELECT url, 2, 503, 'HTTP Error 503: Service Unavailable', content_type, NULL FROM l WHERE kind = 2
+  UNION ALL SELECT url, 1, 200, NULL, content_type, octet_length(encode('older ' || url)) FROM l WHERE kind = 3
+)
+SELECT url, attempt_no, http_status, error, content_type, n_bytes FROM t
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY error IS NULL AND http_status < 400 DESC, attempt_no DESC) = 1
+
+-- name: response_rejects
+WITH l AS (SELECT 'p' || l_partkey AS place_id, 'http://line/' || l_linestatus AS source_url, round(l_discount * 100) AS pct, l_tax, p_size,
+                  l_returnflag FROM lineitem JOIN part ON l_partkey = p_partkey),
+i AS (SELECT *, 0 AS pos FROM l WHERE pct <= 7 UNION ALL SELECT *, 1 FROM l WHERE pct < 7)
+SELECT place_id, source_url, CAST(NULL AS INTEGER) AS pos, CASE pct WHEN 9 THEN 'no answer' ELSE 'no JSON' END AS rule FROM l WHERE pct >= 9
+UNION ALL SELECT place_id, source_url, pos, 'section missing' FROM i WHERE pos = 1
+UNION ALL SELECT place_id, source_url, pos, 'item_name missing' FROM i WHERE p_size <= 25
+UNION ALL SELECT place_id, source_url, pos, 'description missing' FROM i WHERE l_returnflag IS NULL
+UNION ALL SELECT place_id, source_url, pos, 'price missing' FROM i WHERE pos = 0 AND pct < 7 AND l_tax = 0
+UNION ALL SELECT place_id, source_url, pos, 'price is no number' FROM i WHERE pct = 7
+
+-- name: upsert_run
+SELECT place_id, section, item_name, description, price, source_url, currency FROM fx_items
+WHERE CAST(substr(place_id, 2) AS BIGINT) NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 3 = 0)
+UNION ALL
+SELECT place_id, section, item_name, description, price + 1, source_url, currency FROM fx_items
+WHERE CAST(substr(place_id, 2) AS BIGINT) % 3 = 0 AND CAST(substr(place_id, 2) AS BIGINT) % 2 = 0
+
+-- name: binary_docs_scan
+SELECT regexp_extract(filename, '([^/]+)$', 1) AS filename, size AS length, octet_length(content) AS n_read,
+       sha256(content) AS content_sha256
+FROM read_blob(:folder)

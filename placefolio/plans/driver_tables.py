@@ -196,6 +196,22 @@ def _fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return homes.unionByName(linked)
 
 
+def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetch log with retries, by the length of the URL: the recorded row comes alone, behind a lost first try, before
+    a refused second one, or behind an older success; some rows are recorded twice under one number."""
+    row = lambda n, status, error, content: F.struct(
+        F.lit(n).alias("attempt_no"), status.cast("int").alias("http_status"), error.cast("string").alias("error"),
+        content.cast("binary").alias("content"))
+    own = lambda n: row(n, F.col("http_status"), F.col("error"), F.col("content"))
+    lost = row(1, F.lit(None), F.lit("URLError: timed out"), F.lit(None))
+    refused = row(2, F.lit(503), F.lit("HTTP Error 503: Service Unavailable"), F.lit(None))
+    older = row(1, F.lit(200), F.lit(None), F.concat(F.lit("older "), F.col("url")))
+    kind = F.length("url") % 5
+    tries = (F.when(kind == 0, F.array(own(1))).when(kind == 1, F.array(lost, own(2))).when(kind == 2, F.array(own(1), refused))
+             .when(kind == 3, F.array(older, own(2))).otherwise(F.array(own(3), lost, own(3))))
+    return fetch_log(spark, sf_dir).select("url", "content_type", F.explode(tries).alias("_try")).select("url", "content_type", "_try.*")
+
+
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, sf_dir, "rules", lambda: _rules(spark, sf_dir))
 
@@ -276,5 +292,16 @@ def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("source_text"))
 
 
+def answer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, and a text for every line item: most name a part with an amount, some an amount only or none."""
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    amount = F.format_string("%.2f", "l_extendedprice")
+    text = (F.when(F.col("l_linenumber") % 5 == 4, F.concat("p_name", F.lit(" on request")))
+            .otherwise(F.concat(F.lit("today "), "p_name", F.lit(" $"), amount, F.lit(" or "), F.lower("p_type"), F.lit("  "), amount)))
+    of_lines = lines.select(_numbered("p", "l_partkey").alias("place_id"), _numbered("http://line/", "l_orderkey").alias("source_url"),
+                            text.alias("source_text"))
+    return document_texts(spark, sf_dir).unionByName(of_lines)
+
+
 def parsed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.parse_documents(stored_objects(spark, sf_dir))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from placefolio.functions import text
 from placefolio.functions.html import html_parts
 from placefolio.operators import discover, extraction, fetches, items, links, reports, robots, status
-from placefolio.params import DEFAULT_CURRENCY, DEFAULT_SITE_CAP, DEFAULT_TARGET, LinkHints
+from placefolio.params import DEFAULT_CURRENCY, DEFAULT_SITE_CAP, DEFAULT_TARGET, LinkHints, RunParams
 from placefolio.plans import driver_tables as d
 from placefolio.session import shared_folder
 from placefolio.sources import objects, tables
@@ -44,6 +44,16 @@ def discovery_target(spark, sf):
     return found.select("place_id", *discover.DISCOVERY_ORDER)
 
 
+@query
+def search_query_order(spark, sf):
+    """Pages recorded under the words of their query, in the order of a parameter list."""
+    words = F.concat(F.lit("query "), F.col("query_ord").cast("string"))
+    params = RunParams.from_strings(search_queries=", ,".join(f"query {n} " for n in range(199, -1, -1)))
+    pages = d.search_pages(spark, sf).withColumn("search_query", words).drop("query_ord")
+    return (discover.number_queries(pages, params.search_queries).groupBy("search_query", "query_ord")
+            .agg(F.count("*").alias("n_rows"), F.max("page_no").alias("last_page")))
+
+
 @query
 def flatten_place_json(spark, sf):
     return discover.flatten_places(d.bronze(spark, sf))
@@ -88,7 +98,8 @@ def resolve_links(spark, sf):
 
 @query
 def same_site_links(spark, sf):
-    return links.same_site(links.resolve_links(d.shaped_links(spark, sf))).select("site_url", "pos", "url")
+    every = d.page_links(spark, sf).unionByName(d.shaped_links(spark, sf))
+    return links.same_site(links.resolve_links(every)).select("site_url", "pos", "url")
 
 
 @query
@@ -170,6 +181,13 @@ def fetch_outcome(spark, sf):
     return fetches.fetch_outcomes(d.queue(spark, sf), d.fetch_log(spark, sf), d.rules(spark, sf), d.PARAMS)
 
 
+@query
+def latest_attempts(spark, sf):
+    """The attempt that counts for every URL of a log with retries."""
+    return fetches.latest_attempts(d.attempt_log(spark, sf)).select(
+        "url", "attempt_no", "http_status", "error", "content_type", F.octet_length("content").cast("bigint").alias("n_bytes"))
+
+
 @query
 def fetch_yield(spark, sf):
     return fetches.document_yield(d.documents(spark, sf))
@@ -229,8 +247,15 @@ def prompt_build(spark, sf):
 
 @query
 def extraction_job(spark, sf):
-    answers = extraction.extract_items(d.document_texts(spark, sf))
-    return items.explode_items(answers).where(F.col("item_name").isNotNull()).select("place_id", "item_name", "price")
+    """One row per item, or one for an answer without items or a failed call."""
+    def extract(prompt):
+        if len(prompt) % 11 == 3:
+            raise ValueError("refused")
+        return extraction.rule_extractor(prompt)
+
+    answers = extraction.extract_items(d.answer_texts(spark, sf), extract)
+    return (extraction.parse_responses(answers).select("place_id", "source_url", "error", F.explode_outer("parsed.items").alias("item"))
+            .select("place_id", "source_url", "error", "item.item_name", "item.price"))
 
 
 @query
@@ -244,6 +269,11 @@ def response_parse_quality(spark, sf):
     return extraction.response_quality(d.responses(spark, sf))
 
 
+@query
+def response_rejects(spark, sf):
+    return extraction.response_rejects(d.responses(spark, sf))
+
+
 # -- items -----------------------------------------------------------------------------------------------
 
 @query
@@ -318,12 +348,16 @@ def table_roundtrip(spark, sf):
     name = f"placefolio_roundtrip_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/placefolio/{name}"
     tables.write_table(d.table(spark, sf, "nation"), name, path)
-    written = tables.write_table(d.places(spark, sf), name, path)
-    read = spark.read.schema(written.schema).parquet(*{f.rsplit("/", 1)[0] for f in written.inputFiles()})
+    read = _files_of(tables.write_table(d.places(spark, sf), name, path))
     tables.drop_table(spark, name)
     return read
 
 
+def _files_of(table: DataFrame) -> DataFrame:
+    """The rows of a table that stay readable when its name is gone."""
+    return table.sparkSession.read.schema(table.schema).parquet(*sorted({f.rsplit("/", 1)[0] for f in table.inputFiles()}))
+
+
 @query
 def upsert_by_key(spark, sf):
     old = d.table(spark, sf, "customer").select(
@@ -331,3 +365,19 @@ def upsert_by_key(spark, sf):
     new = d.table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
     return tables.upsert(old, new, "k")
+
+
+@query
+def upsert_run(spark, sf):
+    """Items of all places, replaced for the places of a run: every third place, half of which have no items any more."""
+    name = f"placefolio_upsert_{uuid.uuid4().hex}"
+    columns = ["place_id", "section", "item_name", "description", "price", "source_url", "currency"]
+    number = F.substring("place_id", 2, 18).cast("bigint")
+    stored = d.items(spark, sf).select(*columns)
+    tables.write_table(stored, name, f"{shared_folder(spark)}/placefolio/{name}", key="place_id", buckets=8)
+    scope = d.table(spark, sf, "part").where(F.col("p_partkey") % 3 == 0).select(
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("place_id"))
+    new = stored.where((number % 3 == 0) & (number % 2 == 0)).withColumn("price", F.col("price") + 1)
+    read = _files_of(tables.replace_keys(new, name, scope))
+    tables.drop_table(spark, name)
+    return read

@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare, duck
+from conftest import SF_DIR
 from oracles import load_oracles
 from placefolio.plans import registry
 
-QUERIES, ORACLES = registry.QUERIES, load_oracles()
+QUERIES, ORACLES = registry.QUERIES, load_oracles(SF_DIR)
 
 
 @pytest.fixture(scope="module")
