@@ -89,11 +89,23 @@ WITH p AS (
   FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id
 ), o AS (
   SELECT host, bad FROM p LEFT JOIN lab ON lab.doc_id = try_cast(nullif(regexp_extract(path, '/(\d{1,18})\b', 1), '') AS BIGINT)
+), public(two) AS (
+  VALUES ('ac.uk'), ('co.uk'), ('gov.uk'), ('org.uk'), ('com.au'), ('net.au'), ('org.au'), ('co.nz'), ('co.jp'), ('ne.jp'), ('co.kr'),
+         ('co.in'), ('co.za'), ('com.br'), ('com.cn'), ('com.hk'), ('com.mx'), ('com.sg'), ('com.tr'), ('com.ar')
+), names AS (
+  -- Without user part, port and final dot; the labels from the last one on, an address as one label.
+  SELECT host, name, list_reverse(CASE WHEN regexp_matches(name, '^([0-9]+(\.[0-9]+){3}|\[.*\])$') THEN [name]
+                                       ELSE string_split(name, '.') END) AS l
+  FROM (SELECT DISTINCT host, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '\.$', '') AS name FROM o)
+), parts AS (
+  SELECT *, CASE WHEN l[2] || '.' || l[1] IN (SELECT two FROM public) THEN 2 ELSE 1 END AS k FROM names
+), levels AS (
+  SELECT host, CASE WHEN len(l) > k AND NOT list_contains(l[1:k + 1], '') THEN list_aggregate(list_reverse(l[1:k + 1]), 'string_agg', '.') ELSE name END AS domain,
+         CASE WHEN len(l) >= k AND NOT list_contains(l[1:k], '') THEN list_aggregate(list_reverse(l[1:k]), 'string_agg', '.') ELSE name END AS suffix
+  FROM parts
 ), h AS (
-  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
-         CASE WHEN regexp_extract(host, '([^.]+\.[^.]+)$', 1) = '' THEN host ELSE regexp_extract(host, '([^.]+\.[^.]+)$', 1) END AS domain,
-         regexp_extract(host, '([^.]*)$', 1) AS suffix
-  FROM o GROUP BY host
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, any_value(domain) AS domain, any_value(suffix) AS suffix
+  FROM o JOIN levels USING (host) GROUP BY host
 ), d AS (
   SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY domain, suffix
 ), s0 AS (
@@ -103,21 +115,21 @@ WITH p AS (
 ), s2 AS (
   SELECT suffix, (bad + k * prior) / (n + k) AS m FROM s1, (
     SELECT 1 / least(greatest(coalesce(CASE WHEN sum(n) > count(*) THEN
-      (sum(n * pow(bad / n - prior, 2) / (prior * (1 - prior))) - count(*)) / (sum(n) - count(*)) ELSE 0 END, 0), 0.001), 0.5) - 1 AS k
+      (sum(n * pow(bad / n - prior, 2) / (prior * (1 - prior))) - count(*)) / (sum(n) - count(*)) ELSE 0 END, 0), 0.02), 0.5) - 1 AS k
     FROM s1 WHERE n > 0)
 ), d1 AS (
   SELECT d.*, s2.m AS prior FROM d JOIN s2 USING (suffix)
 ), d2 AS (
   SELECT domain, (bad + k * prior) / (n + k) AS m FROM d1, (
     SELECT 1 / least(greatest(coalesce(CASE WHEN sum(n) > count(*) THEN
-      (sum(n * pow(bad / n - prior, 2) / (prior * (1 - prior))) - count(*)) / (sum(n) - count(*)) ELSE 0 END, 0), 0.001), 0.5) - 1 AS k
+      (sum(n * pow(bad / n - prior, 2) / (prior * (1 - prior))) - count(*)) / (sum(n) - count(*)) ELSE 0 END, 0), 0.02), 0.5) - 1 AS k
     FROM d1 WHERE n > 0)
 ), h1 AS (
   SELECT h.*, d2.m AS prior FROM h JOIN d2 USING (domain)
 ), h2 AS (
   SELECT host, n, k, (bad + k * prior) / (n + k) AS m FROM h1, (
     SELECT 1 / least(greatest(coalesce(CASE WHEN sum(n) > count(*) THEN
-      (sum(n * pow(bad / n - prior, 2) / (prior * (1 - prior))) - count(*)) / (sum(n) - count(*)) ELSE 0 END, 0), 0.001), 0.5) - 1 AS k
+      (sum(n * pow(bad / n - prior, 2) / (prior * (1 - prior))) - count(*)) / (sum(n) - count(*)) ELSE 0 END, 0), 0.02), 0.5) - 1 AS k
     FROM h1 WHERE n > 0)
 ), b AS (
   SELECT host, m - 1.645 * sqrt(m * (1 - m) / (n + k + 1)) > 0.3 AS blocked FROM h2

@@ -38,6 +38,8 @@ GROUP_TOKENS = 1 << 19
 GROUP_PIECES = 4096
 # Windows that a group may have beyond those its tokens need, before pieces are cut shorter.
 SLACK = 0.01
+# Windows of this number or more are not tried with fewer pieces than so many for each.
+MANY_WINDOWS, FEW_PIECES = 32, 4
 # Text that is tokenised at once; the larger, the fewer words are met again.
 _SLICE_BYTES = 16 << 20
 # Words that go to the tokenizer in one call.
@@ -215,22 +217,24 @@ def difference(sizes: np.ndarray, windows: int) -> np.ndarray:
     """Window of each piece, by largest differencing: sums of the windows come out nearly equal."""
     # A partition is its sums from the fullest window down, less the emptiest, which differences do not depend on.
     sums: list[np.ndarray | int | None] = sizes.tolist()
+    blank = np.zeros(windows, np.int64)
     merged: list[tuple[int, int, np.ndarray] | None] = [None] * len(sizes)
     heap = [(-size if windows > 1 else 0, i) for i, size in enumerate(sums)]
     heapq.heapify(heap)
 
     def of(k: int) -> np.ndarray:
-        if isinstance(sums[k], int):
-            one = np.zeros(windows, np.int64)
-            one[0] = sums[k]
-            return one
-        return sums[k]
+        if not isinstance(sums[k], int):
+            return sums[k]
+        one = blank.copy()
+        one[0] = sums[k]
+        return one
 
     while len(heap) > 1:
         (_, i), (_, j) = heapq.heappop(heap), heapq.heappop(heap)
         total = of(i) + of(j)[::-1]
-        order = np.argsort(-total, kind="stable")
-        total = total[order] - total[order[-1]]
+        order = (-total).argsort(kind="stable")
+        total = total[order]
+        total -= total[-1]
         sums[i] = sums[j] = None
         sums.append(total)
         merged.append((i, j, order.astype(np.int32)))
@@ -266,8 +270,12 @@ def windows_for(sizes: np.ndarray, capacity: int, most: int) -> np.ndarray | Non
 
 def pack_group(sizes: np.ndarray, capacity: int) -> list[tuple[int, int, int, int, int]]:
     """``(piece, from, length, window, offset)`` for one group of pieces of at most ``capacity`` tokens."""
-    most = int(-(-int(sizes.sum()) // capacity) * (1 + SLACK)) + 1
+    least = -(-int(sizes.sum()) // capacity)
+    most = int(least * (1 + SLACK)) + 1
     limit = capacity
+    # So few pieces for each of many windows hardly ever come out even.
+    while limit > 1 and least >= MANY_WINDOWS and (-(-sizes // limit)).sum() < FEW_PIECES * least:
+        limit = -(-limit // 2)
     while True:
         n = -(-sizes // limit)
         owner = np.repeat(np.arange(len(sizes)), n)

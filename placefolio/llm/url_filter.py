@@ -2,10 +2,11 @@
 
 Labelled pages are counted per host. Each level is a beta-binomial whose prior mean is the posterior mean of the level
 above (host from registered domain, domain from suffix, suffix from all pages) and whose prior strength comes from the
-spread of that level by the method of moments. Where bad hosts are few that strength grows with the number of hosts, so the
-levels are also followed with strengths of ``FREE_STRENGTH`` at most: a few dozen consistent outcomes outweigh it in a corpus
-of any size. A page is blocked if either lower posterior bound of its host's share of bad pages is above ``max_bad``. Only
-DataFrame functions are used.
+spread of that level by the method of moments, 49 at most: where bad hosts are few among many, the moments alone would let the
+prior outweigh any evidence, so the limit keeps a few dozen consistent outcomes above it at any number of hosts. A page is
+blocked if the lower posterior bound of its host's share of bad pages is above ``max_bad``. Only DataFrame functions are used.
+
+Hosts are counted once; what follows works on three small stored tables, and the driver gets one number for each level.
 """
 
 from __future__ import annotations
@@ -15,16 +16,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placefolio.llm.common import fresh
+from placefolio.operators.hot_keys import join_on_unique
+from placefolio.session import staged
 
 # (rule, verdict); a rule is a host and the path from its first slash on.
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
          ("net/fr/", "block"))
 MAX_BAD = 0.3
 Z = 1.645
-# Share of a level's variance between its groups, kept inside these limits: prior strength 999 to 1.
-LEAST_SPREAD, MOST_SPREAD = 0.001, 0.5
-# Highest prior strength of the second posterior: a spread of 0.02.
-FREE_STRENGTH = 49
+# Share of a level's variance between its groups, kept inside these limits: prior strength 49 to 1.
+LEAST_SPREAD, MOST_SPREAD = 0.02, 0.5
+# Suffixes of two labels under which names are registered. Pass the whole public list as a parameter.
+PUBLIC_SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp", "co.kr", "co.in",
+                   "co.za", "com.br", "com.cn", "com.hk", "com.mx", "com.sg", "com.tr", "com.ar")
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -39,14 +43,18 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
-def domain_of(host: Column) -> Column:
-    """Last two labels of the host; the host itself if it has fewer."""
-    found = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
-    return F.when(found == "", host).otherwise(found)
-
+def levels_of(host: Column, public_suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host, both without user part, port and final dot.
 
-def suffix_of(host: Column) -> Column:
-    return F.regexp_extract(host, r"([^.]*)$", 1)
+    The domain is one label more than the suffix, which is one label, or two if these are in ``public_suffixes``. An address
+    of numbers is a domain and a suffix of its own, and so is a host that is no more than a suffix.
+    """
+    name = F.regexp_replace(host, r"^.*@|:[0-9]*$|\.(?=:[0-9]*$)|\.$", "")
+    address = name.rlike(r"^([0-9]+(\.[0-9]+){3}|\[.*\])$")
+    last = lambda n: F.regexp_extract(name, rf"([^.]+(\.[^.]+){{{n - 1}}})$", 1)
+    double = last(2).isin(list(public_suffixes))
+    whole = lambda found: F.when(address | (found == ""), name).otherwise(found)
+    return whole(F.when(double, last(3)).otherwise(last(2))), whole(F.when(double, last(2)).otherwise(last(1)))
 
 
 def first_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES) -> tuple[Column, Column]:
@@ -60,74 +68,71 @@ def first_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RU
     return name, verdict
 
 
-def _posterior(groups: DataFrame, prior: Column, free_prior: Column) -> DataFrame:
-    """Posterior mean of every group from ``n, bad`` and its prior mean; also the prior strength of the level.
-    ``free_mean, free_strength`` are the same with a strength of ``FREE_STRENGTH`` at most."""
-    groups = groups.withColumns({"prior": prior, "free_prior": free_prior})
-    has, p = F.col("n") > 0, F.col("prior")
-    noise = p * (1 - p)
-    spread = groups.where(has).agg(
-        F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - p, 2) / noise).alias("s"),
-        F.count("*").alias("k"), F.sum("n").alias("rows"))
-    share = F.when(F.col("rows") > F.col("k"), (F.col("s") - F.col("k")) / (F.col("rows") - F.col("k"))).otherwise(0.0)
-    share = F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(LEAST_SPREAD)), F.lit(MOST_SPREAD))
-    # One row, from an aggregate without keys.
-    groups = groups.join(F.broadcast(spread.select((1 / share - 1).alias("strength"), F.lit(1).alias("one"))),
-                         F.lit(1) == F.col("one")).drop("one")
-    groups = groups.withColumn("free_strength", F.least("strength", F.lit(float(FREE_STRENGTH))))
-    return groups.withColumns({
-        "mean": (F.col("bad") + F.col("strength") * p) / (F.col("n") + F.col("strength")),
-        "free_mean": ((F.col("bad") + F.col("free_strength") * F.col("free_prior"))
-                      / (F.col("n") + F.col("free_strength")))})
-
-
-def host_reputation(outcomes: DataFrame, max_bad: float = MAX_BAD, z: float = Z) -> DataFrame:
+def _strength(groups: DataFrame) -> float:
+    """Prior strength of a level from ``n, bad`` and the ``prior`` mean of its groups."""
+    p = F.col("prior")
+    row = groups.where("n > 0").agg(
+        F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - p, 2) / (p * (1 - p))).alias("s"),
+        F.count("*").alias("k"), F.sum("n").alias("rows")).first()
+    share = (row["s"] - row["k"]) / (row["rows"] - row["k"]) if row["k"] and row["rows"] > row["k"] else 0.0
+    return 1 / min(max(share, LEAST_SPREAD), MOST_SPREAD) - 1
+
+
+def _posterior(groups: DataFrame) -> DataFrame:
+    """Add ``mean``, the posterior mean of every group, and ``strength``, the prior strength of the level."""
+    strength = F.lit(_strength(groups))
+    return groups.withColumns({"strength": strength,
+                               "mean": (F.col("bad") + strength * F.col("prior")) / (F.col("n") + strength)})
+
+
+def host_reputation(outcomes: DataFrame, max_bad: float = MAX_BAD, z: float = Z,
+                    public_suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> DataFrame:
     """``host, n, bad, mean, bound, blocked`` from rows ``host, bad`` (1, 0, or null without a label).
 
-    Every host of ``outcomes`` is in the result; hosts without labels get what their domain and suffix say. ``bound`` is
-    the higher one of the two lower bounds.
+    Every host of ``outcomes`` is in the result; hosts without labels get what their domain and suffix say. Without any label
+    nothing is known: mean, bound and ``blocked`` are null.
     """
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    domain, suffix = levels_of(F.col("host"), public_suffixes)
+    hosts = staged(hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
     count = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    domains = hosts.groupBy("domain", "suffix").agg(*count)
-    suffixes = domains.groupBy("suffix").agg(*count)
-    # Null without any label: then nothing is known and nothing blocked.
-    overall = suffixes.agg(F.when(F.sum("n") > 0, (F.sum("bad") + 1) / (F.sum("n") + 2)).alias("overall"),
-                           F.lit(1).alias("one"))
-    suffixes = suffixes.join(F.broadcast(overall), F.lit(1) == F.col("one")).drop("one")
-    suffixes = _posterior(suffixes, F.col("overall"), F.col("overall")).select(
-        "suffix", F.col("mean").alias("suffix_mean"), F.col("free_mean").alias("free_suffix_mean"))
-    domains = _posterior(domains.join(suffixes, "suffix"), F.col("suffix_mean"), F.col("free_suffix_mean"))
-    domains = domains.select("domain", F.col("mean").alias("domain_mean"), F.col("free_mean").alias("free_domain_mean"))
-    hosts = _posterior(hosts.join(domains, "domain"), F.col("domain_mean"), F.col("free_domain_mean"))
-
-    def lower(mean, strength):
-        return mean - z * F.sqrt(mean * (1 - mean) / (F.col("n") + strength + 1))
-
-    bound = F.greatest(lower(F.col("mean"), F.col("strength")), lower(F.col("free_mean"), F.col("free_strength")))
+    domains = staged(hosts.groupBy("domain", "suffix").agg(*count), "domains")
+    suffixes = staged(domains.groupBy("suffix").agg(*count), "suffixes")
+    total = suffixes.agg(*count).first()
+    if not total["n"]:
+        unknown = [F.lit(None).cast(kind).alias(name) for name, kind in (("mean", "double"), ("bound", "double"), ("blocked", "boolean"))]
+        return hosts.select("host", "n", "bad", *unknown)
+    prior_of = lambda groups, key: groups.select(key, F.col("mean").alias("prior"))
+    suffixes = _posterior(suffixes.withColumn("prior", F.lit((total["bad"] + 1) / (total["n"] + 2))))
+    domains = staged(_posterior(domains.join(prior_of(suffixes, "suffix"), "suffix")), "domain-means")
+    # A suffix of many hosts is the key of few domains only; a domain of many hosts may be hot.
+    hosts = _posterior(join_on_unique(hosts, prior_of(domains, "domain"), "domain"))
+    mean = F.col("mean")
+    bound = mean - z * F.sqrt(mean * (1 - mean) / (F.col("n") + F.col("strength") + 1))
     return hosts.select("host", "n", "bad", "mean", bound.alias("bound"), (bound > max_bad).alias("blocked"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]] = RULES,
-               max_bad: float = MAX_BAD, z: float = Z, url: str = "url") -> DataFrame:
+               max_bad: float = MAX_BAD, z: float = Z, url: str = "url",
+               public_suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict, reputation, bound`` added.
 
     ``outcomes`` has rows ``host, bad`` (see :func:`host_reputation`). Null urls and urls without ``://`` have an empty
     host and path and are judged as the host ``''``. Columns of ``pages`` with one of the new names are replaced.
-    No pages, no rows; no labels, every host is allowed that no rule blocks.
+    Repeated pages stay. No pages, no rows; no labels, every host is allowed that no rule blocks.
     """
     new = ["host", "path", "rule", "verdict", "reputation", "bound"]
     kept = [c for c in pages.columns if c.lower() not in new]
     rule, verdict = first_rule(F.col("host"), F.col("path"), rules)
     judged = (pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
               .withColumn("rule", rule).withColumn("verdict", verdict))
-    key, blocked = fresh("rep_host", judged.columns), fresh("rep_blocked", judged.columns)
+    blocked = fresh("rep_blocked", judged.columns)
     # Hosts of pages without any outcome row still get a reputation.
     seen = outcomes.select("host", F.col("bad").cast("long")).unionByName(
         judged.select("host").distinct().withColumn("bad", F.lit(None).cast("long")))
-    hosts = host_reputation(seen, max_bad, z).select(
-        F.col("host").alias(key), F.col("mean").alias("reputation"), "bound", F.col("blocked").alias(blocked))
-    judged = judged.drop("reputation", "bound").join(hosts, F.col("host") == F.col(key), "left")
+    hosts = staged(host_reputation(seen, max_bad, z, public_suffixes).select(
+        F.col("host"), F.col("mean").alias("reputation"), "bound", F.col("blocked").alias(blocked)), "reputation")
+    # The pages of one host may be a third of all.
+    judged = join_on_unique(judged.drop("reputation", "bound"), hosts, "host", "left")
     own = F.when(F.col(blocked), "block").otherwise("allow")
     return judged.withColumn("verdict", F.coalesce("verdict", own)).select(*kept, *new)

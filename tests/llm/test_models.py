@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from placefolio.llm import language, lm_score, quality, queries
@@ -134,3 +135,113 @@ def test_evidence_decides_where_the_text_says_nothing(spark):
     page = spark.createDataFrame([(1, None, None), (2, "no address", "<html LANG='de-DE'><script>x</script>a<b>c")],
                                  "page_id long, url string, html string")
     assert [(r["declared"], r["host"]) for r in language.page_rows(page).orderBy("id").collect()] == [(None, None), ("de", None)]
+
+
+def brute_languages(rows, train):
+    """The fusion written out: one row at a time, with plain dictionaries."""
+    def grams(text):
+        stream = (text or "").encode().lower()
+        stream = b"  " + bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in stream)
+        threes = [stream[i:i + 3] for i in range(len(stream) - 2)]
+        return [(k, t[:int(k)]) for t in threes if t != b"   " for k in "321"]
+
+    def slot(gram):
+        kind, g = gram
+        number = int.from_bytes(g, "big") | {"3": 0, "2": 1 << 24, "1": 2 << 24}[kind]
+        return int(language._slots(np.array([number], np.uint64))[0])
+
+    langs = sorted({lang for t, lang in train if lang is not None and t is not None})
+    counts = {lang: Counter() for lang in langs}
+    for t, lang in train:
+        if lang is not None and t is not None:
+            counts[lang].update(slot(g) for g in grams(t))
+    size = {lang: sum(c.values()) + 0.5 * (1 << language.BITS) for lang, c in counts.items()}
+    lls, softs = [], []
+    for r in rows:
+        found = [slot(g) for g in grams(r["text"])]
+        raw = [language.TEMPER * sum(math.log((counts[lang][s] + 0.5) / size[lang]) for s in found) for lang in langs]
+        lls.append([max(x - max(raw), -language.TEXT_CAP) for x in raw])
+        weight = [math.exp(x) for x in lls[-1]]
+        softs.append([w / sum(weight) for w in weight])
+    n = len(langs)
+    overall = [(sum(s[i] for s in softs) + 1) / (len(rows) + n) for i in range(n)]
+    out = []
+    for k, r in enumerate(rows):
+        def others(key):
+            if r[key] is None:
+                return [0.0] * n
+            return [sum(s[i] for j, s in enumerate(softs) if j != k and rows[j][key] == r[key]) for i in range(n)]
+
+        def smooth(c, prior, strength):
+            return [(x + strength * p) / (sum(c) + strength) for x, p in zip(c, prior)]
+
+        host = smooth(others("host"), smooth(others("domain"), overall, language.DOMAIN_STRENGTH), language.HOST_STRENGTH)
+        score = [a + math.log(b) for a, b in zip(lls[k], host)]
+        for key in ("declared", "suffix"):
+            score = [a + math.log(b / p) for a, b, p in zip(score, smooth(others(key), overall, language.SMOOTH), overall)]
+        best = max(score)
+        out.append((langs[score.index(best)], 1 / sum(math.exp(x - best) for x in score), langs[lls[k].index(max(lls[k]))]))
+    return out
+
+
+def language_rows(seed=1, n=60):
+    r = random.Random(seed)
+    alphabet = {"aa": "abé", "bb": "cdé", "cc": "eaf"}
+    word = lambda lang: "".join(r.choice(alphabet[lang]) for _ in range(r.randint(1, 5)))
+    train = [(" ".join(word(lang) for _ in range(30)), lang) for lang in alphabet for _ in range(5)] + [(None, "aa"), ("x", None)]
+    rows = []
+    for i in range(n):
+        lang = r.choice(sorted(alphabet))
+        text = r.choice([None, "", " ".join(word(lang).title() for _ in range(r.randint(1, 6)))])
+        domain = r.choice([None, f"{lang}.org", "all.net"])
+        rows.append({"id": i, "text": text, "declared": r.choice([None, lang, "zz"]), "domain": domain,
+                     "host": domain and r.choice([f"w{r.randint(1, 3)}.", ""]) + domain, "suffix": domain and domain[-3:]})
+    return train, [*rows, rows[0], rows[5]]
+
+
+@pytest.mark.parametrize("at_once", [256, 2])
+def test_language_fusion_matches_the_definition(spark, monkeypatch, at_once):
+    monkeypatch.setattr(language, "LANGUAGES_AT_ONCE", at_once)
+    train, rows = language_rows()
+    langs, counts = language.train_text(spark.createDataFrame(train, "text string, lang string"))
+    # Columns with the names the operator works with.
+    named = [r | {"ll": 1.0, "soft": "s", "logs": "l", "host_n": "h", "lang": "own", "host_p": "p", "sums": "u"} for r in rows]
+    df = spark.createDataFrame(named, "id int, text string, declared string, domain string, host string, suffix string, ll double, "
+                                      "soft string, logs string, host_n string, lang string, host_p string, sums string")
+    got = language.identify(df.repartition(3), langs, counts)
+    assert got.columns == [c for c in df.columns if c not in ("text", "lang")] + ["lang", "posterior", "text_lang"]
+    by_id = {r["id"]: r for r in got.collect()}
+    assert got.count() == len(rows)
+    for r, (lang, posterior, text_lang) in zip(rows, brute_languages(rows, train)):
+        assert by_id[r["id"]]["lang"] == lang and abs(by_id[r["id"]]["posterior"] - posterior) < 1e-5
+        assert by_id[r["id"]]["text_lang"] == text_lang and by_id[r["id"]]["host_n"] == "h"
+
+
+def test_a_lone_page_is_no_evidence_for_its_host(spark):
+    train, _ = language_rows()
+    langs, counts = language.train_text(spark.createDataFrame(train, "text string, lang string"))
+    rows = [("alone", "ab ba", "only.org", "only.org"), ("without", "ab ba", None, None)]
+    df = spark.createDataFrame([(n, t, None, h, d, None) for n, t, h, d in rows],
+                               "name string, text string, declared string, host string, domain string, suffix string")
+    got = {r["name"]: r["posterior"] for r in language.identify(df, langs, counts).collect()}
+    assert abs(got["alone"] - got["without"]) < 1e-9
+
+
+def test_more_languages_than_are_counted_at_once(spark, monkeypatch):
+    monkeypatch.setattr(language, "_COUNTED_AT_ONCE", 3)
+    monkeypatch.setattr(language, "LANGUAGES_AT_ONCE", 4)
+    rows = [(" ".join([chr(97 + i) * 4] * 20), f"l{i:02}") for i in range(15)]
+    langs, counts = language.train_text(spark.createDataFrame(rows, "text string, lang string").coalesce(1))
+    assert langs == [f"l{i:02}" for i in range(15)]
+    df = spark.createDataFrame([(t, lang, None, None, None, None) for t, lang in rows],
+                               "text string, truth string, declared string, host string, domain string, suffix string")
+    assert {(r["lang"], r["truth"]) for r in language.identify(df, langs, counts).collect()} == {(lang, lang) for _, lang in rows}
+
+
+def test_languages_of_odd_tables(spark, odd, empty, sf_dir):
+    pages = spark.createDataFrame([(1, None, None), (None, "no address", ""), (1, "http://a.com:80/", "<html lang=x>b</html>")],
+                                  "page_id long, url string, html string")
+    rows = language.identify_corpus(odd, pages)
+    assert rows.count() == odd.count() + 3
+    assert language.identify_corpus(empty, pages.limit(0)).count() == 0
+    assert {r["lang"] for r in language.identify_corpus(empty, pages).collect()} == {None}
