@@ -1,17 +1,17 @@
 """Substring de-duplication by level-wise doubling.
 
-Windows of about half the wanted length are counted first. Only where such a window is repeated in another document can a
-window of the next length be repeated, so only those are extended, hashed anew and counted again, until the wanted length
-is reached or no candidates survive. At the first level it is enough to count, of each wanted window, its smallest
-half-length window (equal windows have the same one), which is a fraction of all positions. The last level compares
-96-bit hashes and asks in how small a document each window starts.
+Windows of a few words are counted first. Only where such a window is repeated in another document can a window of
+twice the length be repeated, so only those are extended, hashed anew and counted again, until the wanted length is reached
+or a level finds no repeated window, which ends the search. At a level before the last it is enough to count, of each
+window of the next length, its smallest window of this length (equal windows have the same one), which is a fraction
+of all positions. The last level compares 96-bit hashes and asks in how small a document each window starts.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from placefolio.llm import blocks as bl
 from placefolio.llm.words import Words, inside_document, one_array, sketch_hash, windows, words
@@ -22,9 +22,9 @@ _FIRST_RATE, _NEXT_RATE = 0.4, 0.8
 
 
 def level_lengths(window: int) -> list[int]:
-    """Lengths of the levels: halves of ``window``, rounded up, down to about 6 words, then doubled up to it."""
+    """Lengths of the levels: doubling from 4 to 6 words up to ``window``, of which each is half the next, rounded up."""
     lengths = [window]
-    while lengths[0] > 12:  # 6 words and less are too common to leave few candidates
+    while lengths[0] > 6:  # 3 words and less are too common to leave few candidates
         lengths.insert(0, (lengths[0] + 1) // 2)
     return lengths
 
@@ -162,13 +162,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     """One row per row of ``docs``: ``doc_id, n_words, n_removed, kept_text``.
 
     A word goes if it lies in a window of ``window`` words that also starts in a document with a smaller id; the first
-    document keeps it. All windows are judged on the input. A null id is larger than all others; rows with the same id
+    document keeps it. All windows are judged on the input. Ids are whole numbers. A null id is larger than all others; rows with the same id
     never take words from each other. Null and empty texts have no words, texts shorter than the window lose none.
     """
     if window < 1:
         raise ValueError("window must be at least 1")
     blocks = bl.pack_blocks(docs, doc_id, text, block_bytes)
-    lengths, answers, counts = level_lengths(window), None, []
+    lengths, answers, counts, ended = level_lengths(window), None, [], False
     for number in range(len(lengths)):
         last = number == len(lengths) - 1
         counts.append(bl.bucket_count(blocks, _NEXT_RATE if last else _FIRST_RATE))
@@ -179,11 +179,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         asked = (bl.each_block(blocks, lambda block, texts, f=ask: f(block, texts, {}), bl.QUESTIONS) if answers is None
                  else bl.with_answers(blocks, answers, ask, bl.QUESTIONS))
         new = bl.answer(asked, _earlier if last else _repeated, f"level-{lengths[number]}")
+        # Answers are zeros and ones; without a one no longer window can be repeated either.
+        if not last and new.where(F.instr(F.hex("answer"), "01") > 0).isEmpty():
+            ended = True
+            break
         answers = new if answers is None else answers.unionByName(new)
 
     def finish(block, texts, got, counts=tuple(counts)):
-        levels = _settled(texts, window, len(lengths) - 1, got, list(counts))
-        kept = _kept_words(levels, got, list(counts))
+        levels = _settled(texts, window, 0 if ended else len(lengths) - 1, got, list(counts))
+        kept = np.ones(len(levels.candidate), bool) if ended else _kept_words(levels, got, list(counts))
         rows = []
         for i, content in enumerate(levels.texts):
             mine = kept[levels.w.first[i]:levels.w.first[i + 1]]
@@ -195,5 +199,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
             [one_array(texts["doc_id"]), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
              pa.array(rows, pa.binary()).view(pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"])
 
-    out = bl.with_answers(blocks, answers, finish, "doc_id long, n_words long, n_removed long, kept_text string")
-    return out
+    schema = "doc_id long, n_words long, n_removed long, kept_text string"
+    return (bl.each_block(blocks, lambda block, texts: finish(block, texts, {}), schema) if ended
+            else bl.with_answers(blocks, answers, finish, schema))

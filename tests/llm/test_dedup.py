@@ -178,7 +178,20 @@ def test_substring_odd_rows(odd, empty, docs):
     assert got == sorted(brute_removed(ODD, 13), key=key)
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert substring_dedup.remove_repeats(docs([None, ""])).collect()[0]["n_words"] == 0
-    assert substring_dedup.level_lengths(13) == [7, 13] and substring_dedup.level_lengths(50) == [7, 13, 25, 50]
+    assert [substring_dedup.level_lengths(n) for n in (1, 6, 13, 50)] == [[1], [6], [4, 7, 13], [4, 7, 13, 25, 50]]
+
+
+@pytest.mark.parametrize("shared,levels", [(0, 1), (5, 2), (9, 3), (13, 3)])
+def test_levels_end_without_candidates(docs, monkeypatch, shared, levels):
+    """Texts that share so many words are followed only as far as they repeat each other."""
+    asked = []
+    answer = substring_dedup.bl.answer
+    monkeypatch.setattr(substring_dedup.bl, "answer", lambda df, fn, name: (asked.append(name), answer(df, fn, name))[1])
+    common = " ".join(f"c{i}" for i in range(shared))
+    texts = [" ".join([*(f"t{n}w{i}" for i in range(20)), common, *(f"t{n}v{i}" for i in range(20))]) for n in range(6)]
+    got = substring_dedup.remove_repeats(docs(texts), block_bytes=300).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_removed(list(enumerate(texts)), 13))
+    assert len(asked) == levels and sum(r["n_removed"] for r in got) == (65 if shared == 13 else 0)
 
 
 def test_estimate_is_exact_when_the_union_fits():
