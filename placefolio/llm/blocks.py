@@ -1,5 +1,7 @@
 """Documents in compressed blocks, and questions from blocks to key-partitioned tasks.
 
+Ids are whole numbers here; other ids raise an error when they are read.
+
 Some operators look up millions of hashes per task and need one small answer for each. Sent as rows, each hash would carry
 a row's overhead several times. Here documents are packed once into blocks of a few megabytes. A block sends the distinct
 hashes it asks about, sorted into buckets, as packed arrays; the task of a bucket answers with an array in the same order;
@@ -19,8 +21,11 @@ from placefolio.session import staged
 
 # Text of a block. A block with its arrays is the unit of memory: some 40 bytes per word while it is worked on.
 BLOCK_BYTES = 8 << 20
-# Bytes of packed questions that one bucket gets from all blocks together.
-BUCKET_BYTES = 8 << 20
+# Bytes of packed questions that one bucket gets from all blocks together, at first and at most. A bucket is worked on as
+# a whole, so the larger number is what a task must hold.
+BUCKET_BYTES, MOST_BUCKET_BYTES = 8 << 20, 256 << 20
+# Least bytes of a question row on average: with less, the rows' own overhead would outweigh what they carry.
+ROW_BYTES = 128
 _NULL_ID = np.iinfo(np.int64).max
 QUESTIONS = "bucket int, kind int, block string, keys binary, extra binary"
 ANSWERS = "block string, kind int, bucket int, answer binary"
@@ -70,9 +75,20 @@ def ids_of(table: pa.Table) -> np.ndarray:
 
 
 def bucket_count(blocks: DataFrame, bytes_per_byte: float) -> int:
-    """Buckets for questions that take ``bytes_per_byte`` bytes per byte of text."""
-    total = blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n")).first()["n"]
-    return max(1, int(total * bytes_per_byte / BUCKET_BYTES) + 1)
+    """Buckets for questions that take ``bytes_per_byte`` bytes per byte of text.
+
+    A block asks each bucket in one row, so rows are blocks times buckets. Buckets therefore grow before they become so many
+    that a row carries less than ``ROW_BYTES``, up to what a task can hold. Every block asks every bucket once, and a
+    hash once whatever its count, so buckets stay alike: a hash that is frequent everywhere adds one entry per block.
+    """
+    size = blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n"), F.count("*").alias("blocks")).first()
+    return buckets_for(size["n"] * bytes_per_byte, size["blocks"])
+
+
+def buckets_for(total: float, n_blocks: int) -> int:
+    wanted = total / BUCKET_BYTES
+    full_rows = total / max(n_blocks, 1) / ROW_BYTES
+    return max(1, int(max(min(wanted, full_rows), total / MOST_BUCKET_BYTES)) + 1)
 
 
 def questions(block: str, kind: int, keys: np.ndarray, bucket: np.ndarray, n_buckets: int,

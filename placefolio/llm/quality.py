@@ -159,7 +159,12 @@ def scored(docs: DataFrame, weights: np.ndarray, text: str = "text", score: str
 
 def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 5,
                     threshold: float = THRESHOLD, max_train: int = MAX_TRAIN) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, held_out, score, predicted``. Documents of fold 0 are not learned from."""
+    """One row per row of ``docs``: ``doc_id, held_out, score, predicted``. Documents of fold 0 are not learned from.
+
+    Null and empty texts are scored by the bias alone; repeated rows are scored alike, and each is learned from if its id
+    has a label. A null id is the empty text to the fold and never has a label. A score equal to ``threshold`` is predicted
+    as 1. An empty table gives no rows, and without usable labels every score is 0.5.
+    """
     weights = train(docs, labels.where(fold("doc_id", folds) != 0), doc_id, text, max_train)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return scored(rows, weights).select("doc_id", (fold("doc_id", folds) == 0).alias("held_out"), "score",
@@ -168,6 +173,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 5,
                      threshold: float = THRESHOLD, max_train: int = MAX_TRAIN) -> DataFrame:
-    """``docs`` without the rows that score below ``threshold``, with the same columns."""
+    """``docs`` without the rows that score below ``threshold``, with the same columns; see :func:`score_documents`."""
     weights = train(docs, labels.where(fold("doc_id", folds) != 0), doc_id, text, max_train)
     return scored(docs, weights, text, keep_from=threshold)

@@ -198,3 +198,32 @@ def test_estimate_is_exact_when_the_union_fits():
     a = np.array([1, 2, 3, 0xFFFFFFFF], np.uint32)
     others = np.array([[1, 2, 3, 0xFFFFFFFF], [2, 3, 4, 0xFFFFFFFF], [9, 0xFFFFFFFF, 0xFFFFFFFF, 0xFFFFFFFF]], np.uint32)
     assert near_dedup._estimates(a, others, 4).tolist() == [1.0, 0.5, 0.0]
+
+
+def test_question_rows_stay_filled_at_any_size():
+    """Bytes of a question row on average, for tables from a few MB to 100 TB in blocks of 8 MB."""
+    from placefolio.llm import blocks as bl
+    for size in (1e6, 1e9, 1e11, 1e12, 1e13, 1e14):
+        total, n_blocks = size * 0.4, int(size / bl.BLOCK_BYTES) + 1
+        buckets = bl.buckets_for(total, n_blocks)
+        assert total / buckets <= bl.MOST_BUCKET_BYTES
+        if size <= 1e13:
+            assert total / (buckets * n_blocks) >= bl.ROW_BYTES / 2 or buckets == 1
+
+
+def test_a_shared_gram_adds_one_entry_per_block(spark, docs):
+    """A thousand blocks with one word in common: the bucket of that word gets no more rows than any other bucket."""
+    from placefolio.llm import blocks as bl
+    n = 200
+    texts = [f"same same same same own{i} more{i}" for i in range(n)]
+    blocks = bl.pack_blocks(docs(texts).repartition(n), "doc_id", "text", block_bytes=10)
+    assert blocks.count() == n
+
+    def ask(block, content):
+        from placefolio.llm.words import one_array, words
+        keys = np.unique(words(one_array(content["text"])).hashes())
+        yield from bl.questions(block, 0, keys, (keys % np.uint64(4)).astype(np.int64), 4)
+
+    rows = bl.each_block(blocks, ask, bl.QUESTIONS)
+    per = rows.groupBy("bucket").agg(F.count("*").alias("rows"), F.sum(F.octet_length("keys")).alias("bytes")).collect()
+    assert max(r["rows"] for r in per) <= n and sum(r["bytes"] for r in per) == 8 * 3 * n
