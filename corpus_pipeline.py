@@ -1,4 +1,8 @@
-"""Corpus pipeline: quality, exact and near duplicates, benchmark passages, mix. Each stage is one operator of the library."""
+"""Corpus pipeline: quality, exact and near duplicates, benchmark passages, mix. Each stage is one operator of the library.
+
+Null texts are empty ones; rows with a null id, repeated rows and columns that ``documents`` does not have are taken along, as the
+operators say. Without documents every stage gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -42,8 +46,8 @@ STAGES = [
     ("mixing", mixing_stage),
 ]
 
-# A trained classifier decides the first stage, which SQL cannot express; tests/llm checks exact dedup and decontamination by
-# brute force, the other stages and the whole run only for columns and subsets.
+# A trained classifier decides the first stage, which SQL cannot express; tests/llm compares every stage and the whole run
+# with plain Python.
 ORACLE_SQL = None
 
 
