@@ -100,7 +100,8 @@ def first_seen(listings: DataFrame) -> DataFrame:
 def discover(pages: DataFrame, target: int | None = DEFAULT_TARGET,
              max_pages: int | None = MAX_PAGES_PER_QUERY) -> DataFrame:
     """First ``target`` distinct places in discovery order, with that order and the recorded JSON."""
-    listings = with_place_id(replay_search(pages, max_pages))
+    # Written once: the order needs three numbers and the id of each listing, only the winners need the rest.
+    listings = staged(with_place_id(replay_search(pages, max_pages)), "listings")
     found = staged(first_seen_order(listings), "first-seen")
     return with_payload(first_rows(found, [*DISCOVERY_ORDER, "place_id"], target), listings)
 
