@@ -231,3 +231,6 @@ WHERE CAST(substr(place_id, 2) AS BIGINT) % 3 = 0 AND CAST(substr(place_id, 2) A
 SELECT regexp_extract(filename, '([^/]+)$', 1) AS filename, size AS length, octet_length(content) AS n_read,
        sha256(content) AS content_sha256
 FROM read_blob(:folder)
+
+-- name: status_from_buckets
+SELECT * FROM fx_catalogue

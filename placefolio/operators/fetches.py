@@ -22,6 +22,8 @@ NOTE_NOTHING = "no menu link / thin homepage (likely JS widget)"
 
 NOTE_NOT_RECORDED = "NotRecorded: no response in the fetch log"
 HOMEPAGE_FILE = "homepage.html"
+# URLs that are looked up by a filter instead of a join.
+MAX_LITERALS = 1000
 
 
 def fetch_queue(places: DataFrame, order: list[str], cap: int | None = DEFAULT_SITE_CAP) -> DataFrame:
@@ -110,9 +112,16 @@ def latest_attempts(fetch_log: DataFrame) -> DataFrame:
     return chosen.where(F.col("_same") == 1).unionByName(several.drop("_row")).select(*fetch_log.columns)
 
 
-def asked_rows(fetch_log: DataFrame, urls: DataFrame) -> DataFrame:
-    """Log rows of the distinct ``urls``, one for each: nobody parses what nobody asks for."""
-    return latest_attempts(fetch_log.join(urls, "url", "left_semi"))
+def asked_rows(fetch_log: DataFrame, urls: DataFrame, most_literals: int = MAX_LITERALS) -> DataFrame:
+    """Log rows of the distinct ``urls``, one for each: nobody parses what nobody asks for.
+
+    Up to ``most_literals`` URLs become literals of a filter that reaches the scan, so that Parquet skips row groups by
+    their statistics and Bloom filters (see ``sources.fetch_log``). More are joined. Both give the same rows.
+    """
+    few = [r["url"] for r in urls.where(F.col("url").isNotNull()).limit(most_literals + 1).collect()]
+    if len(few) > most_literals:
+        return latest_attempts(fetch_log.join(urls, "url", "left_semi"))
+    return latest_attempts(fetch_log.where(F.col("url").isin(few)) if few else fetch_log.where("false"))
 
 
 def site_visits(sites: DataFrame, parsed: DataFrame, params: RunParams = RunParams()) -> DataFrame:

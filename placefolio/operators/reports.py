@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from placefolio.operators.hot_keys import join_on_unique
+from placefolio.operators.status import STATUS_NAMES
 
 
 def status_breakdown(catalogue: DataFrame) -> DataFrame:
@@ -30,6 +33,21 @@ def run_summary(catalogue: DataFrame, items: DataFrame) -> DataFrame:
                 "restaurants", "with_website", "menu_items", "restaurants_with_menu", "status_breakdown")]))
 
 
+def summary_counts() -> list[Column]:
+    """What a summary needs of a catalogue, as aggregates without keys that can be taken while it is written."""
+    return [F.count(F.lit(1)).alias("restaurants"), F.count_if(F.col("website_uri").isNotNull()).alias("with_website"),
+            *[F.count_if(F.col("menu_status") == name).alias(name) for name in STATUS_NAMES]]
+
+
+def summary_of_counts(spark: SparkSession, catalogue: dict, menu_items: int) -> DataFrame:
+    """The row of :func:`run_summary` from counts taken while the tables were written."""
+    per_status = {name: catalogue[name] for name in sorted(STATUS_NAMES) if catalogue[name]}
+    row = (catalogue["restaurants"], catalogue["with_website"], menu_items, catalogue["menu_extracted"],
+           json.dumps(per_status, separators=(",", ":")))
+    return spark.createDataFrame([row], "restaurants bigint, with_website bigint, menu_items bigint, restaurants_with_menu bigint, "
+                                        "status_breakdown string")
+
+
 def _named_items(items: DataFrame, places: DataFrame, *columns: str) -> DataFrame:
     return join_on_unique(items, places.select("place_id", *columns), "place_id")
 

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# The status names, first match wins.
+STATUS_NAMES = ("no_website", "menu_extracted", "not_attempted", "source_found_no_items", "robots_blocked", "fetch_failed",
+                "no_menu_found")
+
 
 def items_per_place(items: DataFrame) -> DataFrame:
     return items.groupBy("place_id").agg(F.count("*").alias("n_items"))
@@ -27,14 +31,15 @@ def place_status(places: DataFrame, items: DataFrame, documents: DataFrame) -> D
     """
     joined = (places.join(items_per_place(items), "place_id", "left")
               .join(document_flags(documents), "place_id", "left"))
-    # The status names, first match wins. A place without document rows has null flags.
-    status = (F.when(F.col("website_uri").isNull(), "no_website")
-              .when(F.col("n_items") > 0, "menu_extracted")
-              .when(F.col("has_source").isNull(), "not_attempted")
-              .when(F.col("has_source"), "source_found_no_items")
-              .when(F.col("was_blocked"), "robots_blocked")
-              .when(F.col("has_failed"), "fetch_failed")
-              .otherwise("no_menu_found"))
+    no_website, extracted, not_attempted_, no_items, blocked, failed, nothing = STATUS_NAMES
+    # A place without document rows has null flags.
+    status = (F.when(F.col("website_uri").isNull(), no_website)
+              .when(F.col("n_items") > 0, extracted)
+              .when(F.col("has_source").isNull(), not_attempted_)
+              .when(F.col("has_source"), no_items)
+              .when(F.col("was_blocked"), blocked)
+              .when(F.col("has_failed"), failed)
+              .otherwise(nothing))
     return joined.select(*[F.col(name) for name in places.columns], status.alias("menu_status"),
                          F.coalesce("n_items", F.lit(0)).cast("bigint").alias("menu_item_count"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from placefolio import schemas
 from placefolio.functions.text import object_key
@@ -75,8 +75,9 @@ def _build(spark, search_pages, fetch_log, rules, namespace, params, parse_fn, e
     def stored(name: str) -> tuple[str, str | None]:
         return f"{namespace}.{name}", f"{location}/{name}" if location else None
 
-    def save(df: DataFrame, name: str, unique: bool = True) -> DataFrame:
-        """Write a table by place and return the rows of this run as they were stored."""
+    def save(df: DataFrame, name: str, unique: bool = True, counts: list[Column] | None = None) -> DataFrame:
+        """Write a table by place and return the rows of this run as they were stored. ``counts`` are taken on the way if the
+        table is written as a whole."""
         table, path = stored(name)
         if unique:
             df = staged(df, name)
@@ -84,8 +85,12 @@ def _build(spark, search_pages, fetch_log, rules, namespace, params, parse_fn, e
                 raise ValueError(f"{name}: more than one row for a place_id")
         if params.upsert and table_state(spark, table):
             return replace_keys(df, table, scope, params.keep_versions).join(scope, "place_id", "left_semi")
-        return write_table(df, table, path, "place_id", params.table_buckets, params.keep_versions)
+        if counts:
+            taken[name] = Observation()
+        return write_table(df, table, path, "place_id", params.table_buckets, params.keep_versions,
+                           (taken[name], counts) if counts else None)
 
+    taken: dict[str, Observation] = {}
     if rule_answers is not None:
         rules = rules.unionByName(robots.rules_from_answers(rule_answers))
     if params.search_queries:
@@ -108,12 +113,16 @@ def _build(spark, search_pages, fetch_log, rules, namespace, params, parse_fn, e
     texts = staged(extraction.source_texts(extraction.html_texts(documents), of_documents, params.min_text_chars), SOURCE_TEXTS)
     _show_texts(texts)
     responses = staged(_responses(spark, texts, *stored(ANSWERS), extract_fn, call_partitions, params), "responses")
-    item_table = save(items.items_from_responses(responses, params.currency), ITEMS, unique=False)
+    item_table = save(items.items_from_responses(responses, params.currency), ITEMS, unique=False,
+                      counts=[F.count(F.lit(1)).alias("menu_items")])
 
     failed = (failed_documents.select(F.lit("document").alias("stage"), "place_id", "source_url", "error")
               .unionByName(responses.select(F.lit("extraction").alias("stage"), "place_id", "source_url", "error")))
     save(failed.where(F.col("error").isNotNull()), CALL_ERRORS, unique=False)
-    save(status.place_status(silver, item_table, documents), CATALOGUE)
+    save(status.place_status(silver, item_table, documents), CATALOGUE, counts=reports.summary_counts())
+    if len(taken) == 2:
+        return reports.summary_of_counts(spark, taken[CATALOGUE].get, taken[ITEMS].get["menu_items"])
+    # An upsert writes a part of the tables, so all of them is counted.
     return reports.run_summary(spark.table(stored(CATALOGUE)[0]), spark.table(stored(ITEMS)[0]))
 
 

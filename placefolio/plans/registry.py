@@ -315,6 +315,16 @@ def place_status(spark, sf):
     return catalogue(spark, sf)
 
 
+@query
+def status_from_buckets(spark, sf):
+    """Status over tables in Spark's own buckets of the place: a join and two aggregates without a shuffle."""
+    root, run = f"{shared_folder(spark)}/placefolio", uuid.uuid4().hex
+    kept = [tables.write_bucketed(df, f"placefolio_{name}_{run}", "place_id", 8, f"{root}/{name}-{run}") for name, df in (
+        ("places", d.places(spark, sf)), ("items", d.items(spark, sf).select("place_id")),
+        ("documents", d.documents(spark, sf).select("place_id", "doc_type")))]
+    return status.place_status(*kept)
+
+
 @query
 def not_attempted_anti(spark, sf):
     return status.not_attempted(d.places(spark, sf), d.documents(spark, sf)).select("place_id", "website_uri")

@@ -19,6 +19,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A filter on so many values reaches the Parquet reader value by value, not just as a range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Pages reach Python in batches of bounded size, however large they are.
     "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
 }

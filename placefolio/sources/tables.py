@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from placefolio.session import staged
 from placefolio.sources.folders import delete, subfolders
@@ -27,6 +27,8 @@ _BUCKET = "_bucket"
 _NO_ROWS = f"{_BUCKET}=none"
 _PROPERTY = "placefolio.versions"
 
+Counts = tuple[Observation, list[Column]]
+
 
 def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
@@ -55,16 +57,18 @@ def _point(spark: SparkSession, name: str, state: dict, columns: list[str]) -> D
     return spark.table(name)
 
 
-def _write(df: DataFrame, root: str, key: str | None, buckets: int) -> list[str]:
-    """Write a version below ``root`` and name its folders."""
+def _write(df: DataFrame, root: str, key: str | None, buckets: int, counts: Counts | None = None) -> list[str]:
+    """Write a version below ``root`` and name its folders. ``counts`` are taken from the rows as they are written."""
+    # Behind the last shuffle, so each row counts once, also if a lost executor has others computed again.
+    seen = lambda rows: rows.observe(counts[0], *counts[1]) if counts else rows
     spark = df.sparkSession
     number = 1 + max((int(f.split("-")[1]) for f in subfolders(spark, root) if f.startswith("v-")), default=0)
     version = f"v-{number:08d}-{uuid.uuid4().hex[:8]}"
     if not key:
-        df.write.parquet(f"{root}/{version}")
+        seen(df).write.parquet(f"{root}/{version}")
         return [version]
     # Spark evens out the files: large buckets get several, small ones share a task.
-    (df.withColumn(_BUCKET, bucket_of(key, buckets)).hint("rebalance", _BUCKET)
+    (seen(df.withColumn(_BUCKET, bucket_of(key, buckets)).hint("rebalance", _BUCKET))
      .write.partitionBy(_BUCKET).parquet(f"{root}/{version}"))
     spark.createDataFrame([], df.schema).coalesce(1).write.parquet(f"{root}/{version}/{_NO_ROWS}")
     return [f"{version}/{folder}" for folder in subfolders(spark, f"{root}/{version}") if folder.startswith(_BUCKET)]
@@ -90,10 +94,10 @@ def _commit(spark: SparkSession, name: str, state: dict, folders: list[str], col
 
 
 def write_table(df: DataFrame, name: str, path: str | None = None, key: str | None = None, buckets: int = BUCKETS,
-                keep: int = KEEP_VERSIONS) -> DataFrame:
+                keep: int = KEEP_VERSIONS, counts: Counts | None = None) -> DataFrame:
     """Full refresh of a table, schema included. Returns the table as read back.
 
-    The folders lie below ``path``, else below the schema's own folder. ``df`` may read the table it replaces. With ``key``
+    ``counts``, an observation and its aggregates, are taken while the rows are written. The folders lie below ``path``, else below the schema's own folder. ``df`` may read the table it replaces. With ``key``
     the rows are stored in key buckets, for :func:`replace_keys`. The last ``keep`` versions stay for readers that have
     begun; older ones and what failed writes have left are deleted.
     """
@@ -104,7 +108,21 @@ def write_table(df: DataFrame, name: str, path: str | None = None, key: str | No
         path = f"{spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri}/{table}"
     state = {"root": path, "key": key, "buckets": buckets,
              "versions": old["versions"] if old and old["root"] == path else []}
-    return _commit(spark, name, state, _write(df, path, key, buckets), df.columns, keep)
+    return _commit(spark, name, state, _write(df, path, key, buckets, counts), df.columns, keep)
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = BUCKETS, path: str | None = None) -> DataFrame:
+    """Write a table in Spark's own buckets of ``key``, each sorted by it, and read it back.
+
+    Tables with the same number of buckets are joined and grouped by ``key`` without a shuffle. They are for consumers that
+    do so again and again; such a table is replaced as a whole.
+    """
+    spark = df.sparkSession
+    drop_table(spark, name)
+    # One task per bucket, so one file per bucket.
+    writer = (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key).mode("overwrite"))
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return spark.table(name)
 
 
 def replace_keys(new: DataFrame, name: str, scope: DataFrame, keep: int = KEEP_VERSIONS) -> DataFrame:

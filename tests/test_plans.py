@@ -96,3 +96,13 @@ def test_paging_ends_are_found_without_the_places(spark, sf_dir):
     text = plan(discover.replay_search(d.search_pages(spark, sf_dir)))
     # Once for the listings and once for the ends of the queries.
     assert len(re.findall("from_json", text)) == 2
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["status_from_buckets"](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in text and text.count("SortMergeJoin") >= 2

@@ -4,7 +4,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from placefolio.operators import extraction
+from placefolio.operators import extraction, reports
 from placefolio.params import DEFAULT_CURRENCY, RunParams
 from placefolio.plans import build, driver_tables as d
 from placefolio.session import shared_folder, staged, staging
@@ -187,6 +187,8 @@ def test_whole_run(spark, sf_dir, schema):
     before_run = set(folders.subfolders(spark, staging_folder))
     for _ in range(2):  # a second run replaces the first
         summary = run(params)
+    # The summary was counted while the tables were written, and is what a second look gives.
+    assert summary == reports.run_summary(spark.table(f"{namespace}.restaurants"), spark.table(f"{namespace}.menu_items")).first()
     left = set(folders.subfolders(spark, staging_folder)) - before_run
     assert len(left) == 1 and next(iter(left)).startswith(build.SOURCE_TEXTS)
     assert spark.table("menu_source_text").count() > 0
