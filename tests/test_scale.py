@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placefolio.operators.hot_keys import hot_keys, join_on_unique, spread_join
+from placefolio.operators import topn
 from placefolio.operators.topn import first_rows
 from placefolio.session import shared_folder, staged
 
@@ -47,8 +48,10 @@ def test_copies_follow_the_rows_of_a_key(skewed):
     assert {r["k"]: r["_copies"] for r in hot_keys(rows, "k", 250).collect()} == {"hot": 12}
 
 
+@pytest.mark.parametrize("few", [0, 10_000])
 @pytest.mark.parametrize("n", [0, 1, 999, 1_500, 3_000, 5_000])
-def test_large_prefix_equals_the_limit(spark, n):
+def test_large_prefix_equals_the_limit(spark, n, few, monkeypatch):
+    monkeypatch.setattr(topn, "FEW_ROWS", few)
     # One leading value holds a third of the rows.
     df = spark.range(3_000, numPartitions=5).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("a"), F.col("id").alias("b"), F.lit("x").alias("c"))
