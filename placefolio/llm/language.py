@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from placefolio.llm.common import fold, fresh
 from placefolio.llm.url_filter import host_of, levels_of
 from placefolio.llm.words import mix, one_array, slices
-from placefolio.operators.hot_keys import join_on_unique
+from placefolio.operators.hot_keys import hot_keys, spread_join
 from placefolio.session import staged
 
 BITS = 15
@@ -183,13 +183,14 @@ def identify(rows: DataFrame, langs: list[str], counts: DataFrame) -> DataFrame:
     seen = text_evidence(rows, langs, counts, name=ll)
     weight = F.transform(ll, lambda x: F.exp(x))
     total = F.aggregate(weight, F.lit(0.0), lambda a, x: a + x)
-    seen = staged(seen.withColumn(soft, F.transform(weight, lambda x: x / total)), "evidence")
+    evidence = seen = staged(seen.withColumn(soft, F.transform(weight, lambda x: x / total)), "evidence")
     # One number per language.
     sums = dict(seen.select(F.posexplode(soft).alias("_lang", "_share")).groupBy("_lang").agg(F.sum("_share")).collect())
     scale = sum(sums.values()) + n
     overall = F.array(*[F.lit((sums.get(i, 0.0) + 1) / scale) for i in range(n)])
     for key in keys:
-        seen = join_on_unique(seen, _shares(seen, key, soft, count_of[key]), key, "left")
+        shares = _shares(evidence, key, soft, count_of[key])
+        seen = spread_join(seen, shares, [key], hot_keys(evidence, key), "left")
         # Less the row's own share: evidence must not be its own echo.
         other = lambda x, i: F.greatest(F.coalesce(F.element_at(F.col(count_of[key]), i), F.lit(0.0)) - x, F.lit(0.0))  # noqa: E731,B023
         own = F.transform(soft, other)
