@@ -9,6 +9,8 @@ of all positions. The last level compares 96-bit hashes and asks in how small a
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -19,6 +21,8 @@ from placefolio.llm.words import Words, inside_document, one_array, sketch_hash,
 WINDOW = 13
 # Bytes asked per byte of text at a level: about one hash in four of 6.5-byte words, and 20 bytes for each candidate.
 _FIRST_RATE, _NEXT_RATE = 0.4, 0.8
+# Added to the number of a level: rows with the candidates a block has left at that level, for its next pass.
+_STATE = 100
 
 
 def level_lengths(window: int) -> list[int]:
@@ -74,6 +78,11 @@ class _Levels:
         at = np.unique(anchor[self.candidate])
         return at, hashes[at], np.zeros(len(at), np.uint32), anchor
 
+    def take_up(self, state: list[tuple[int, bytes]]) -> None:
+        """Go on with the candidates of an earlier pass."""
+        (_, bits), = state
+        self.candidate = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(self.candidate)).astype(bool)
+
     def settle(self, at: np.ndarray, repeated: np.ndarray, anchor: np.ndarray) -> None:
         """Keep the candidates whose anchor is repeated."""
         mark = np.zeros(len(self.candidate), bool)
@@ -99,9 +108,13 @@ def _least(values: np.ndarray, inverse: np.ndarray, n: int) -> np.ndarray:
 
 
 def _settled(texts: pa.Table, window: int, upto: int, got: dict, counts: list[int]) -> _Levels:
-    """The block with the candidates left after the first ``upto`` levels."""
+    """The block with the candidates left after the first ``upto`` levels: those left before the last of these, as the block
+    has written them down itself, less what the answers to that level exclude."""
     levels = _Levels(texts, window)
-    for number in range(upto):
+    if upto > 1:
+        levels.take_up(got[_STATE + upto - 1])
+    if upto:
+        number = upto - 1
         at, keys, second, anchor = levels.asked(number)
         found, _, inverse = _distinct(keys, second)
         repeated = bl.answers_in_order(got.get(number, []), _bucket(found, counts[number]), np.uint8).astype(bool)
@@ -109,6 +122,19 @@ def _settled(texts: pa.Table, window: int, upto: int, got: dict, counts: list[in
     return levels
 
 
+def _state(block: str, levels: _Levels, number: int, n_buckets: int) -> pa.RecordBatch:
+    """The candidates of a level as a question that is its own answer."""
+    return pa.RecordBatch.from_pydict({
+        "bucket": pa.array([zlib.crc32(block.encode()) % n_buckets], pa.int32()), "kind": pa.array([_STATE + number], pa.int32()),
+        "block": [block], "keys": pa.array([np.packbits(levels.candidate).tobytes()], pa.binary()),
+        "extra": pa.array([b""], pa.binary())})
+
+
+def _kept_state(fn):
+    """``fn`` for questions, and candidates as they came."""
+    return lambda bucket, kind, table: (table["keys"].to_pylist(), None) if kind >= _STATE else fn(bucket, kind, table)
+
+
 def _questions(block: str, levels: _Levels, number: int, n_buckets: int):
     at, keys, second, _ = levels.asked(number)
     found, found2, inverse = _distinct(keys, second)
@@ -174,19 +200,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         counts.append(bl.bucket_count(blocks, _NEXT_RATE if last else _FIRST_RATE))
 
         def ask(block, texts, got, number=number, counts=tuple(counts)):
-            yield from _questions(block, _settled(texts, window, number, got, list(counts)), number, counts[number])
+            levels = _settled(texts, window, number, got, list(counts))
+            if number:
+                yield _state(block, levels, number, counts[number])
+            yield from _questions(block, levels, number, counts[number])
 
         asked = (bl.each_block(blocks, lambda block, texts, f=ask: f(block, texts, {}), bl.QUESTIONS) if answers is None
                  else bl.with_answers(blocks, answers, ask, bl.QUESTIONS))
-        new = bl.answer(asked, _earlier if last else _repeated, f"level-{lengths[number]}")
+        answers = bl.answer(asked, _kept_state(_earlier if last else _repeated), f"level-{lengths[number]}")
         # Answers are zeros and ones; without a one no longer window can be repeated either.
-        if not last and new.where(F.instr(F.hex("answer"), "01") > 0).isEmpty():
+        if not last and answers.where((F.col("kind") == number) & (F.instr(F.hex("answer"), "01") > 0)).isEmpty():
             ended = True
             break
-        answers = new if answers is None else answers.unionByName(new)
 
     def finish(block, texts, got, counts=tuple(counts)):
-        levels = _settled(texts, window, 0 if ended else len(lengths) - 1, got, list(counts))
+        levels = _Levels(texts, window)
+        if not ended and len(lengths) > 1:
+            levels.take_up(got[_STATE + len(lengths) - 1])
         kept = np.ones(len(levels.candidate), bool) if ended else _kept_words(levels, got, list(counts))
         rows = []
         for i, content in enumerate(levels.texts):
