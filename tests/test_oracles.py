@@ -6,11 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare, duck
-from conftest import SF_DIR
 from oracles import load_oracles
 from placefolio.plans import registry
 
-QUERIES, ORACLES = registry.QUERIES, load_oracles(SF_DIR)
+QUERIES, ORACLES = registry.QUERIES, load_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +21,7 @@ def con(sf_dir):
 def test_query(spark, sf_dir, con, name):
     df = QUERIES[name](spark, sf_dir)
     if name in ORACLES:
-        assert compare(df, con, ORACLES[name]) is None
+        assert compare(df, con, load_oracles(sf_dir)[name]) is None
     else:
         assert df.count() > 0
 
