@@ -15,7 +15,7 @@ from placefolio.session import SESSION_CONF
 def main(argv: list[str] | None = None) -> str:
     parser = argparse.ArgumentParser(prog="placefolio", description=__doc__)
     parser.add_argument("--search-pages", required=True, help="Parquet with query_ord or search_query, page_no, first_pos, response, error")
-    parser.add_argument("--fetch-log", required=True, help="Parquet with url, http_status, error, content_type, content")
+    parser.add_argument("--fetch-log", required=True, help="Parquet with url, http_status, error, content_type, content, attempt_no if there are retries")
     parser.add_argument("--rules", required=True, help="Parquet with robots_url, group_ord, agent, rule_ord, path_prefix, allow")
     parser.add_argument("--namespace", required=True, help="schema the tables are written to")
     parser.add_argument("--location", help="folder of the tables, else the schema's own")
@@ -24,9 +24,12 @@ def main(argv: list[str] | None = None) -> str:
     parser.add_argument("--max-sites", default=str(DEFAULT_SITE_CAP))
     parser.add_argument("--currency", default=DEFAULT_CURRENCY)
     parser.add_argument("--reset-tables", default="false", choices=["true", "false"])
-    parser.add_argument("--upsert", action="store_true", help="keep the stored rows of places this run does not find")
+    parser.add_argument("--upsert", action="store_true", help="replace the places this run finds and keep all others")
     parser.add_argument("--rule-answers", help="Parquet with robots_url, http_status of rules files that could not be read")
     parser.add_argument("--keep-objects", action="store_true")
+    parser.add_argument("--objects", help="folder of stored documents, .../raw/<place_id>/<file>.pdf")
+    parser.add_argument("--answers-of", default="", help="name of what gives the answers; with a name they are kept and reused")
+    parser.add_argument("--keep-rejects", action="store_true", help="write down broken answers with the rule they break")
     args = parser.parse_args(argv)
 
     builder = SparkSession.builder.appName("placefolio")
@@ -34,11 +37,11 @@ def main(argv: list[str] | None = None) -> str:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     params = RunParams.from_strings(args.search_queries, args.target_count, args.max_sites, args.currency, args.reset_tables,
-                                    upsert=args.upsert)
+                                    upsert=args.upsert, answers_of=args.answers_of, keep_rejects=args.keep_rejects)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {args.namespace}")
     summary = build_catalogue(
         spark, *[spark.read.parquet(path) for path in (args.search_pages, args.fetch_log, args.rules)],
-        args.namespace, params, location=args.location, keep_objects=args.keep_objects,
+        args.namespace, params, location=args.location, keep_objects=args.keep_objects, objects=args.objects,
         rule_answers=spark.read.parquet(args.rule_answers) if args.rule_answers else None)
     report = summary.first().asDict()
     report["status_breakdown"] = json.loads(report["status_breakdown"])

@@ -63,6 +63,8 @@ class RunParams:
     # Name of what gives the answers, such as a model with its version. With a name, answers are kept in a table and
     # never asked for again; a new name asks for all anew.
     answers_of: str = ""
+    # Write down which rule of the response contract each broken answer breaks.
+    keep_rejects: bool = False
     hints: LinkHints = field(default_factory=LinkHints)
 
     @classmethod

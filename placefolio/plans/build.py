@@ -26,7 +26,8 @@ CALL_ERRORS = "call_errors"
 # Answers kept over runs, and files parsed by runs that begin with stored objects.
 ANSWERS = "extraction_answers"
 PARSED_OBJECTS = "parsed_objects"
-ALL_TABLES = (BRONZE, SILVER, DOCUMENTS, ITEMS, CATALOGUE, CALL_ERRORS, OBJECTS, ANSWERS, PARSED_OBJECTS)
+REJECTS = "response_rejects"
+ALL_TABLES = (BRONZE, SILVER, DOCUMENTS, ITEMS, CATALOGUE, CALL_ERRORS, OBJECTS, ANSWERS, PARSED_OBJECTS, REJECTS)
 
 SOURCE_TEXTS = "source-texts"
 _shown: dict[str, str | None] = {}
@@ -116,6 +117,9 @@ def _build(spark, search_pages, fetch_log, rules, namespace, params, parse_fn, e
     item_table = save(items.items_from_responses(responses, params.currency), ITEMS, unique=False,
                       counts=[F.count(F.lit(1)).alias("menu_items")])
 
+    if params.keep_rejects:
+        # A failed call has no answer; it is among the call errors.
+        save(extraction.response_rejects(responses.where(F.col("error").isNull())), REJECTS, unique=False)
     failed = (failed_documents.select(F.lit("document").alias("stage"), "place_id", "source_url", "error")
               .unionByName(responses.select(F.lit("extraction").alias("stage"), "place_id", "source_url", "error")))
     save(failed.where(F.col("error").isNotNull()), CALL_ERRORS, unique=False)

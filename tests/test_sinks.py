@@ -246,14 +246,17 @@ def test_upsert_takes_away_what_a_place_no_longer_has(spark, schema):
     def extract(prompt):
         if "broken" in prompt:
             raise ValueError("no answer")
-        return extraction.rule_extractor(prompt)
+        return '{"items":[5]}' if "odd" in prompt else extraction.rule_extractor(prompt)
 
     def run(bodies, **kw):
-        params = RunParams(min_text_chars=5, table_buckets=4, **kw)
+        params = RunParams(min_text_chars=5, table_buckets=4, keep_rejects=True, **kw)
         return build.build_catalogue(spark, *recorded(spark, bodies), namespace, params, extract_fn=extract, location=location,
                                      keep_objects=True).first()
 
     run({1: page("Red Soup 4.50"), 2: page("Green Soup 5.50"), 3: page("broken text"), 4: page("Blue Soup 6.50")})
+    # The default extractor knows neither section nor description.
+    assert rows("response_rejects", "place_id", "pos", "rule") == {
+        (p, 0, f"{name} missing") for p in ("p1", "p2", "p4") for name in ("section", "description")}
     assert rows("call_errors", "place_id") == {("p3",)}
     assert len(rows("menu_items", "place_id")) == 3 and len(rows("raw_objects", "place_id")) == 4
     untouched = {f for f in spark.table(f"{namespace}.menu_items").inputFiles()}
@@ -267,6 +270,9 @@ def test_upsert_takes_away_what_a_place_no_longer_has(spark, schema):
     assert rows("menu_documents", "place_id", "doc_type") == {("p1", "html"), ("p2", "fetch_failed"), ("p3", "html"), ("p4", "none")}
     assert summary["restaurants"] == 4 and summary["menu_items"] == 0 and untouched
     # p3 comes back with items: its error goes.
+    assert rows("response_rejects", "rule") == set()
+    run({1: page("odd text")}, upsert=True)
+    assert rows("response_rejects", "place_id", "pos", "rule") == {("p1", 0, "item is no object")}
     run({3: page("Gold Soup 7.50")}, upsert=True)
     assert rows("menu_items", "place_id", "item_name") == {("p3", "Gold Soup")} and rows("call_errors", "place_id") == set()
 
@@ -386,6 +392,8 @@ def test_command_line(spark, sf_dir):
         df.write.parquet(f"{root}/{name}")
     namespace = f"cli_{uuid.uuid4().hex}"
     result = main([f"--{name}={root}/{name}" for name in inputs]
-                  + [f"--namespace={namespace}", f"--location={root}/tables", "--target-count=30", "--max-sites=10"])
+                  + [f"--namespace={namespace}", f"--location={root}/tables", "--target-count=30", "--max-sites=10",
+                     "--answers-of=rules", "--keep-rejects"])
     assert json.loads(result)["restaurants"] == 30
+    assert spark.table(f"{namespace}.extraction_answers").count() > 0 and spark.catalog.tableExists(f"{namespace}.response_rejects")
     spark.sql(f"DROP SCHEMA {namespace} CASCADE")
