@@ -50,13 +50,15 @@ def seed_masks(items: DataFrame, masks: Sequence[str], window: int, substitution
 
 
 def benchmark_seeds(items: DataFrame, masks: Sequence[tuple[str, list[int] | None]], window: int) -> DataFrame:
-    """``mask, seed, found``: the places ``(item, at)`` of every seed. A list is as long as the benchmark at most."""
+    """``mask, seed, found``: the places ``(item, at, before)`` of every seed, where ``before`` is the seed one word earlier.
+    A list is as long as the benchmark at most."""
     every, size = None, F.size("item_words")
     for number, (mask, lengths) in enumerate(masks):
         own = items.where(size >= window if lengths is None else size.isin(lengths))
         at = own.select("item", "item_words", F.posexplode("item_words").alias("at", "word"))
+        before = F.when(F.col("at") > 0, _seed(F.col("item_words"), F.col("at") - 1, mask, number)).alias("before")
         rows = at.select(F.lit(number).alias("mask"), _seed(F.col("item_words"), F.col("at"), mask, number).alias("seed"),
-                         F.struct("item", "at").alias("place")).where(F.col("seed").isNotNull())
+                         F.struct("item", "at", before).alias("place")).where(F.col("seed").isNotNull())
         every = rows if every is None else every.unionByName(rows)
     return every.groupBy("mask", "seed").agg(F.collect_list("place").alias("found"))
 
@@ -73,6 +75,12 @@ def _overlaps(window: int, substitutions: int) -> Column:
     return same, enough
 
 
+def _run_starts(found: Column, mask: str, number: int) -> Column:
+    """Places of a hit that do not go on from a hit one word earlier: that one has the same alignment and is verified for all."""
+    before = F.when(F.col("pos") > 0, _seed(F.col("words"), F.col("pos") - 1, mask, number))
+    return F.filter(found, lambda place: ~F.coalesce(place["before"] == before, F.lit(False)))
+
+
 def contaminated_items(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        item_id: str = "item_id", item_text: str = "text", masks: Sequence[str] = MASKS,
                        window: int = WINDOW, substitutions: int = SUBSTITUTIONS,
@@ -101,7 +109,8 @@ def contaminated_items(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
             at = at.join(hint(own), f"seed{n}", "left")
         lists = [F.col(f"found{n}") for n in range(len(masks))]
         hits = at.where(F.coalesce(*lists).isNotNull())
-        places = F.flatten(F.filter(F.array(*lists), lambda x: x.isNotNull()))
+        starts = [_run_starts(found, mask, n) for n, (mask, found) in enumerate(zip(masks, lists))]
+        places = F.flatten(F.filter(F.array(*starts), lambda x: x.isNotNull()))
         hits = hits.select(*carried, "pos", F.explode(places).alias("place"))
     else:
         hits = None

@@ -45,6 +45,21 @@ def test_leaks_match_brute_force(spark, docs):
         assert all(r["contaminated"] == bool(r["item_ids"]) and r["n_items"] == len(r["item_ids"]) for r in rows)
 
 
+def test_repetitive_texts_verify_each_alignment_once(spark, docs):
+    """One word over and over, in document and item: positions times positions hit, but there are only so many alignments."""
+    import time
+    bench = spark.createDataFrame([(1, "a " * 60), (2, "b a " * 40), (3, "c " * 30)], "item_id long, text string")
+    texts = ["a " * 4000, "a b " * 2000, "a " * 12, "a " * 13 + "z", "b a a b a a " * 100]
+    judge = lambda: {r["doc_id"]: r["item_ids"] for r in decontaminate.judge_documents(docs(texts), bench).collect()}
+    items = {1: "a " * 60, 2: "b a " * 40, 3: "c " * 30}
+    small = [t if len(t) < 2000 else " ".join(t.split()[:200]) for t in texts]
+    assert judge() == {i: sorted(k for k, b in items.items() if brute_contaminated(t, b)) for i, t in enumerate(small)}
+    started = time.perf_counter()
+    judge()
+    # 4,000 times 60 verified alignments of 60 words took many times as long.
+    assert time.perf_counter() - started < 10
+
+
 def test_short_items_are_found_with_every_allowed_substitution(spark, docs):
     items, texts, want = [], [], []
     for n in range(1, 13):
