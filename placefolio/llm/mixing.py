@@ -72,16 +72,25 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     targets = staged(targets, "targets")
     bucket = F.shiftright("u", 4 * ORDER_HEX - BUCKET_BITS)
     sizes = sizes.withColumn("bucket", bucket)
-    # Words before each bucket; a source has 2^BUCKET_BITS buckets at most.
-    per_bucket = sizes.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
+    # The cut is looked for among 2^(BUCKET_BITS / 2) parts of a source, and then among as many buckets of one part, so that
+    # no window meets more rows than that.
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    cuts = (per_bucket.join(targets, same(per_bucket, targets))
-            .where((F.col("before") <= F.col("need")) & (F.col("before") + F.col("words") > F.col("need")))
-            .select(targets["source"], F.col("bucket").alias("cut"), F.col("before").alias("cut_before")))
-    plan = targets.join(cuts, same(targets, cuts), "left").drop(cuts["source"])
-    # One row per source. Left to run-time planning, which broadcasts it if it is small and splits hot sources if not.
+    part = F.shiftright("bucket", BUCKET_BITS // 2)
+    before = lambda column: (F.coalesce(F.sum("words").over(
+        W.partitionBy("source").orderBy(column).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    holds_cut = (F.col("before") <= F.col("need")) & (F.col("before") + F.col("words") > F.col("need"))
+    parts = (sizes.groupBy("source", part.alias("part")).agg(F.sum("size").alias("words"))
+             .withColumn("before", before("part")))
+    parts = (parts.join(targets, same(parts, targets)).where(holds_cut)
+             .select(targets["source"], "need", F.col("part").alias("cut_part"), F.col("before").alias("part_before")))
+    parts = staged(parts, "cut-parts")
+    inside = sizes.join(parts, same(sizes, parts) & (part == F.col("cut_part"))).drop(parts["source"])
+    buckets = (inside.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("need").alias("need"),
+                                                     F.first("part_before").alias("part_before"))
+               .withColumn("before", F.col("part_before") + before("bucket")))
+    cuts = buckets.where(holds_cut).select("source", F.col("bucket").alias("cut"), F.col("before").alias("cut_before"))
+    # One row per source, stored, so that its size is known: it is broadcast if it is small, and hot sources are split if not.
+    plan = staged(targets.join(cuts, same(targets, cuts), "left").drop(cuts["source"]), "mix-plan")
     rows = sizes.join(plan, same(sizes, plan), "left").drop(plan["source"])
     at_cut = rows.where(F.col("bucket") == F.col("cut"))
     within = (W.partitionBy("source").orderBy("u", F.col("doc_id").isNull(), "doc_id", "size")
