@@ -3,7 +3,7 @@
 =================  ========================================================================================
 places             ``customer`` with its nation; the page of the same number is its website
 search_pages       the same places as recorded search pages, every place listed by two pages
-fetch_log          ``pages`` as recorded homepages, ``documents`` as the bodies behind links of theirs
+fetch_log          ``pages`` as recorded homepages, ``documents`` as the bodies behind links of theirs, numbered by their ids
 rules              crawl rules of every host in ``pages``
 responses          every ``lineitem`` as one extraction answer about its part; part k belongs to place k
 =================  ========================================================================================
@@ -180,15 +180,16 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     refused = F.col("url").rlike("cheap-pills|free-bets|casino-win")
     lost = F.endswith(F.col("url"), F.lit(".html"))
+    # Pages may share a URL: each is an attempt of its own, the last one counts.
     homes = homepages(spark, sf_dir).select(
-        "url", F.when(refused, 403).when(~lost, 200).alias("http_status"),
+        "url", F.col("page_id").alias("attempt_no"), F.when(refused, 403).when(~lost, 200).alias("http_status"),
         F.when(refused, "HTTP Error 403: Forbidden").when(lost, "URLError: timed out").alias("error"),
         F.lit("text/html").alias("content_type"), F.col("html").cast("binary").alias("content"))
 
     timed_out = F.col("lang") == "de"
     where = document_links(spark, sf_dir).select("doc_id", "url")
     linked = where.join(table(spark, sf_dir, "documents"), "doc_id").select(
-        "url", F.when(~timed_out, 200).alias("http_status"), F.when(timed_out, "URLError: timed out").alias("error"),
+        "url", F.col("doc_id").alias("attempt_no"), F.when(~timed_out, 200).alias("http_status"), F.when(timed_out, "URLError: timed out").alias("error"),
         F.when(F.col("source").isin("src0", "src1", "src2", "src3"), "application/pdf")
         .when(F.col("source").isin("src4", "src5"), "image/png")
         .when(F.col("source") == "src6", "").otherwise("text/html").alias("content_type"),
@@ -252,7 +253,8 @@ def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored bytes of all PDF documents, under the path a file scan would report."""
     stored = documents(spark, sf_dir).where("doc_type = 'pdf'").select(
         F.concat(F.lit("file:/"), "stored_path").alias("path"), F.col("source_url").alias("url"))
-    return stored.join(fetch_log(spark, sf_dir).select("url", "content"), "url").select("path", "content")
+    bodies = fetches.asked_rows(fetch_log(spark, sf_dir), stored.select("url").distinct()).select("url", "content")
+    return stored.join(bodies, "url").select("path", "content")
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:

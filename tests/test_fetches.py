@@ -96,3 +96,47 @@ def test_text_and_byte_limits(spark):
 def test_yield(spark):
     docs = spark.createDataFrame([("html",), ("pdf",), ("none",), ("fetch_failed",)], "doc_type string")
     assert tuple(fetches.document_yield(docs).first()) == (4, 2)
+
+
+def test_pages_may_share_a_url(spark, tmp_path):
+    from datetime import date
+
+    from placefolio.plans.registry import QUERIES
+
+    def write(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    def prose(word):
+        return f"<html><body><p>{(word + ' ') * 300}</p></body></html>"
+
+    shared, own = "https://www.example.com/en/1", "https://www.example.com/en/2"
+    write("region", [(0, "ASIA")], "r_regionkey int, r_name string")
+    write("nation", [(0, "INDIA", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    write("customer", [(k, f"c{k}", 0, 1.0, "MACHINERY") for k in range(4)],
+          "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    # Pages 0 and 2 share a URL. The documents, one of them recorded twice, are PDFs on the site of page 1.
+    write("pages", [(0, shared, prose("older")), (1, own, prose("own")), (2, shared, prose("newer"))], "page_id long, url string, html string")
+    write("documents", [(k, "pdf text " * 300, "en", "src0") for k in (4, 6, 7, 7)], "doc_id long, text string, lang string, source string")
+    write("part", [(1, "part", 30, "type")], "p_partkey long, p_name string, p_size int, p_type string")
+    write("lineitem", [(1, 1, 1, 2.0, 9.0, 0.0, 0.0, "N", "O", date(2024, 1, 1))],
+          "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+          "l_tax double, l_returnflag string, l_linestatus string, l_shipdate date")
+    sf = str(tmp_path)
+    got = {r["place_id"]: r for r in QUERIES["fetch_outcome"](spark, sf).collect()}
+    assert sorted(got) == ["p0", "p1", "p2"]
+    # The page recorded last counts for both places.
+    assert got["p0"]["raw_text"] == got["p2"]["raw_text"] == ("newer " * 300).strip()
+    assert got["p1"]["doc_type"] == "pdf"
+    assert [r["site_url"] for r in QUERIES["first_success"](spark, sf).collect()] == [own]
+    assert tuple(QUERIES["fetch_yield"](spark, sf).first()) == (3, 3)
+    # A document that is recorded again is one object with one text.
+    texts = QUERIES["source_text_union"](spark, sf).collect()
+    assert sorted(r["place_id"] for r in texts) == ["p0", "p1", "p2"]
+    assert {r["place_id"]: r["has_source"] for r in QUERIES["doc_flags"](spark, sf).collect()} == {"p0": True, "p1": True, "p2": True}
+    for name in ("place_status", "status_from_buckets"):
+        assert {r["place_id"]: r["menu_status"] for r in QUERIES[name](spark, sf).collect()} == {
+            "p0": "source_found_no_items", "p1": "menu_extracted", "p2": "source_found_no_items", "p3": "no_website"}
+    assert QUERIES["not_attempted_anti"](spark, sf).count() == 0
+    assert {r["menu_status"]: r["restaurants"] for r in QUERIES["status_breakdown"](spark, sf).collect()} == {
+        "source_found_no_items": 2, "menu_extracted": 1, "no_website": 1}
+    assert QUERIES["run_summary"](spark, sf).first()["restaurants_with_menu"] == 1
