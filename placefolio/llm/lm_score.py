@@ -21,8 +21,10 @@ from placefolio.llm import blocks as bl
 from placefolio.llm.words import one_array, sketch_hash, words
 
 ORDER = 5
-# Text of a block: some 60 bytes of arrays per byte while it is worked on.
+# Text of a block: some 20 bytes of arrays per byte while it is worked on.
 BLOCK_BYTES = 5 << 20
+# Grams that are worked on at a time where they need several arrays each.
+SLICE = 1 << 18
 END, SYMBOLS = b"\n", 256
 _WORDS, _GRAMS = 0, 1
 _WORD_RATE, _GRAM_RATE = 0.3, 0.6
@@ -39,9 +41,16 @@ def grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     pad = bytes(order)
     stream = np.frombuffer(b"".join([pad + p for p in plain]) + bytes(8), np.uint8)
     sizes = np.array([len(p) for p in plain], np.int64)
+    del plain
     eight = np.ndarray(len(stream) - 7, ">u8", stream, strides=(1,))
-    at = np.arange(sizes.sum()) + order * np.repeat(np.arange(len(plain)), sizes)
-    return eight[at].astype(np.uint64) >> np.uint64(8 * (7 - order)), sizes
+    out, ends = np.empty(int(sizes.sum()), np.uint64), np.cumsum(sizes)
+    # In slices, so that places and copies of the whole block never lie beside the result.
+    for low in range(0, len(out), SLICE):
+        at = np.arange(low, min(low + SLICE, len(out)))
+        at += order * np.searchsorted(ends, at, "right")
+        out[low:low + len(at)] = eight[at]
+    out >>= np.uint64(8 * (7 - order))
+    return out, sizes
 
 
 def places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -50,9 +59,13 @@ def places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     shift = np.uint64(64 - bits)
     slots = np.zeros(1 << bits, np.int32)
     slots[sketch_hash(keys) >> shift] = np.arange(len(keys))
-    out = slots[sketch_hash(wanted) >> shift]
-    other = np.flatnonzero(keys[out] != wanted)
-    out[other] = np.searchsorted(keys, wanted[other])
+    out = np.empty(len(wanted), np.int32)
+    for low in range(0, len(wanted), SLICE):
+        part = wanted[low:low + SLICE]
+        found = slots[sketch_hash(part) >> shift]
+        other = np.flatnonzero(keys[found] != part)
+        found[other] = np.searchsorted(keys, part[other])
+        out[low:low + len(part)] = found
     return out
 
 
@@ -143,6 +156,7 @@ class _Block:
         keys = every[first]
         if self.train.all():
             return keys, np.diff(first, append=len(every)).astype(np.uint32)
+        del every
         counts = np.zeros(len(keys), np.uint32)
         own, _ = grams(self.texts.filter(pa.array(self.train)), order)
         own.sort()
@@ -192,7 +206,7 @@ def score_documents(docs: DataFrame, held_out: Callable[[pa.ChunkedArray], np.nd
 
     def ask(block, texts):
         b = _Block(texts, train)
-        keys, counts, *_ = b.words()
+        keys, counts = b.words()[:2]
         yield from bl.questions(block, _WORDS, keys, _bucket(keys, n_words), n_words, counts)
         keys, counts = b.grams(order)
         yield from bl.questions(block, _GRAMS, keys, _bucket(keys, n_grams), n_grams, counts, pack=bl.steps,
@@ -272,16 +286,22 @@ def score_documents(docs: DataFrame, held_out: Callable[[pa.ChunkedArray], np.nd
         b = _Block(texts, train)
         keys, _, inverse, doc, n_words_of = b.words()
         n = len(n_words_of)
-        count = bl.answers_in_order(got.get(_WORDS, []), _bucket(keys, n_words), np.int64)[inverse]
-        every, sizes = grams(b.texts, order)
-        keys = np.unique(every)
-        price = bl.answers_in_order(got.get(_GRAMS, []), _bucket(keys, n_grams), np.float32).astype(np.float64)
+        count = bl.answers_in_order(got.pop(_WORDS, []), _bucket(keys, n_words), np.int64)[inverse]
         tokens = n_words_of + 1
         base = np.bincount(doc, np.log10(count + 1.0), n) + np.log10(train_docs + 1.0) - tokens * np.log10(float(size))
-        score = np.bincount(np.repeat(np.arange(n), sizes), price[places(keys, every)], n)
+        n_known = np.bincount(doc[count > 0], minlength=n) + (train_docs > 0)
+        # Words and grams do not lie in memory together.
+        del keys, inverse, doc, count
+        every, sizes = grams(b.texts, order)
+        keys = np.unique(every)
+        price = bl.answers_in_order(got.pop(_GRAMS, []), _bucket(keys, n_grams), np.float32)
+        at = places(keys, every)
+        del every, keys
+        score = np.bincount(np.repeat(np.arange(n, dtype=np.int32), sizes), price[at], n)
+        del at, price
         yield pa.RecordBatch.from_arrays([
             one_array(b.ids), pa.array(~b.train), pa.array(tokens, pa.int64()),
-            pa.array(np.bincount(doc[count > 0], minlength=n) + (train_docs > 0), pa.int64()),
+            pa.array(n_known, pa.int64()),
             pa.array(np.full(n, n_train), pa.int64()), pa.array(base), pa.array(score), pa.array(sizes)],
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"])
 

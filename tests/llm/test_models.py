@@ -245,3 +245,25 @@ def test_languages_of_odd_tables(spark, odd, empty, sf_dir):
     assert rows.count() == odd.count() + 3
     assert language.identify_corpus(empty, pages.limit(0)).count() == 0
     assert {r["lang"] for r in language.identify_corpus(empty, pages).collect()} == {None}
+
+
+def test_grams_take_few_bytes_of_memory_each():
+    import tracemalloc
+
+    def peak(fn):
+        tracemalloc.start()
+        try:
+            return fn(), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    rng = random.Random(3)
+    texts = pa.array([" ".join("".join(rng.choices("etaoinshr", k=rng.randint(1, 9))) for _ in range(2_000)) for _ in range(400)])
+    (every, sizes), used = peak(lambda: lm_score.grams(texts, lm_score.ORDER))
+    assert len(every) == sizes.sum() > 4_000_000
+    # The result alone takes eight, the texts before and after they are joined some four.
+    assert used < 20 * len(every)
+    keys = np.unique(every)
+    at, used = peak(lambda: lm_score.places(keys, every))
+    assert (keys[at] == every).all()
+    assert used < 20 * len(every), used / len(every)
