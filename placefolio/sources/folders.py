@@ -21,3 +21,10 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     system, at = _system(spark, path)
     system.delete(at, True)
+
+
+def codec_suffixes(spark: SparkSession) -> list[str]:
+    """Ends of the file names that Hadoop's readers of lines decompress by."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    return sorted(hadoop.util.ReflectionUtils.newInstance(codec, conf).getDefaultExtension()
+                  for codec in hadoop.io.compress.CompressionCodecFactory.getCodecClasses(conf))

@@ -151,6 +151,48 @@ def test_file_scan(spark, tmp_path):
     assert got == {"menu_a%2Fb.pdf": (5, b"12345"), "big.pdf": (50, b"x" * 50)}
 
 
+@pytest.mark.parametrize("whole_bytes", [0, 999, 1000, objects.WHOLE_BYTES])
+def test_digests_of_files_read_in_pieces(spark, tmp_path, whole_bytes):
+    import gzip
+    import hashlib
+    import random
+    body, mark = random.Random(7).randbytes(200_000), b"\xef\xbb\xbf"
+    contents = {
+        "ends_with_feed": body + b"\n", "ends_without": body + b"x", "mark": mark + body + b"\n", "mark_without": mark + body + b"x",
+        "two_marks": mark + mark + b"\n" + body, "mark_line": mark + b"\n" * 3_000, "feeds": b"\n" * 90_000, "no_feed": b"\0" * 90_000,
+        "crlf": b"a\r\n" * 30_000, "odd %41#?": body[::-1], "p1/same": body, "p2/same": body[1:], "small": b"y" * 1_000,
+        "tiny_mark": mark + b"\n", "packed.gz": gzip.compress(body), "not_packed.gz": body}
+    for name, content in contents.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 15))  # a file has several splits
+    try:
+        got = objects.file_digests(spark, str(tmp_path), whole_bytes=whole_bytes).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r["path"].split(f"{tmp_path}/")[1], *r[1:]) for r in got) == sorted(
+        (name, len(c), len(c), hashlib.sha256(c).hexdigest()) for name, c in contents.items())
+
+
+def test_large_files_are_never_one_value(spark, tmp_path):
+    import hashlib
+    import random
+
+    from placefolio.plans.registry import QUERIES
+    contents = {"a.parquet": random.Random(8).randbytes(objects.WHOLE_BYTES + 1), "b.parquet": b"x" * 2_000}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    # Spark refuses to make a value of a file over this size.
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", str(objects.WHOLE_BYTES))
+    try:
+        got = QUERIES["binary_docs_scan"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert sorted(map(tuple, got)) == [
+        (name, len(c), len(c), hashlib.sha256(c).hexdigest()) for name, c in sorted(contents.items())]
+
+
 def test_parameters():
     params = RunParams.from_strings(" a, ,b,", "10", "20", "  ", "true")
     assert (params.search_queries, params.target_count, params.max_sites, params.currency, params.reset_tables) == (
